@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 ROWS_CONF = "spark.sparkloom.window.rows"
 DEFAULT_ROWS = 4_000_000
-SAMPLES_PER_CHUNK = 64
+SAMPLES_PER_CHUNK = 16
 
 
 @dataclass(frozen=True)
@@ -138,8 +138,7 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str,
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
     cuts = _cuts(df, by, order)
     if cuts is None:
-        frame = df.withColumns({"_chunk": F.lit(0), "_halo": F.lit(False)})
-        return _windows(frame, by, order, columns, descending).select(*kept, *columns)
+        return _windows(df, by, order, columns, descending).select(*kept, *columns)
 
     borders, match = renamed(cuts, by, "_b_")
     frame = df.join(F.broadcast(borders), match, "left").select(
@@ -167,13 +166,18 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str,
 
 
 def _windows(frame: DataFrame, by, order, columns, descending) -> DataFrame:
+    chunked = "_chunk" in frame.columns
+
     def spec(flip: bool):
         keys = [F.col(c).desc() if flip else F.col(c).asc() for c in order]
-        return Window.partitionBy(*by, "_chunk").orderBy(*keys)
+        return Window.partitionBy(*by, *(["_chunk"] if chunked else [])).orderBy(*keys)
 
     forward, backward = spec(descending), spec(not descending)
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    own = lambda c: F.when(~F.col("_halo"), c)
+
+    def own(c: Column) -> Column:
+        return F.when(~F.col("_halo"), c) if chunked else c
+
     out = {}
     for name, item in columns.items():
         if isinstance(item, Running):
