@@ -11,7 +11,7 @@ from sparkloom.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["io", "columns", "filters", "missing", "joins"]
+MODULES = ["io", "columns", "filters", "missing", "joins", "aggregates", "reshape", "windows"]
 
 
 def query(name: str, sql: str | None = None):
