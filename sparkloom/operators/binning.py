@@ -56,8 +56,8 @@ def keep_top(df: DataFrame, col: str, out: str, levels: list[tuple[int, str | No
     limit = levels[-1][0]
     ordered = (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
                .orderBy(F.desc("_n"), F.asc(col)).limit(limit))
-    ranking = ordered.agg(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("n"), F.col(col).alias("v")))).alias("a"))
-    names = F.transform(ranking.scalar(), lambda x: x["v"])
+    ranking = F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("n"), F.col(col).alias("v"))))
+    names = ordered.agg(F.transform(ranking, lambda x: x["v"]).alias("names")).scalar()
     place = F.array_position(names, F.col(col))
     rules = [((place > 0) & (place <= top), F.col(col) if label is None else label) for top, label in levels]
     return df.withColumn(out, choose(rules, F.lit(other)))
