@@ -36,7 +36,7 @@ F7 = ["last_game_oe", "last_game_home_win_pctg", "num_rest_days", "last_game_awa
 
 
 def rounded(alias: str, prefix: str = "") -> str:
-    return ", ".join(f"{alias}.{c} AS {prefix}{c}" if c == "num_rest_days" else f"ROUND({alias}.{c}, 4) AS {prefix}{c}" for c in F7)
+    return ", ".join(f"{alias}.{c} AS {prefix}{c}" if c == "num_rest_days" else f"ROUND({alias}.{c}, 6) AS {prefix}{c}" for c in F7)
 
 
 V1 = FEATURE.format(plus=0, by="team_id, season", keep="true")

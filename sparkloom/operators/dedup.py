@@ -26,7 +26,7 @@ def runs(df: DataFrame, by, order, key: str, out: str = "run") -> DataFrame:
     seen = over_order(df.withColumn("_set", F.lit(1)), by, order, {"_before": Shift(key), "_any": Shift("_set")})
     start = F.col("_any").isNull() | ~F.col("_before").eqNullSafe(F.col(key))
     return over_order(seen.withColumn("_start", start.cast("bigint")), by, order,
-                      {out: Running("sum", "_start")}).select(*df.columns, out)
+                      {out: Running("sum", "_start")}, base=df).select(*df.columns, out)
 
 
 def key_checks(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:

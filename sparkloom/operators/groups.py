@@ -66,7 +66,8 @@ def ranked(df: DataFrame, by: list[str] | str, value: str, descending: bool = Fa
     """
     by = [by] if isinstance(by, str) else list(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = over_order(counts, by, [value], {"_cum": Running("sum", "_n"), "_dense": RowNumber()}, descending)
+    cum = over_order(counts, by, [value], {"_cum": Running("sum", "_n"), "_dense": RowNumber()}, descending,
+                     bound=df)
     ranks, match = renamed(cum.select(
         *by, value,
         (F.col("_cum") - (F.col("_n") - 1) / 2).alias("avg"),
@@ -87,7 +88,7 @@ def quantiles(df: DataFrame, by: list[str] | str, value: str, probs: dict[str, f
     src = df if by else df.withColumn("_all", F.lit(0))
     counts = (src.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    cum = over_order(counts, keys, ["_v"], {"_cum": Running("sum", "_n")})
+    cum = over_order(counts, keys, ["_v"], {"_cum": Running("sum", "_n")}, bound=src)
     if by:
         cum = with_group(cum, keys, _total=F.sum("_n"))
     else:

@@ -42,7 +42,8 @@ def _neighbours(df: DataFrame, by, order, col: str) -> DataFrame:
     numbered = over_order(df, by, order, {"_i": RowNumber()})
     known = numbered.withColumn("_at", F.when(F.col(col).isNotNull(), F.col("_i")))
     return over_order(known, by, order, {
-        "_pv": Running("last", col), "_pi": Running("last", "_at"), "_nv": Ahead(col), "_ni": Ahead("_at")})
+        "_pv": Running("last", col), "_pi": Running("last", "_at"), "_nv": Ahead(col), "_ni": Ahead("_at")},
+        base=df)
 
 
 def interpolate(df: DataFrame, by, order, col: str, out: str, method: str = "linear",

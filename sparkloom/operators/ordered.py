@@ -128,15 +128,22 @@ def _position(cuts: Column, key: Column) -> Column:
     return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(powers, F.lit(0), step))
 
 
-def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str,
-               columns: dict[str, object], descending: bool = False) -> DataFrame:
-    """Add ordered-window columns to ``df``; see the classes above for what they compute."""
+def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, columns: dict[str, object],
+               descending: bool = False, base: DataFrame | None = None, bound: DataFrame | None = None) -> DataFrame:
+    """Add ordered-window columns to ``df``; see the classes above for what they compute.
+
+    Group sizes are measured on ``df``, or on ``base`` if that holds the same keys and is
+    cheaper to read. ``bound`` is a cheap frame with at least as many rows: nothing more
+    is measured when it is small.
+    """
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
     kept = df.columns
+    base = df if base is None else base
     if not by:
-        df, by = df.withColumn("_all", F.lit(0)), ["_all"]
-    cuts = _cuts(df, by, order)
+        df, base, by = df.withColumn("_all", F.lit(0)), base.withColumn("_all", F.lit(0)), ["_all"]
+    small = bound is not None and bound.count() <= rows_per_chunk(df)
+    cuts = None if small else _cuts(base, by, order)
     if cuts is None:
         return _windows(df, by, order, columns, descending).select(*kept, *columns)
 

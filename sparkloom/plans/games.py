@@ -14,6 +14,7 @@ from sparkloom.functions.math import offensive_efficiency
 from sparkloom.operators.columns import prefix_columns
 from sparkloom.operators.groups import exact_sum, joined_on, ranked, top_rows
 from sparkloom.operators.ordered import Rolling, Running, Shift, over_order
+from sparkloom.session import checkpointed
 
 SHIFTED = ["oe", "home_win_pctg", "away_win_pctg", "total_win_pctg", "rolling_scoring_margin", "rolling_oe"]
 FEATURES = ["last_game_oe", "last_game_home_win_pctg", "num_rest_days", "last_game_away_win_pctg",
@@ -50,11 +51,11 @@ def team_games(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 def win_percentages(games: DataFrame, extra_game: int = 0, **more: object) -> DataFrame:
     """Running win shares per team and season: home, away, total (games by average date rank)."""
     by, order = ["team_id", "season"], ["game_date", "game_id"]
-    flagged = games.withColumns({"_hw": F.col("w") * F.col("home_flag"), "_aw": F.col("w") * F.col("away_flag")})
+    flagged = ranked(games, by, "game_date", prefix="_played").withColumns({"_hw": F.col("w") * F.col("home_flag"), "_aw": F.col("w") * F.col("away_flag")})
     run = over_order(flagged, by, order, {
         "_hg": Running("sum", "home_flag"), "_ag": Running("sum", "away_flag"),
-        "_hws": Running("sum", "_hw"), "_aws": Running("sum", "_aw"), "_ws": Running("sum", "w"), **more})
-    run = ranked(run, by, "game_date", prefix="_played")
+        "_hws": Running("sum", "_hw"), "_aws": Running("sum", "_aw"), "_ws": Running("sum", "w"), **more},
+        base=games)
     share: dict[str, Column] = {
         "home_win_pctg": F.try_divide(F.col("_hws").cast("double"), F.col("_hg") + extra_game),
         "away_win_pctg": F.try_divide(F.col("_aws").cast("double"), F.col("_ag") + extra_game),
@@ -68,17 +69,18 @@ def features(games: DataFrame, by: list[str], extra_game: int = 0, drop_incomple
     ``by`` is team and season, or team alone; version two also counts one extra home and
     away game and drops a team's first row before shifting.
     """
+    games = checkpointed(games)  # read several times below
     order = ["game_date", "game_id"]
     rolling = {"rolling_oe": Rolling("avg", "oe", 3), "rolling_scoring_margin": Rolling("avg", "scoring_margin", 3),
                "_last_date": Shift("game_date")}
     if by == ["team_id", "season"]:
         rows = win_percentages(games, extra_game, **rolling)
     else:
-        rows = over_order(win_percentages(games, extra_game), by, order, rolling)
+        rows = over_order(win_percentages(games, extra_game), by, order, rolling, base=games)
     rows = rows.withColumn("num_rest_days", F.date_diff("game_date", "_last_date"))
     if drop_incomplete:
         rows = rows.na.drop("any")
-    shifted = over_order(rows, by, order, {"last_game_" + c: Shift(c) for c in SHIFTED})
+    shifted = over_order(rows, by, order, {"last_game_" + c: Shift(c) for c in SHIFTED}, base=games)
     return shifted.select(*games.columns, *FEATURES)
 
 
