@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sparkloom.catalog.registry import query
 from sparkloom.functions.math import clip
 from sparkloom.operators import binning as B
+from sparkloom.operators.ordered import RowNumber, over_order
 
 Q = "QUANTILE_CONT({0}, {1})"
 
@@ -93,13 +94,15 @@ def _(t):
     return upcoming.select("o_orderkey", "o_orderdate").orderBy("o_orderdate", "o_orderkey").limit(15)
 
 
-@query("srt4_accent_sort", """
-SELECT w AS word FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zàâçèéêëîïôùûü]+')) AS w FROM documents WHERE lang = 'fr') WHERE length(w) > 3
-ORDER BY strip_accents(w), w LIMIT 60""")
+LETTERS = "[a-zàáâäçèéêëíîïñóôöùúûü]+"
+
+
+@query("srt4_accent_sort", f"""
+SELECT w AS word, ROW_NUMBER() OVER (ORDER BY strip_accents(w), w) AS place FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{LETTERS}')) AS w FROM documents)""")
 def _(t):
-    words = t.documents.filter("lang = 'fr'").select(F.explode(F.regexp_extract_all(
-        F.lower("text"), F.lit("[a-zàâçèéêëîïôùûü]+"), F.lit(0))).alias("word")).filter(F.length("word") > 3).distinct()
-    return words.orderBy(F.collate("word", "UNICODE_AI"), "word").limit(60)
+    words = t.documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("word")).distinct()
+    placed = over_order(words.withColumn("_key", F.collate("word", "UNICODE_AI")), [], ["_key", "word"], {"place": RowNumber()})
+    return placed.select("word", "place")
 
 
 @query("set1_union_all", """

@@ -12,7 +12,7 @@ from sparkloom.sources.tables import Tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 MODULES = ["io", "columns", "filters", "missing", "joins", "aggregates", "reshape", "windows", "binning", "scalars",
-           "timeseries", "loads", "ml"]
+           "timeseries", "loads", "ml", "vectors", "lineage", "models"]
 
 
 def query(name: str, sql: str | None = None):

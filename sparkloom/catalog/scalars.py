@@ -78,9 +78,9 @@ def _(t):
 
 @query("str10_tokenize", r"""
 SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, w[1] AS first_token FROM
- (SELECT doc_id, list_filter(regexp_split_to_array(upper(replace(text, '-', ' ')), '\s+'), lambda x: x <> '') AS w FROM documents WHERE lang = 'en')""")
+ (SELECT doc_id, list_filter(regexp_split_to_array(upper(replace(replace(text, '-', ' '), 'ß', 'ss')), '\s+'), lambda x: x <> '') AS w FROM documents)""")
 def _(t):
-    words = t.documents.filter("lang = 'en'").select("doc_id", T.tokens(F.col("text")).alias("w"))
+    words = t.documents.select("doc_id", T.tokens(F.col("text")).alias("w"))
     return words.select("doc_id", F.size("w").alias("n_tokens"), F.get("w", F.lit(0)).alias("first_token"))
 
 
