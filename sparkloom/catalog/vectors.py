@@ -81,8 +81,8 @@ SELECT o_orderkey, ROUND(total, 4) AS total, ROUND(loyalty, 6) AS loyalty, ROUND
  ROUND(total - GREATEST(loyalty, bulk, large), 6) AS due FROM d""")
 def _(t):
     points = t.orders.join(t.customer.select("c_custkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_acctbal")
-    lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey").join(points, "o_orderkey")
-    out = S.discounts(lines, "o_orderkey", "l_partkey", "l_quantity", "l_extendedprice", F.col("c_acctbal"), large_order=5)
+    lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
+    out = S.discounts(lines, "o_orderkey", "l_partkey", "l_quantity", "l_extendedprice", points, "c_acctbal", large_order=5)
     return out.select("o_orderkey", F.round("total", 4).alias("total"), *[F.round(c, 6).alias(c) for c in ("loyalty", "bulk", "large", "best", "due")])
 
 

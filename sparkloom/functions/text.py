@@ -37,7 +37,8 @@ def initial(name: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Upper-case words; hyphens separate words."""
-    return F.filter(F.split(F.upper(F.replace(text, F.lit("-"), F.lit(" "))), r"\s+"), lambda w: w != "")
+    spaced = F.translate(text, "-\t\n\x0b\f\r", " " * 6)
+    return F.filter(F.split(F.upper(spaced), " "), lambda w: w != "")
 
 
 @F.pandas_udf(StringType())

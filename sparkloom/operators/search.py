@@ -22,20 +22,21 @@ def all_tokens(index: DataFrame, key: str, query: str) -> DataFrame:
     return hits.groupBy(key).agg(F.count_distinct("token").alias("_n")).filter(F.col("_n") == len(wanted)).select(key)
 
 
-def discounts(lines: DataFrame, order: str, item: str, quantity: str, amount: str, fidelity: Column,
+def discounts(lines: DataFrame, order: str, item: str, quantity: str, amount: str, points: DataFrame, fidelity: str,
               bulk_units: int = 20, large_order: int = 10) -> DataFrame:
     """Per order: total, the three discounts, the best of them and the amount due.
 
     Loyalty gives 5 % from 1000 points, each line of ``bulk_units`` or more gives 10 %,
-    ``large_order`` or more distinct items give 7 %.
+    ``large_order`` or more distinct items give 7 %. ``points`` holds the fidelity of the
+    buyer of each order; it is joined to the orders after their lines are summed up.
     """
-    bulk = F.when(F.col(quantity) >= bulk_units, dec(amount) * dec(F.lit("0.10"), 4, 2)).otherwise(F.lit(0).cast("decimal(18,4)"))
+    bulky = F.when(F.col(quantity) >= bulk_units, dec(amount))
     per = lines.groupBy(order).agg(
-        F.sum(dec(amount)).alias("_total"), F.sum(bulk).alias("_bulk"), F.count_distinct(item).alias("_items"),
-        F.max(fidelity).alias("_points"))
-    total = F.col("_total").cast("double")
-    loyal = F.when(F.col("_points") >= 1000, total * 0.05).otherwise(0.0)
-    large = F.when(F.col("_items") >= large_order, total * 0.07).otherwise(0.0)
-    out = per.select(order, total.alias("total"), loyal.alias("loyalty"), F.col("_bulk").cast("double").alias("bulk"), large.alias("large"))
+        F.sum(dec(amount)).cast("double").alias("total"), F.coalesce(F.sum(bulky).cast("double"), F.lit(0.0)).alias("_bulk"),
+        F.count_distinct(item).alias("_items")).join(points.select(order, fidelity), order)
+    total = F.col("total")
+    out = per.select(
+        order, "total", F.when(F.col(fidelity) >= 1000, total * 0.05).otherwise(0.0).alias("loyalty"),
+        (F.col("_bulk") * 0.10).alias("bulk"), F.when(F.col("_items") >= large_order, total * 0.07).otherwise(0.0).alias("large"))
     out = out.withColumn("best", F.greatest("loyalty", "bulk", "large"))
     return out.withColumn("due", F.col("total") - F.col("best"))
