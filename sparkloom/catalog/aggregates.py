@@ -177,10 +177,12 @@ def _(t):
                     F.count_if(F.col("quality").isNull()).alias("unassigned"))
 
 
-@query("agg21_string_sum", "SELECT conv_id, string_agg(substr(role, 1, 1), '' ORDER BY turn) AS turns FROM conversations GROUP BY 1")
+@query("agg21_string_sum", """
+SELECT conv_id, CAST((rn - 1) // 20 AS BIGINT) AS block, string_agg(substr(role, 1, 1), '' ORDER BY rn) AS turns
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS rn FROM conversations) GROUP BY 1, 2""")
 def _(t):
-    letters = t.conversations.select("conv_id", "turn", F.substring("role", 1, 1).alias("letter"))
-    return letters.groupBy("conv_id").agg(A.concat_ordered("letter", "turn").alias("turns"))
+    letters = t.conversations.withColumn("letter", F.substring("role", 1, 1))
+    return A.concat_blocks(letters, "conv_id", ["turn", "role", "text"], "letter", "turns", block=20)
 
 
 @query("agg22_extreme_row", """

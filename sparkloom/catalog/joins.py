@@ -95,7 +95,7 @@ LEFT JOIN nation n ON n.n_nationkey = p.p_size""")
 def _(t):
     talks = t.part.select("p_partkey", "p_size", F.array(
         F.col("p_size").cast("bigint"), (F.col("p_size") * 2).cast("bigint"), F.col("p_partkey") % 7).alias("ids"))
-    linked = J.link_list(talks, "p_partkey", "ids", t.supplier, "s_suppkey", "s_name", "names")
+    linked = J.link_list(talks, "p_partkey", "ids", t.supplier, "s_suppkey", "s_name", "names", longest=3)
     return linked.join(t.nation, F.col("p_size") == F.col("n_nationkey"), "left").select(
         "p_partkey", F.array_join("names", ";").alias("speakers"), F.col("n_name").alias("venue"))
 

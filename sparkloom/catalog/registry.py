@@ -7,6 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkloom.session import prepare
 from sparkloom.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +21,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(Tables(prepare(spark), folder))
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -180,10 +180,12 @@ def _(t):
 
 
 @query("arr2_explode_collect", """
-SELECT p_partkey, string_agg(w, '|' ORDER BY w) AS words, COUNT(*) AS n FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY 1""")
+SELECT p_partkey, string_agg(DISTINCT w, '|' ORDER BY w) AS words, COUNT(*) AS n FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY 1""")
 def _(t):
     words = t.part.select("p_partkey", F.explode(F.split("p_name", " ")).alias("w"))
-    return words.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_list("w")), "|").alias("words"), F.count(F.lit(1)).alias("n"))
+    # counted first: a list then holds each word of the vocabulary at most once
+    counts = words.groupBy("p_partkey", "w").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_list("w")), "|").alias("words"), F.sum("n").alias("n"))
 
 
 @query("arr3_list_functions", """

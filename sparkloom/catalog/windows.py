@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sparkloom.catalog.games_sql import PCTG
 from sparkloom.catalog.registry import query
 from sparkloom.operators.dedup import runs
-from sparkloom.operators.groups import exact_avg, exact_sum, ranked, top_rows, with_group
+from sparkloom.operators.groups import exact_avg, exact_sum, ranked, top_rows, units, with_group
 from sparkloom.operators.ordered import Rolling, RowNumber, Running, Shift, over_order
 from sparkloom.plans import games as G
 
@@ -15,7 +15,7 @@ W = "(PARTITION BY user_id ORDER BY ts, event_id"
 
 def cents(df, col="value", out="cents"):
     """The amount as whole cents: running sums of it are exact."""
-    return df.withColumn(out, F.round(F.col(col) * 100).cast("bigint"))
+    return df.withColumn(out, units(col))
 
 
 @query("win1_latest_per_key", """

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import exact_avg, joined_on, quantiles, top_rows, whole
+from sparkloom.operators.ordered import RowNumber, over_order
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -67,6 +68,18 @@ def percent_true(test: Column) -> Column:
 
 
 def concat_ordered(col: str, order: str, sep: str = "", distinct: bool = False) -> Column:
-    """Strings of a group joined in order. The result is as long as the group's texts."""
+    """Strings of a small group joined in order."""
     d = "DISTINCT " if distinct else ""
     return F.expr(f"listagg({d}{col}, '{sep}') WITHIN GROUP (ORDER BY {order})")
+
+
+def concat_blocks(df: DataFrame, by: list[str] | str, order: list[str] | str, col: str, out: str, block: int = 1000) -> DataFrame:
+    """Strings of a group joined in order, in blocks of ``block`` rows numbered from 0.
+
+    The blocks of a group, one after the other, are its whole text; no task builds more
+    than one block at a time, however large the group is.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    placed = over_order(df, by, order, {"_n": RowNumber()})
+    blocks = placed.withColumn("block", F.floor((F.col("_n") - 1) / block))
+    return blocks.groupBy(*by, "block").agg(concat_ordered(col, "_n").alias(out))

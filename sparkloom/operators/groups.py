@@ -13,20 +13,24 @@ from pyspark.sql import functions as F
 from sparkloom.operators.ordered import Running, RowNumber, over_order, renamed
 
 
-def exact_sum(col: str | Column, scale: int = 2) -> Column:
-    """Sum of fixed-point amounts held as doubles; the same whatever the row order."""
+def units(col: str | Column, scale: int = 2) -> Column:
+    """A fixed-point amount held as a double, as a whole number of its smallest unit."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+    return F.rint(c * 10 ** scale).cast("bigint")
 
 
-def exact_avg(col: str | Column, scale: int = 2) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.try_divide(exact_sum(c, scale), F.count(c))
+def exact_sum(col: str | Column, scale: int = 2) -> Column:
+    """Sum of fixed-point amounts held as doubles; the same whatever the row order.
+
+    Whole units are added, which stays in generated code; past 9.2e18 units Spark raises
+    an overflow error.
+    """
+    return F.sum(units(col, scale)) / 10 ** scale
 
 
-def dec(col: str | Column, precision: int = 18, scale: int = 2) -> Column:
+def exact_avg(col: str | Column, scale: int = 2) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast(f"decimal({precision},{scale})")
+    return F.try_divide(exact_sum(c, scale), F.count(c))
 
 
 def whole(df: DataFrame, **aggs: Column) -> Column:

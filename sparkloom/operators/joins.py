@@ -31,13 +31,19 @@ def role_pairs(df: DataFrame, keys: list[str], role: Column, cols_a: list[str],
     return a.join(b, keys)
 
 
-def link_list(df: DataFrame, key: str, ids: str, other: DataFrame, other_key: str, value: str, out: str) -> DataFrame:
-    """Replace a list of foreign keys by the linked values, in list order, unknown keys left out."""
+def link_list(df: DataFrame, key: str, ids: str, other: DataFrame, other_key: str, value: str, out: str,
+              longest: int) -> DataFrame:
+    """Replace a list of foreign keys by the linked values, in list order, unknown keys left out.
+
+    ``longest`` is the length of the longest list: each position is one aggregate column, so
+    the lists are put together again without collecting rows.
+    """
     refs = df.select(key, F.posexplode(ids).alias("_i", "_id"))
+    refs = refs.withColumn("_i", F.when(F.col("_i") < longest, F.col("_i")).otherwise(
+        F.raise_error(F.lit("a list is longer than stated")).cast("int")))
     found = refs.join(other.select(F.col(other_key).alias("_id"), F.col(value).alias("_v")), "_id")
-    # a list holds a few ids, so the regrouped array has the size of the input row
-    lists = found.groupBy(key).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("_i", "_v"))), lambda x: x["_v"]).alias(out))
+    at = [F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(f"_{i}") for i in range(longest)]
+    lists = found.groupBy(key).agg(*at).select(key, F.array_compact(F.array(*[f"_{i}" for i in range(longest)])).alias(out))
     return joined_on(df.drop(ids), lists, key)
 
 
@@ -48,13 +54,16 @@ def match_rate(requests: DataFrame, accepts: DataFrame, keys: list[str], digits:
         F.round(F.try_divide(F.count("_hit").cast("double"), F.count(F.lit(1))), digits).alias("rate"))
 
 
-def product_with_values(df: DataFrame, values: DataFrame, col: str, out: str) -> DataFrame:
+def product_with_values(df: DataFrame, values: DataFrame, col: str, out: str, most: int = 1000) -> DataFrame:
     """Each row with each distinct value of a dictionary column of another table.
 
-    The dictionary is read as one array and unfolded, so no cross join is planned.
+    The dictionary is read as one array and unfolded, so no cross join is planned. A
+    column with more than ``most`` values is refused.
     """
-    domain = whole(values, v=F.sort_array(F.collect_set(col)))["v"]
-    return df.withColumn(out, F.explode(domain))
+    few = values.select(col).distinct().limit(most + 1)
+    domain = whole(few, v=F.sort_array(F.collect_set(col)))["v"]
+    checked = F.when(F.size(domain) <= most, domain).otherwise(F.raise_error(F.lit(f"{col} has too many values")))
+    return df.withColumn(out, F.explode(checked))
 
 
 def pair_counts(df: DataFrame, key: str, col: str, values: list, ordered: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.groups import quantiles, whole
+from sparkloom.operators.groups import exact_avg, quantiles, whole
 from sparkloom.operators.ordered import Ahead, RowNumber, Running, over_order
 
 
@@ -22,8 +22,7 @@ def fill_statistic(df: DataFrame, col: str, strategy: str, out: str) -> DataFram
 
 
 def fill_exact_mean(df: DataFrame, col: str, out: str, scale: int = 2) -> DataFrame:
-    total = whole(df, s=F.sum(F.col(col).cast(f"decimal(18,{scale})")).cast("double"), n=F.count(col))
-    return df.withColumn(out, F.coalesce(F.col(col), F.try_divide(total["s"], total["n"])))
+    return df.withColumn(out, F.coalesce(F.col(col), whole(df, m=exact_avg(col, scale))["m"]))
 
 
 def fill_ordered(df: DataFrame, by, order, col: str, forward: str | None = None,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import tokens
-from sparkloom.operators.groups import dec
+from sparkloom.operators.groups import exact_sum
 
 
 def postings(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -30,9 +30,9 @@ def discounts(lines: DataFrame, order: str, item: str, quantity: str, amount: st
     ``large_order`` or more distinct items give 7 %. ``points`` holds the fidelity of the
     buyer of each order; it is joined to the orders after their lines are summed up.
     """
-    bulky = F.when(F.col(quantity) >= bulk_units, dec(amount))
+    bulky = F.when(F.col(quantity) >= bulk_units, F.col(amount))
     per = lines.groupBy(order).agg(
-        F.sum(dec(amount)).cast("double").alias("total"), F.coalesce(F.sum(bulky).cast("double"), F.lit(0.0)).alias("_bulk"),
+        exact_sum(amount).alias("total"), F.coalesce(exact_sum(bulky), F.lit(0.0)).alias("_bulk"),
         F.count_distinct(item).alias("_items")).join(points.select(order, fidelity), order)
     total = F.col("total")
     out = per.select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.dates import month_start, season
-from sparkloom.operators.groups import exact_avg, exact_sum, joined_on, quantiles, with_group
+from sparkloom.operators.groups import exact_avg, exact_sum, joined_on, quantiles, units, with_group
 from sparkloom.operators.ordered import Rolling, Running, over_order
 
 UNITS = {"day": "INTERVAL 1 DAY", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH"}
@@ -47,7 +47,7 @@ def period_quantiles(df: DataFrame, ts: str, value: str, unit: str, probs: dict[
 def season_to_date(df: DataFrame, ts: str, value: str, first_month: int = 10) -> DataFrame:
     """Daily sums and their running sum, starting anew with each season."""
     days = df.groupBy(F.col(ts).cast("date").alias("day")).agg(
-        F.sum(F.round(F.col(value) * 100).cast("bigint")).alias("_cents"))
+        F.sum(units(value)).alias("_cents"))
     days = days.withColumn("season", season(F.col("day"), first_month))
     run = over_order(days, "season", "day", {"_run": Running("sum", "_cents")})
     return run.select("day", "season", (F.col("_cents") / 100).alias("total"), (F.col("_run") / 100).alias("to_date"))

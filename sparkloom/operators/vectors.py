@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from sparkloom.functions import arrays as A
 from sparkloom.operators.groups import joined_on, top_rows
 
-QUERIES_PER_PASS = 4096
+QUERIES_PER_PASS = 512
+ROWS_PER_STEP = 1024
 
 
 def vector_of(df: DataFrame, key: str, value, vector: str) -> Column:
@@ -90,14 +91,14 @@ def neighbours(queries: DataFrame, train: DataFrame, key: str, vector: str, k: i
             best = np.full((len(ids), 0), np.inf)
             names = np.zeros((len(ids), 0), dtype=np.int64)
             for batch in batches:
-                if batch.empty:
-                    continue
-                rows = np.array(batch[vector].tolist(), dtype=np.float64)
-                keys = np.broadcast_to(batch[key].to_numpy(), (len(ids), len(rows)))
-                gaps = np.stack([((rows - v) ** 2).sum(axis=1) for v in vectors])
-                best, names = np.hstack([best, gaps]), np.hstack([names, keys])
-                pick = np.lexsort((names, best), axis=1)[:, :k]
-                best, names = np.take_along_axis(best, pick, 1), np.take_along_axis(names, pick, 1)
+                for start in range(0, len(batch), ROWS_PER_STEP):
+                    step = batch.iloc[start:start + ROWS_PER_STEP]
+                    rows = np.array(step[vector].tolist(), dtype=np.float64)
+                    keys = np.broadcast_to(step[key].to_numpy(), (len(ids), len(rows)))
+                    gaps = np.stack([((rows - v) ** 2).sum(axis=1) for v in vectors])
+                    best, names = np.hstack([best, gaps]), np.hstack([names, keys])
+                    pick = np.lexsort((names, best), axis=1)[:, :k]
+                    best, names = np.take_along_axis(best, pick, 1), np.take_along_axis(names, pick, 1)
             width = best.shape[1]
             yield pd.DataFrame({f"query_{key}": np.repeat(ids, width), key: names.ravel(), "distance": np.sqrt(best.ravel())})
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.aggregates import modes
 from sparkloom.operators.filters import choose, recency
-from sparkloom.operators.groups import dec, exact_sum
+from sparkloom.operators.groups import exact_sum
 
 
 def stage_orders(orders: DataFrame, since: str = "1995-01-01") -> DataFrame:
@@ -91,7 +91,7 @@ def channel_metrics(orders: DataFrame, customer: DataFrame) -> DataFrame:
         part = orders.filter(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(
             exact_sum("o_totalprice").alias("v"), F.max("o_orderdate").alias("d"), F.count(F.lit(1)).alias("n"))
         parts = part if parts is None else parts.unionByName(part)
-    per = parts.groupBy("o_custkey").agg(F.sum(dec("v")).cast("double").alias("v"), F.max("d").alias("d"), F.sum("n").alias("n"))
+    per = parts.groupBy("o_custkey").agg(exact_sum("v").alias("v"), F.max("d").alias("d"), F.sum("n").alias("n"))
     return customer.select("c_custkey").join(per, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         "c_custkey", F.round(F.coalesce("v", F.lit(0.0)), 4).alias("lifetime_value"),
         F.col("d").cast("date").alias("last_order_date"), F.coalesce("n", F.lit(0)).cast("bigint").alias("total_orders"))

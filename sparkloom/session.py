@@ -18,12 +18,27 @@ DEFAULTS = {
 }
 
 
+# settings a query may rely on in a session it did not build
+RUNTIME = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where the next step then needs a shuffle of its own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_session(master: str | None = None, app: str = "sparkloom", **conf: str) -> SparkSession:
     """Build a session. ``master`` is left to spark-submit when it is not given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, **RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
