@@ -42,9 +42,9 @@ j AS (SELECT k.doc_id, e.v FROM k JOIN {E} e USING (vec_id))
 SELECT doc_id, COALESCE(n, 0) AS known_tokens, ROUND(first_dim, 6) AS first_dim, ROUND(last_dim, 6) AS last_dim FROM documents
 LEFT JOIN (SELECT doc_id, COUNT(*) AS n, AVG(v[1]) AS first_dim, AVG(v[64]) AS last_dim FROM j GROUP BY 1) USING (doc_id)""")
 def _(t):
-    from sparkloom.catalog.ml import word_ids
+    from sparkloom.catalog.ml import word_rows
     vocabulary = t.embeddings.select(F.col("vec_id").alias("word"), "embedding")
-    out = V.sentence_vectors(t.documents, "doc_id", word_ids(), vocabulary, "word", "embedding", DIMS)
+    out = V.sentence_vectors(t.documents, word_rows(t.documents), "doc_id", vocabulary, "word", "embedding", DIMS)
     return out.select("doc_id", F.col("weight").alias("known_tokens"), F.round(F.get("mean", F.lit(0)), 6).alias("first_dim"),
                       F.round(F.get("mean", F.lit(DIMS - 1)), 6).alias("last_dim"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -35,10 +35,21 @@ def initial(name: Column) -> Column:
     return F.regexp_replace(name, r"^(\S)\S*[ #]", "$1. ")
 
 
+def raw_tokens(text: Column) -> Column:
+    """Upper-case words split at hyphens and white space; may hold empty words."""
+    return F.split(F.upper(F.translate(text, "-\t\n\x0b\f\r", " " * 6)), " ")
+
+
 def tokens(text: Column) -> Column:
     """Upper-case words; hyphens separate words."""
-    spaced = F.translate(text, "-\t\n\x0b\f\r", " " * 6)
-    return F.filter(F.split(F.upper(spaced), " "), lambda w: w != "")
+    return F.filter(raw_tokens(text), lambda w: w != "")
+
+
+def token_rows(df: DataFrame, keys: list[str] | str, text: str, distinct: bool = False, out: str = "token") -> DataFrame:
+    """One row per word; empty words are dropped after the unfolding, in generated code."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    words = raw_tokens(F.col(text))
+    return df.select(*keys, F.explode(F.array_distinct(words) if distinct else words).alias(out)).filter(F.col(out) != "")
 
 
 @F.pandas_udf(StringType())

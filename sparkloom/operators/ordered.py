@@ -93,8 +93,10 @@ def renamed(df: DataFrame, keys: list[str], prefix: str) -> tuple[DataFrame, Col
     return out, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
-def _cuts(df: DataFrame, by: list[str], order: list[str]) -> DataFrame | None:
-    """Chunk borders of every group larger than one chunk, or None if there is none.
+def _cuts(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFrame, int] | None:
+    """Chunk borders of every group larger than one chunk and the longest list of them.
+
+    None if there is no such group.
 
     At most rows / rows_per_chunk borders exist in total, so they fit the driver.
     """
@@ -114,17 +116,19 @@ def _cuts(df: DataFrame, by: list[str], order: list[str]) -> DataFrame | None:
                                  lambda i: F.element_at("_s", i + 1)).alias("_cuts"))
     )
     rows = cuts.collect()
-    return df.sparkSession.createDataFrame(rows, cuts.schema) if rows else None
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, cuts.schema), max(len(r["_cuts"]) for r in rows)
 
 
-def _position(cuts: Column, key: Column) -> Column:
+def _position(cuts: Column, key: Column, longest: int) -> Column:
     """How many borders are at or below the key, by halving."""
     def step(found: Column, power: Column) -> Column:
         probe = found + power
         fits = (probe <= F.size(cuts)) & (F.get(cuts, probe - 1) <= key)
         return F.when(fits, probe).otherwise(found)
 
-    powers = F.array(*[F.lit(1 << p) for p in range(20, -1, -1)])
+    powers = F.array(*[F.lit(1 << p) for p in reversed(range(longest.bit_length()))])
     return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(powers, F.lit(0), step))
 
 
@@ -147,10 +151,11 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
     if cuts is None:
         return _windows(df, by, order, columns, descending).select(*kept, *columns)
 
-    borders, match = renamed(cuts, by, "_b_")
+    borders, longest = cuts
+    borders, match = renamed(borders, by, "_b_")
     frame = df.join(F.broadcast(borders), match, "left").select(
         *df.columns, F.col("_b__cuts").isNotNull().alias("_large"),
-        _position(F.col("_b__cuts"), F.struct(*order)).alias("_chunk"))
+        _position(F.col("_b__cuts"), F.struct(*order), longest).alias("_chunk"))
     large = frame.filter("_large").drop("_large")
     frame = frame.drop("_large").withColumn("_halo", F.lit(False))
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import tokens
+from sparkloom.functions.text import token_rows
 from sparkloom.operators.groups import exact_sum
 
 
 def postings(df: DataFrame, key: str, text: str) -> DataFrame:
     """One row per token and text. A common token is many rows, never one long list."""
-    words = F.array_distinct(tokens(F.col(text)))
-    return df.select(F.explode(words).alias("token"), key)
+    return token_rows(df, key, text, distinct=True)
 
 
 def all_tokens(index: DataFrame, key: str, query: str) -> DataFrame:

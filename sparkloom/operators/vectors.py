@@ -55,12 +55,14 @@ def mean_vectors(df: DataFrame, by: list[str] | str, vector: str, dims: int, wei
     return sums.withColumn("mean", F.transform(sums["sums"], lambda x: x / F.col("weight"))).drop("sums")
 
 
-def sentence_vectors(docs: DataFrame, key: str, words: Column, vocabulary: DataFrame, word: str, vector: str, dims: int) -> DataFrame:
+def sentence_vectors(docs: DataFrame, words: DataFrame, key: str, vocabulary: DataFrame, word: str, vector: str,
+                     dims: int) -> DataFrame:
     """Mean vector of the known tokens of each text; null and weight 0 where none is known.
 
-    Tokens are counted per text first, so a common word costs one row per text.
+    ``words`` has one row per token. Tokens are counted per text first, so a common word
+    costs one row per text.
     """
-    counts = docs.select(key, F.explode(words).alias(word)).groupBy(key, word).agg(F.count(F.lit(1)).alias("_n"))
+    counts = words.groupBy(key, word).agg(F.count(F.lit(1)).alias("_n"))
     known = counts.join(vocabulary.select(word, vector), word)
     means = mean_vectors(known, key, vector, dims, F.col("_n"))
     out = joined_on(docs.select(key), means, key)

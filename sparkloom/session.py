@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,10 +60,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/sparkloom/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut lineage through the shared folder so that a lost executor costs no recompute."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(spark))
-    return df.checkpoint()
+def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write the frame as a table in the shared folder and read it back.
+
+    A lost executor costs no recompute, and later steps read only the columns they use.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

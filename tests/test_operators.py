@@ -225,7 +225,8 @@ def test_vectors(spark):
     many = V.neighbours(words, words, "w", "v", 2, per_pass=1)
     assert rows(many) == rows(V.neighbours(words, words, "w", "v", 2))
     docs = spark.createDataFrame([(1, [1, 1, 2]), (2, [9])], "d int, ws array<bigint>")
-    out = rows(V.sentence_vectors(docs, "d", F.col("ws"), words, "w", "v", 2).select("d", "mean", "weight"))
+    tokens = docs.select("d", F.explode("ws").alias("w"))
+    out = rows(V.sentence_vectors(docs, tokens, "d", words, "w", "v", 2).select("d", "mean", "weight"))
     assert out == [(1, [pytest.approx(2 / 3), pytest.approx(1 / 3)], 3), (2, None, 0)]
 
 
