@@ -37,8 +37,7 @@ def cell(v):
     return str(v)
 
 
-def compare(spark, con, folder: str, name: str) -> str:
-    df = QUERIES[name](spark, folder)
+def compare(df, con, name: str) -> str:
     cols = sorted(df.columns)
     got = sorted(tuple(cell(v) for v in r) for r in df.select(*[f"`{c}`" for c in cols]).collect())
     if name not in ORACLES:
@@ -78,7 +77,7 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            result = compare(spark, con, folder, name)
+            result = compare(QUERIES[name](spark, folder), con, name)
         except Exception as error:  # report and go on to the next query
             result = "ERROR " + str(error)[:700]
         good = result.startswith(("ok", "rows"))

@@ -77,15 +77,21 @@ def _(t):
                                       F.max("k").cast("bigint").alias("place"))
 
 
-@query("srt1_several_keys", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 200")
+@query("srt1_several_keys", """
+SELECT o_orderkey, o_orderpriority, o_totalprice, ROW_NUMBER() OVER (ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) AS place FROM orders""")
 def _(t):
-    return (t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
-            .orderBy(F.asc("o_orderpriority"), F.desc("o_totalprice"), "o_orderkey").limit(200))
+    src = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice").withColumn("_falling", -F.col("o_totalprice"))
+    placed = over_order(src, [], ["o_orderpriority", "_falling", "o_orderkey"], {"place": RowNumber()})
+    return placed.drop("_falling").orderBy(F.asc("o_orderpriority"), F.desc("o_totalprice"), "o_orderkey")
 
 
-@query("srt2_derived_key", "SELECT p_partkey, p_name FROM part ORDER BY right(p_name, 1), length(p_name), p_partkey LIMIT 200")
+@query("srt2_derived_key", """
+SELECT p_partkey, p_name, ROW_NUMBER() OVER (ORDER BY right(p_name, 1), length(p_name), p_partkey) AS place FROM part""")
 def _(t):
-    return t.part.select("p_partkey", "p_name").orderBy(F.expr("right(p_name, 1)"), F.length("p_name"), "p_partkey").limit(200)
+    last, size = F.expr("right(p_name, 1)"), F.length("p_name")
+    src = t.part.select("p_partkey", "p_name", last.alias("_last"), size.alias("_size"))
+    placed = over_order(src, [], ["_last", "_size", "p_partkey"], {"place": RowNumber()})
+    return placed.select("p_partkey", "p_name", "place").orderBy(last, size, "p_partkey")
 
 
 @query("srt3_next_rows", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' ORDER BY o_orderdate, o_orderkey LIMIT 15")

@@ -248,7 +248,9 @@ def _(t):
                         L.estimator("regressor.boosted", "known", maxIter=5)).select("l_orderkey", "l_linenumber", "l_partkey", "filled")
 
 
-@query("nul3_imputer")
+@query("nul3_imputer", """
+SELECT 'reading' AS column_name, COUNT(*) FILTER (WHERE event_type = 'error') AS nulls, ROUND(COUNT(*) FILTER (WHERE event_type = 'error') / COUNT(*), 6) AS null_share FROM events
+UNION ALL SELECT 'reading_imputed', 0, 0.0""")
 def _(t):
     src = t.events.select("event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("reading"))
-    return null_profile(L.impute(src, ["reading"], "mean"), ["reading", "reading_imputed"])
+    return round_doubles(null_profile(L.impute(src, ["reading"], "mean"), ["reading", "reading_imputed"]))
