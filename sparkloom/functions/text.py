@@ -37,7 +37,7 @@ def initial(name: Column) -> Column:
 
 def raw_tokens(text: Column) -> Column:
     """Upper-case words split at hyphens and white space; may hold empty words."""
-    return F.split(F.upper(F.translate(text, "-\t\n\x0b\f\r", " " * 6)), " ")
+    return F.split(F.upper(text), r"[-\s]+")
 
 
 def tokens(text: Column) -> Column:

@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators.groups import quantiles, ranked
+from sparkloom.operators.groups import quantiles, ranked, with_group
 from sparkloom.operators.nulls import interpolate
 from sparkloom.operators.ordered import ROWS_CONF, Ahead, Rolling, RowNumber, Running, Shift, over_order
+from sparkloom.session import prepare, scratch_path
 
 SPECS = {
     "s": Running("sum", "v"), "c": Running("count", "v"), "lo": Running("min", "v"), "hi": Running("max", "v"),
@@ -101,3 +102,26 @@ def test_interpolation_leaves_known_points(spark, frame):
     for r in out.withColumn("filled", F.col("filled").cast("double")).collect():
         w = want[r["id"]]
         assert (w != w and r["filled"] is None) or r["filled"] == pytest.approx(w)
+
+
+def test_joins_of_group_values_are_split_on_skew(spark):
+    """A key with most of the rows is split by adaptive execution, also before a group-by on the same key."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    path = scratch_path(spark, "skew")
+    spark.range(200_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), F.rand(1).alias("v"),
+                                F.col("id")).repartition(8).write.parquet(path)
+    df = spark.read.schema("k bigint, v double, id bigint").parquet(path)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        prepare(spark)
+        out = with_group(df, "k", total=F.sum("v")).groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("total").alias("t"), F.max("v").alias("v"), F.max("id").alias("id"))
+        got = {r["k"]: r["n"] for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert got[7] > 66_000 and sum(got.values()) == 200_000
+    assert "skew=true" in plan
