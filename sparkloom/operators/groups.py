@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.operators.ordered import Running, RowNumber, over_order, renamed
+from sparkloom.operators.ordered import RowNumber, Running, Total, over_order, renamed
 
 
 def units(col: str | Column, scale: int = 2) -> Column:
@@ -92,11 +92,7 @@ def quantiles(df: DataFrame, by: list[str] | str, value: str, probs: dict[str, f
     src = df if by else df.withColumn("_all", F.lit(0))
     counts = (src.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    cum = over_order(counts, keys, ["_v"], {"_cum": Running("sum", "_n")}, bound=src)
-    if by:
-        cum = with_group(cum, keys, _total=F.sum("_n"))
-    else:
-        cum = cum.withColumn("_total", whole(counts, t=F.sum("_n"))["t"])
+    cum = over_order(counts, keys, ["_v"], {"_cum": Running("sum", "_n"), "_total": Total("sum", "_n")}, bound=src)
 
     def at(index: Column) -> Column:
         inside = (index >= F.col("_cum") - F.col("_n")) & (index < F.col("_cum"))

@@ -57,6 +57,13 @@ class Rolling:
     min_periods: int = 1
 
 
+@dataclass(frozen=True)
+class Total:
+    """Aggregate over the whole group: sum, count, min, max."""
+    fn: str
+    col: str
+
+
 @dataclass(frozen=True)
 class RowNumber:
     """1-based position in the group."""
@@ -174,6 +181,12 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
             name: _combine("count" if isinstance(spec, RowNumber) else getattr(spec, "fn", "last"),
                            F.col("_b_" + name), F.col(name))
             for name, spec in columns.items() if isinstance(spec, (Running, RowNumber, Ahead))})
+    totals = {name: spec for name, spec in columns.items() if isinstance(spec, Total)}
+    if totals:  # one row per large group
+        sums, match = renamed(large.groupBy(*by).agg(
+            *[_AGG[spec.fn](spec.col).alias(name) for name, spec in totals.items()]), by, "_t_")
+        result = result.join(F.broadcast(sums), match, "left").withColumns({
+            name: F.coalesce(F.col("_t_" + name), F.col(name)) for name in totals})
     return result.select(*kept, *columns)
 
 
@@ -194,6 +207,9 @@ def _windows(frame: DataFrame, by, order, columns, descending) -> DataFrame:
     for name, item in columns.items():
         if isinstance(item, Running):
             out[name] = _AGG[item.fn](own(F.col(item.col))).over(forward.rowsBetween(*so_far))
+        elif isinstance(item, Total):
+            group = Window.partitionBy(*by, *(["_chunk"] if chunked else []))
+            out[name] = _AGG[item.fn](own(F.col(item.col))).over(group)
         elif isinstance(item, RowNumber):
             out[name] = F.count(own(F.lit(1))).over(forward.rowsBetween(*so_far))
         elif isinstance(item, Ahead):

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import quantiles, ranked, with_group
 from sparkloom.operators.nulls import interpolate
-from sparkloom.operators.ordered import ROWS_CONF, Ahead, Rolling, RowNumber, Running, Shift, over_order
+from sparkloom.operators.ordered import ROWS_CONF, Ahead, Rolling, RowNumber, Running, Shift, Total, over_order
 from sparkloom.session import prepare, scratch_path
 
 SPECS = {
     "s": Running("sum", "v"), "c": Running("count", "v"), "lo": Running("min", "v"), "hi": Running("max", "v"),
     "last": Running("last", "v"), "next": Ahead("v"), "lag": Shift("v", 2), "lead": Shift("v", -3),
-    "roll": Rolling("sum", "v", 4), "full": Rolling("avg", "v", 3, 3), "n": RowNumber()}
+    "roll": Rolling("sum", "v", 4), "full": Rolling("avg", "v", 3, 3), "n": RowNumber(), "t": Total("sum", "v"), "tc": Total("count", "v")}
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,9 @@ def expected(rows, by, descending):
                 sum(seen) if seen else None, len(seen), min(seen, default=None), max(seen, default=None),
                 seen[-1] if seen else None, later[0] if later else None, vals[i - 2] if i >= 2 else None,
                 vals[i + 3] if i + 3 < len(vals) else None, sum(frame4) if frame4 else None,
-                sum(frame3) / 3 if len(frame3) == 3 else None, i + 1)
+                sum(frame3) / 3 if len(frame3) == 3 else None, i + 1,
+                sum(x for x in vals if x is not None) if any(x is not None for x in vals) else None,
+                sum(x is not None for x in vals))
     return out
 
 
