@@ -217,9 +217,9 @@ def _(t):
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type || '_' || json_extract_string(props, '$.k') AS ver_name, value AS coef FROM events""")
 def _(t):
     made = t.events.withColumn("v", F.to_json(F.struct(
-        F.concat_ws("_", "event_type", F.get_json_object("props", "$.k")).alias("DUMMY_VER_NAME"),
-        F.col("value").alias("DUMMY_COEF"))))
+        F.concat_ws("_", "event_type", F.get_json_object("props", "$.k")).alias("VER_NAME"),
+        F.col("value").alias("COEF"))))
     variant = F.parse_json("v")
     return made.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
-                       F.variant_get(variant, "$.DUMMY_VER_NAME", "string").alias("ver_name"),
-                       F.variant_get(variant, "$.DUMMY_COEF", "double").alias("coef"))
+                       F.variant_get(variant, "$.VER_NAME", "string").alias("ver_name"),
+                       F.variant_get(variant, "$.COEF", "double").alias("coef"))

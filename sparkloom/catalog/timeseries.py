@@ -6,7 +6,6 @@ from sparkloom.catalog.registry import query
 from sparkloom.functions import dates as D
 from sparkloom.operators import timeseries as S
 from sparkloom.operators.aggregates import describe
-from sparkloom.operators.groups import exact_sum
 
 DEC = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
 

@@ -21,7 +21,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ROWS_CONF = "spark.sparkloom.window.rows"
 DEFAULT_ROWS = 4_000_000
