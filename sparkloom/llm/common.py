@@ -67,11 +67,11 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
-def word_hashes(text: bytes | None) -> np.ndarray:
-    """Hashes of the words of a text in order; A-Z lower-cased, words end at ASCII white space."""
+def word_hashes(text: bytes | None, lower: bool = True) -> np.ndarray:
+    """Hashes of the words of a text in order; A-Z lower-cased if asked, words end at ASCII white space."""
     if not text:
         return np.empty(0, np.uint64)
-    words = text.lower().split()
+    words = (text.lower() if lower else text).split()
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
