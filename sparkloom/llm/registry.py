@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sparkloom.llm import mixing, packing, quality_rules, token_file
+from sparkloom.llm import licenses, mixing, packing, quality_rules, secrets, token_file
 
-MODULES = (mixing, token_file, packing, quality_rules)
+MODULES = (mixing, token_file, packing, secrets, licenses, quality_rules)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
