@@ -145,3 +145,29 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     if found is None:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return found
+
+
+LEVELS, BITS = 4, 15
+
+
+def nested_limits(rows: DataFrame) -> DataFrame:
+    """Where a budget ends in hash order, without sorting: (key, limit, limit_left, limit_size).
+
+    ``rows``: key, h (0 .. 2^60 - 1), size (above 0), left (the key's budget, 1 .. sum of its sizes). Rows with
+    h < limit fit whole; ``limit_left`` is what is left for the rows that hold the limit, ``limit_size`` their
+    size. Sizes are summed by key and leading digit of h; only rows in the digit where the budget ends go on to
+    the next digit. A histogram holds at most 2^15 counters a key.
+    """
+    from pyspark.sql import Window
+
+    for level in range(LEVELS):
+        digit = F.shiftright("h", BITS * (LEVELS - 1 - level)).bitwiseAND((1 << BITS) - 1)
+        sums = rows.groupBy("key", digit.alias("digit")).agg(
+            F.sum("size").alias("held"), F.min("left").alias("left"), F.min("h").alias("limit"))
+        upto = F.sum("held").over(Window.partitionBy("key").orderBy("digit"))
+        ends = sums.withColumn("upto", upto).where("upto >= left and upto - held < left").select(
+            "key", "digit", "held", "limit", (F.col("left") - F.col("upto") + F.col("held")).alias("left"))
+        if level < LEVELS - 1:
+            rows = stage(rows.drop("left").withColumn("digit", digit)
+                         .join(ends.select("key", "digit", "left"), ["key", "digit"]).drop("digit"), "limit")
+    return ends.select("key", "limit", F.col("left").alias("limit_left"), F.col("held").alias("limit_size"))

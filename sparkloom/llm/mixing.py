@@ -20,11 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WORD, documents, hash60, offsets, ready, stage
+from sparkloom.llm.common import WORD, documents, hash60, nested_limits, offsets, ready, stage
 
 WEIGHTS = (5, 2, 1)
-LEVELS, BITS = 4, 15
-
 
 def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -70,18 +68,7 @@ def limits(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     rounds = wanted.withColumn("passes", passes).withColumn(
         "words", F.floor(F.col("target") - F.col("passes") * F.col("source_size") + 0.5).cast("long"))
     rows = sizes.where("size > 0").join(rounds.where("words > 0").select("key", F.col("words").alias("left")), "key")
-    for level in range(LEVELS):
-        digit = F.shiftright("h", BITS * (LEVELS - 1 - level)).bitwiseAND((1 << BITS) - 1)
-        sums = rows.groupBy("key", digit.alias("digit")).agg(
-            F.sum("size").alias("held"), F.first("left").alias("left"), F.min("h").alias("limit"))
-        upto = F.sum("held").over(Window.partitionBy("key").orderBy("digit"))
-        ends = sums.withColumn("upto", upto).where("upto >= left and upto - held < left").select(
-            "key", "digit", "held", "limit", (F.col("left") - F.col("upto") + F.col("held")).alias("left"))
-        if level < LEVELS - 1:
-            rows = stage(rows.drop("left").withColumn("digit", digit)
-                         .join(ends.select("key", "digit", "left"), ["key", "digit"]).drop("digit"), "limit")
-    ends = ends.select("key", "limit", F.col("left").alias("limit_left"), F.col("held").alias("limit_size"))
-    return stage(rounds.drop("words").join(ends, "key", "left"), "limits")
+    return stage(rounds.drop("words").join(nested_limits(rows), "key", "left"), "limits")
 
 
 def taken_words() -> Column:
