@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sparkloom.llm import importance, licenses, mixing, near_dedup, packing, quality_rules, secrets, token_file
+from sparkloom.llm import importance, licenses, mixing, near_dedup, neighbours, packing, quality_rules, secrets, token_file
 
-MODULES = (mixing, token_file, packing, secrets, importance, near_dedup, licenses, quality_rules)
+MODULES = (mixing, token_file, packing, secrets, importance, near_dedup, licenses, quality_rules, neighbours)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
