@@ -19,6 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH = {  # texts vary by a factor of a thousand: bound an Arrow batch by bytes as well as by rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    # each step is written to the shared folder, so its shuffle files may go when it is done
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
@@ -46,6 +48,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return checkpointed(df, name)
 
 
+def drop(*staged: DataFrame) -> None:
+    """Delete staged tables that no later step reads."""
+    for df in staged:
+        files = df.inputFiles()
+        if files:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def hash60(column: Column | str, salt: str) -> Column:
     """0 .. 2^60 - 1 from a value's text (null is a value of its own); the same in any SQL engine that has MD5."""
     text = F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("null").cast("string"))
