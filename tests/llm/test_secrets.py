@@ -1,0 +1,104 @@
+"""Base kinds against re, the test battery against its definition, and redaction."""
+
+import hashlib
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from sparkloom.llm import secrets as S
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def written(spans):
+    return ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def check(df):
+    rows = df.select("doc_id", "text").collect()
+    got = sorted(map(tuple, S.scan(df).drop("spans").collect()), key=str)
+    want = []
+    for r in rows:
+        b = base(r.text or "")
+        n = [sum(k == i for _, k, _ in b) for i in range(3)]
+        want.append((r.doc_id, *n, hashlib.sha256(written(b).encode()).hexdigest()))
+    assert got == sorted(want, key=str)
+
+
+def test_base_kinds(spark, hard, make, sf):
+    check(hard)
+    r = random.Random(2)
+    parts = ["token", "Secret", "api_key", "=", ":", " ", "'", "abcd", "AKIA", "ABCDEFGHIJKLMNOP", "é", "\U0001f600",
+             "0123456789abcdef", "\n", "x", "====", "PASSWD"]
+    check(make([(i, "".join(r.choices(parts, k=r.randint(0, 25))), "en", "a") for i in range(400)]))
+    many = " ".join(f"token={'a' * 8}{i}" for i in range(2000))  # several chunks of running sums
+    check(make([(1, many, "en", "a")]))
+    check(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def test_runs_of_letters_and_digits(make):
+    r = random.Random(5)
+    hexes = ["".join(r.choices("0123456789abcdef", k=28)) for _ in range(60)]
+    words = ["the" * 8 + "1", "abababababababababababab12", "aaaaaaaaaaaaaaaaaaaaaaaa0000"]
+    docs = make([(i, f"see {h} here", "en", "a") for i, h in enumerate(hexes)]
+                + [(100 + i, f"see {w} here", "en", "a") for i, w in enumerate(words)])
+    spans = {r.doc_id: r.spans for r in S.scan(docs).collect()}
+    assert sum(spans[i] == "random:4:32" for i in range(60)) >= 55
+    assert all(spans[100 + i] == "" for i in range(3))
+
+
+def plain_p(encoding, hit):
+    alphabet = S.ALPHABETS[encoding]
+    x = [alphabet.index(c) for c in (hit.lower() if encoding in (0, 2) else hit)]
+    n, k = len(x), len(alphabet)
+    chi = k / n * sum(x.count(v) ** 2 for v in set(x)) - n
+    high = [v >= k / 2 for v in x]
+    ones, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    mean = 2 * ones * (n - ones) / n + 1
+    z_runs = abs(runs - mean) / math.sqrt((mean - 1) * (mean - 2) / (n - 1)) if (mean - 1) * (mean - 2) > 0 else 9
+    m = sum(x) / n
+    spread = sum((v - m) ** 2 for v in x)
+    z_lag = abs(sum((a - m) * (b - m) for a, b in zip(x, x[1:])) / spread + 1 / n) * math.sqrt(n) if spread else 9
+    tail = lambda z: max(math.erfc(z / math.sqrt(2)) / 2, 1e-300)
+    half = -(math.log(tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)))
+             + math.log(min(2 * tail(z_runs), 1)) + math.log(min(2 * tail(z_lag), 1)))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def test_battery(spark):
+    r = random.Random(8)
+    rows = [(e, "".join(r.choices(S.ALPHABETS[e], k=r.randint(20, 90)))) for e in range(4) for _ in range(15)]
+    rows += [(0, "a" * 30), (2, "ab1" * 20), (3, "A" * 30 + "9" * 30)]
+    got = spark.createDataFrame(rows, "e int, hit string").select("e", "hit", S.battery(F.col("e"), F.col("hit")).alias("p")).collect()
+    for row in got:
+        assert abs(row.p - plain_p(row.e, row.hit)) < 1e-4
+
+
+def test_redaction(hard, make):
+    clean = {(r.doc_id, r.text): r for r in hard.collect()}
+    got = S.redact(hard)
+    assert got.columns == hard.columns
+    rows = got.collect()
+    assert len(rows) == len(hard.collect())
+    for r in rows:
+        assert r.text is None or r.n_chars == len(r.text)
+        if (r.doc_id, r.text) not in clean:
+            assert r.doc_id in (17, 18) and "[secret]" in r.text
+    text = {r.doc_id: r.text for r in rows}
+    assert text[17] == "the key is [secret]\" and [secret] [secret]"
+    assert text[18] == "token=short [secret] secret=abc:[secret] [secret]'"
+    assert S.scan(make([]).limit(0)).collect() == [] and S.redact(make([]).limit(0)).collect() == []
+
+
+def test_native_plan(spark, hard):
+    plan = S.scan(hard)._jdf.queryExecution().toString() + S.redact(hard)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
