@@ -59,8 +59,9 @@ def drop(*staged: DataFrame) -> None:
 
 def hash60(column: Column | str, salt: str) -> Column:
     """0 .. 2^60 - 1 from a value's text (null is a value of its own); the same in any SQL engine that has MD5."""
-    text = F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("null").cast("string"))
-    return F.conv(F.substring(F.md5(F.concat(text.cast("string"), F.lit(salt))), 1, 15), 16, 10).cast("long")
+    value = F.col(column) if isinstance(column, str) else column
+    text = F.coalesce(value.cast("string"), F.lit("null"))
+    return F.conv(F.substring(F.md5(F.concat(text, F.lit(salt))), 1, 15), 16, 10).cast("long")
 
 
 class WordHashes(dict):

@@ -40,8 +40,16 @@ BINS = 100
 CHUNK = 512
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_sums(values: Column) -> Column:
-    """Sums of all values before each one; in chunks, so a list of n takes n * n / 512 steps and not n * n."""
+    """Sums of all values before each one; in chunks, so a list of n takes n * n / 512 steps and not n * n.
+
+    ``values`` must be a variable of a lambda (see ``let``), since each chunk names it again.
+    """
     def inside(first: Column) -> Column:
         base = F.aggregate(F.slice(values, F.lit(1), first * CHUNK), F.lit(0), lambda a, x: a + x)
         part = F.slice(values, first * CHUNK + 1, F.lit(CHUNK))
@@ -54,31 +62,34 @@ def running_sums(values: Column) -> Column:
 
 def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Spans of the matches (leftmost, non-overlapping) whose ``group`` has ``least`` or more characters."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.coalesce(F.length(h), F.lit(0)))
-    starts = F.zip_with(running_sums(steps), gaps, lambda a, g: a + F.length(g))
-    spans = F.zip_with(starts, hits, lambda s, h: F.struct(
-        s.alias("start"), F.lit(kind).alias("kind"), (s + F.length(h)).alias("end"), h.alias("hit")))
-    spans = F.filter(spans, lambda x: x["hit"].isNotNull())
-    if group:
-        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        spans = F.zip_with(spans, values, lambda x, v: F.struct(x["start"], x["kind"], x["end"], v.alias("hit")))
-        spans = F.filter(spans, lambda x: F.length(x["hit"]) >= least)
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,hit:string>>"))
+    def spans(x: Column) -> Column:
+        steps = F.zip_with(x["gaps"], x["hits"], lambda g, h: F.length(g) + F.coalesce(F.length(h), F.lit(0)))
+        begins = let(steps, running_sums)
+        rows = F.arrays_zip(begins.alias("begin"), x["gaps"].alias("gap"), x["hits"].alias("hit"), x["values"].alias("value"))
+        rows = F.filter(rows, lambda r: r["hit"].isNotNull() & (F.length(r["value"]) >= least))
+        return F.transform(rows, lambda r: F.struct(
+            (r["begin"] + F.length(r["gap"])).alias("start"), F.lit(kind).alias("kind"),
+            (r["begin"] + F.length(r["gap"]) + F.length(r["hit"])).alias("end"), r["hit"].alias("hit")))
+
+    found = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,hit:string>>")
+    return F.when(text.rlike(pattern), let(found, spans)).otherwise(none)
 
 
 def upper_tail(z: Column) -> Column:
     """Chance of a standard normal value above z (rational approximation, error below 1e-7)."""
-    a = F.abs(z)
-    t = F.lit(1.0) / (a * 0.2316419 + 1.0)
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-a * a / 2) * 0.3989422804014327 * poly
-    return F.greatest(F.when(z < 0, 1 - tail).otherwise(tail), F.lit(1e-300))
+    def tail(x: Column) -> Column:
+        t = x["t"]
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        return F.struct(x["z"].alias("z"), (F.exp(-x["z"] * x["z"] / 2) * 0.3989422804014327 * poly).alias("p"))
+
+    steps = let(let(z, lambda v: F.struct(v.alias("z"), (1.0 / (F.abs(v) * 0.2316419 + 1.0)).alias("t"))), tail)
+    return let(steps, lambda x: F.greatest(F.when(x["z"] < 0, 1 - x["p"]).otherwise(x["p"]), F.lit(1e-300)))
 
 
 def tested(hit: Column) -> Column:
-    """struct(encoding, n, p) of a run; p is null for runs that are all letters or all digits."""
+    """struct(encoding, hit) of a run; null for runs that are all letters or all digits."""
     encoding = (F.when(hit.rlike("^([0-9a-f]+|[0-9A-F]+)$"), 0).when(hit.rlike("^[A-Z2-7]+$"), 1)
                 .when(hit.rlike("^([a-z0-9]+|[A-Z0-9]+)$"), 2).otherwise(3))
     mixed = hit.rlike("[0-9]") & hit.rlike("[A-Za-z]")
@@ -89,32 +100,45 @@ def battery(encoding: Column, hit: Column) -> Column:
     """p-value of the three tests for one run."""
     alphabet = F.element_at(F.array(*map(F.lit, ALPHABETS)), encoding + 1)
     folded = F.when((encoding == 0) | (encoding == 2), F.lower(hit)).otherwise(hit)
-    symbols = F.filter(F.split(folded, ""), lambda c: c != "")
-    # instr with a column as second argument exists as SQL only
-    places = F.transform(symbols, lambda c: F.call_function("instr", alphabet, c) - 1)
-    return F.element_at(F.transform(F.array(F.struct(places.alias("x"), F.length(alphabet).cast("double").alias("k"))), _tests), 1)
+    places = let(alphabet, lambda a: F.struct(
+        F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), lambda c: F.call_function("instr", a, c) - 1).alias("x"),
+        F.length(a).cast("double").alias("k")))
+    tails = let(let(let(places, _sums), _scores), lambda z: F.struct(
+        upper_tail(z["chi"]).alias("chi"), F.least(2 * upper_tail(z["runs"]), F.lit(1.0)).alias("runs"),
+        F.least(2 * upper_tail(z["lag"]), F.lit(1.0)).alias("lag")))
+    half = let(tails, lambda p: -(F.log(p["chi"]) + F.log(p["runs"]) + F.log(p["lag"])))
+    return let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2))
+
+
+def _pairs(f, a: Column) -> Column:
+    return F.zip_with(F.slice(a, F.lit(1), F.size(a) - 1), F.slice(a, F.lit(2), F.size(a) - 1), f)
 
 
-def _tests(run: Column) -> Column:
+def _sums(run: Column) -> Column:
+    """What the tests need to know of a run: length, alphabet, sums of squares, runs, sums of neighbours."""
     x, k = run["x"], run["k"]
-    n = F.size(x).cast("double")
-    squares = F.aggregate(F.array_distinct(x), F.lit(0.0), lambda a, v: a + F.pow(F.size(F.filter(x, lambda y: y == v)).cast("double"), 2.0))
-    chi = k / n * squares - n
-    z_chi = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+    total = lambda a, zero: F.aggregate(a, zero, lambda s, v: s + v)
     high = F.transform(x, lambda v: (v >= k / 2).cast("int"))
-    ones = F.aggregate(high, F.lit(0), lambda a, v: a + v).cast("double")
-    pairs = lambda f, a: F.zip_with(F.slice(a, F.lit(1), F.size(a) - 1), F.slice(a, F.lit(2), F.size(a) - 1), f)
-    runs = F.aggregate(pairs(lambda a, b: (a != b).cast("int"), high), F.lit(1), lambda a, v: a + v)
-    mean = 2 * ones * (n - ones) / n + 1
-    z_runs = F.when((mean - 1) * (mean - 2) <= 0, F.lit(9.0)).otherwise(
-        F.abs(runs - mean) / F.sqrt(F.greatest((mean - 1) * (mean - 2), F.lit(1e-9)) / (n - 1)))
-    middle = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
-    spread = F.aggregate(x, F.lit(0.0), lambda a, v: a + F.pow(v - middle, 2.0))
-    lag = F.aggregate(pairs(lambda a, b: (a - middle) * (b - middle), x), F.lit(0.0), lambda a, v: a + v)
-    z_lag = F.when(spread <= 0, F.lit(9.0)).otherwise(F.abs(lag / F.greatest(spread, F.lit(1e-9)) + 1 / n) * F.sqrt(n))
-    half = -(F.log(upper_tail(z_chi)) + F.log(F.least(2 * upper_tail(z_runs), F.lit(1.0)))
-             + F.log(F.least(2 * upper_tail(z_lag), F.lit(1.0))))
-    return F.exp(-half) * (1 + half + half * half / 2)
+    squares = F.transform(F.array_distinct(x), lambda v: F.pow(F.size(F.filter(x, lambda y: y == v)).cast("double"), F.lit(2.0)))
+    middle = total(x, F.lit(0)).cast("double") / F.size(x)
+    return let(middle, lambda m: F.struct(
+        F.size(x).cast("double").alias("n"), k.alias("k"), total(squares, F.lit(0.0)).alias("squares"),
+        total(high, F.lit(0)).cast("double").alias("ones"),
+        total(_pairs(lambda a, b: ((a >= k / 2) != (b >= k / 2)).cast("int"), x), F.lit(1)).alias("runs"),
+        total(F.transform(x, lambda v: (v - m) * (v - m)), F.lit(0.0)).alias("spread"),
+        total(_pairs(lambda a, b: (a - m) * (b - m), x), F.lit(0.0)).alias("lag")))
+
+
+def _scores(s: Column) -> Column:
+    """Normal scores of the three tests."""
+    n, k = s["n"], s["k"]
+    chi = (k / n * s["squares"] - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+    mean = 2 * s["ones"] * (n - s["ones"]) / n + 1
+    runs = let(mean, lambda m: F.when((m - 1) * (m - 2) <= 0, F.lit(9.0)).otherwise(
+        F.abs(s["runs"] - m) / F.sqrt(F.greatest((m - 1) * (m - 2), F.lit(1e-9)) / (n - 1))))
+    lag = F.when(s["spread"] <= 0, F.lit(9.0)).otherwise(
+        F.abs(s["lag"] / F.greatest(s["spread"], F.lit(1e-9)) + 1 / n) * F.sqrt(n))
+    return F.struct(chi.alias("chi"), runs.alias("runs"), lag.alias("lag"))
 
 
 def length_class(n: Column) -> Column:
@@ -129,7 +153,7 @@ def found_spans(text: Column) -> dict[str, Column]:
     runs = F.transform(matches(text, RUN, 4), lambda x: F.struct(
         x["start"], x["kind"], x["end"], tested(x["hit"]).alias("t")))
     runs = F.transform(F.filter(runs, lambda x: x["t"].isNotNull()), lambda x: F.struct(
-        x["start"], x["kind"], x["end"],
+        x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"),
         (x["t"]["encoding"] * (len(LENGTHS) + 1) + length_class(x["end"] - x["start"])).alias("stratum"),
         battery(x["t"]["encoding"], x["t"]["hit"]).alias("p")))
     return {"base": F.array_sort(F.concat(*map(trim, base))), "runs": runs}
@@ -149,7 +173,7 @@ def limits(runs: DataFrame, q: float = 0.05) -> dict[int, float]:
     return {r[0]: r[1] / BINS for r in good.groupBy("stratum").agg(F.min("bin")).collect()}
 
 
-def reported(limit: dict[int, float], base: str = "base", runs: str = "runs") -> Column:
+def reported(limit: dict[int, float], base: Column, runs: Column) -> Column:
     """All spans by start and kind."""
     cut = F.create_map(*[F.lit(x) for pair in sorted(limit.items()) for x in pair]) if limit else None
     keep = F.array().cast(SPANS) if cut is None else F.transform(
@@ -171,7 +195,7 @@ def scan(docs: DataFrame, q: float = 0.05) -> DataFrame:
     limit = limits(rows, q)
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
     return rows.select("doc_id", count(1).alias("n_assign"), count(2).alias("n_access"), count(3).alias("n_hex"),
-                       F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(reported(limit)).alias("spans"))
+                       F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(reported(limit, F.col("base"), F.col("runs"))).alias("spans"))
 
 
 def cut_out(text: Column, spans: Column, mark: str) -> Column:
@@ -189,14 +213,16 @@ def redact(docs: DataFrame, q: float = 0.05, mark: str = "[secret]") -> DataFram
     """Every row, with its secrets replaced; texts without secrets stay as they are."""
     spans = found_spans(F.col("text").cast("string"))
     limit = limits(stage(docs.select(spans["runs"].alias("runs")).where(F.size("runs") > 0), "runs"), q)
-    rows = docs.withColumns({"__base": spans["base"], "__runs": spans["runs"]})
-    rows = rows.withColumn("__spans", reported(limit, "__base", "__runs"))
-    all_spans = F.col("__spans")
-    text = F.when(F.size(all_spans) > 0, cut_out(F.col("text"), all_spans, mark)).otherwise(F.col("text"))
-    out = {"text": text}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.size(all_spans) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumns(out).select(*docs.columns)
+    found = let(F.struct(spans["base"].alias("base"), spans["runs"].alias("runs")),
+                lambda x: reported(limit, x["base"], x["runs"]))
+    text = F.col("text")
+    clean = let(found, lambda x: F.when(F.size(x) > 0, cut_out(text, x, mark)).otherwise(text))
+    if "n_chars" not in docs.columns:
+        return docs.withColumn("text", clean)
+    both = let(clean, lambda t: F.struct(t.alias("text"), F.when(t.eqNullSafe(text), F.col("n_chars")).otherwise(
+        F.length(t)).alias("n_chars")))
+    return docs.withColumn("__new", both).withColumns({"text": F.col("__new.text"), "n_chars": F.col("__new.n_chars").cast(
+        docs.schema["n_chars"].dataType)}).select(*docs.columns)
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
