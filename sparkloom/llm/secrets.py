@@ -8,8 +8,8 @@ method joins the three into one p-value, which is even between 0 and 1 for rando
 
 False discoveries are controlled by length: in each stratum (encoding, length class) the number of truly random
 strings is read off the upper half of the p-values, and a string is reported if its p-value is above the
-smallest limit at which the estimated share of other strings among the reported ones is at most ``q``. The
-histograms behind this hold at most 20 x 100 counters, summed over all documents with partial sums.
+smallest limit (at least ``FLOOR``) at which the estimated share of other strings among the reported ones is at
+most ``q``. The histograms behind this hold at most 20 x 100 counters, summed over all documents with partial sums.
 
 Positions come from what lies between matches (``split``) and the matches themselves, as code points.
 
@@ -38,6 +38,7 @@ ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789
 LENGTHS = (24, 32, 48, 64)  # classes: below 24, below 32, ...
 BINS = 100
 CHUNK = 512
+FLOOR = 1e-4  # runs less likely than this are not random, whatever their stratum
 
 
 def let(value: Column, body) -> Column:
@@ -161,7 +162,7 @@ def found_spans(text: Column) -> dict[str, Column]:
 
 def limits(runs: DataFrame, q: float = 0.05) -> dict[int, float]:
     """Smallest p-value to report, per stratum (at most 20); strata without a limit report nothing."""
-    each = runs.select(F.explode("runs").alias("r")).select(
+    each = runs.select(F.explode("runs").alias("r")).where(F.col("r.p") >= FLOOR).select(
         F.col("r.stratum").alias("stratum"), F.least(F.floor(F.col("r.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
     counts = each.groupBy("stratum", "bin").agg(F.count("*").alias("n"))
     above = Window.partitionBy("stratum").orderBy(F.desc("bin"))
@@ -170,7 +171,7 @@ def limits(runs: DataFrame, q: float = 0.05) -> dict[int, float]:
         "random": 2 * F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(Window.partitionBy("stratum"))})
     other = F.col("reported") - F.col("random") * (1 - F.col("bin") / BINS)
     good = sums.where(other <= q * F.col("reported")).where("random > 0")
-    return {r[0]: r[1] / BINS for r in good.groupBy("stratum").agg(F.min("bin")).collect()}
+    return {r[0]: max(r[1] / BINS, FLOOR) for r in good.groupBy("stratum").agg(F.min("bin")).collect()}
 
 
 def reported(limit: dict[int, float], base: Column, runs: Column) -> Column:
