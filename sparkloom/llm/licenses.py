@@ -124,7 +124,7 @@ class Index:
                 k = np.searchsorted(at, low + i)
                 if k < len(at) and at[k] <= high + i:
                     held += self.idf[w]
-        return held / self.total[t]
+        return min(1.0, held / self.total[t])
 
 
 def phrase_places(words: list[bytes], phrase: tuple[bytes, ...], start: int, end: int) -> list[int]:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from samples import prose
 
 from sparkloom.llm import licenses as L
 from sparkloom.llm import near_dedup as N
@@ -15,8 +16,6 @@ from sparkloom.llm import quality_rules as Q
 from sparkloom.llm import repeats as R
 from sparkloom.llm.common import components, stage
 
-from .conftest import prose
-
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
 
