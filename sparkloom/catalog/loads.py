@@ -75,13 +75,17 @@ def _(t):
 
 @query("stm4_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
 def _(t):
-    return M.appended(M.first_seen(M.timed(events_stream(t), "ts", "60 days"), ["user_id", "event_type"]), "stm4")
+    return M.appended(M.first_seen(M.timed(events_stream(t), "ts"), ["user_id", "event_type"]), "stm4")
 
 
 @query("stm5_append_micro_batches", "SELECT event_id, user_id, value FROM events")
 def _(t):
     held = t.events.filter("event_type = 'click'").select("event_id", "user_id", "value")
     target = sinks.scratch(t.spark, "stm5")
-    held.write.parquet(f"{target}/batch=-1")
-    M.append_unseen(events_stream(t).select("event_id", "user_id", "value"), target, ["event_id"], "stm5-state")
+    held.write.parquet(f"{target}/load=first/batch=0")
+    for part in (0, 1):  # two deliveries in folders of their own
+        folder = sinks.scratch(t.spark, "stm5-source")
+        t.events.filter(F.col("event_id") % 2 == part).write.parquet(folder)
+        stream = M.read_files(t.spark, f"{folder}/", SCHEMAS["events"])
+        M.append_unseen(stream.select("event_id", "user_id", "value"), target, ["event_id"])
     return t.spark.read.schema(held.schema).parquet(target).select("event_id", "user_id", "value")

@@ -7,15 +7,16 @@ a failure overwrites itself; readers take the newest row per key.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkloom.operators.groups import top_rows
 from sparkloom.session import scratch_path
 from sparkloom.sources.sinks import unseen
 
-WATERMARK = "1 day"
-
 
 def read_files(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream of the Parquet files at ``path`` (a file, or a folder of files)."""
@@ -25,9 +26,15 @@ def read_files(spark: SparkSession, path: str, schema: str, files_per_batch: int
     return reader.parquet(path + "*")
 
 
-def timed(stream: DataFrame, ts: str, delay: str = WATERMARK) -> DataFrame:
-    """Zone-less event time as a timestamp with a watermark, which bounds the state."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+def timed(stream: DataFrame, ts: str, delay: str | None = None) -> DataFrame:
+    """Zone-less event time as a timestamp.
+
+    Without ``delay`` no row is ever late, whatever order the files come in; the state holds
+    one row per window and key. With it, rows that lag more than ``delay`` behind the newest
+    one are dropped by Spark, and state that old is given up.
+    """
+    out = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    return out.withWatermark(ts, delay) if delay else out
 
 
 def run(stream: DataFrame, name: str, mode: str) -> str:
@@ -49,8 +56,7 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def _with_batch(schema):
-    from pyspark.sql.types import LongType, StructType
-    return StructType([*schema.fields]).add("batch", LongType())
+    return T.StructType([*schema.fields]).add("batch", T.LongType())
 
 
 def updated(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -73,24 +79,37 @@ def windowed(stream: DataFrame, ts: str, size: str, slide: str | None, keys: lis
 
 
 def first_seen(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key; state older than the watermark is dropped."""
-    return stream.dropDuplicatesWithinWatermark(keys).select(*keys)
+    """One row per key, once and for all: a key lives as long as the table, as does its state."""
+    return stream.select(*keys).dropDuplicates(keys)
 
 
-def append_unseen(stream: DataFrame, target: str, keys: list[str], name: str) -> None:
+def load_id(spark: SparkSession, state: str) -> str:
+    """Name of the load that keeps its checkpoint at ``state``; stored there by the first call."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/load")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "id string").coalesce(1).write.parquet(f"{state}/load")
+    return spark.read.schema("id string").parquet(f"{state}/load").head()[0]
+
+
+def append_unseen(stream: DataFrame, target: str, keys: list[str], state: str | None = None) -> None:
     """Append the rows of each micro-batch whose key the target lacks.
 
-    A batch is written under its number; the target of a replayed batch excludes that
-    batch's own earlier output, so a replay gives the same files.
+    The checkpoint belongs to the target (``<target>-state`` if none is given): later calls,
+    also with other source folders, go on counting batches where the last one stopped. A
+    batch is written to a folder of its load's name and its number, so a replayed batch
+    overwrites itself alone; it does not look at its own earlier output, and of rows that
+    share a key it keeps the smallest, so a replay gives the same rows.
     """
-    spark = stream.sparkSession
-    schema = _with_batch(stream.schema)
+    spark, state = stream.sparkSession, state or f"{target.rstrip('/')}-state"
+    load = load_id(spark, state)
+    schema = T.StructType([*stream.schema.fields]).add("load", T.StringType()).add("batch", T.LongType())
 
     def write(batch: DataFrame, number: int) -> None:
-        held = spark.read.schema(schema).option("basePath", target).parquet(target).filter(F.col("batch") < number)
-        fresh = unseen(batch.dropDuplicates(keys), held, keys)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        held = spark.read.schema(schema).option("basePath", target).parquet(target)
+        held = held.filter(~((F.col("load") == load) & (F.col("batch") >= number)))
+        one = top_rows(batch, keys, [c for c in batch.columns if c not in keys] or keys)
+        unseen(one, held, keys).write.mode("overwrite").parquet(f"{target}/load={load}/batch={number}")
 
     job = (stream.writeStream.foreachBatch(write).trigger(availableNow=True)
-           .option("checkpointLocation", scratch_path(spark, name)).start())
+           .option("checkpointLocation", f"{state}/checkpoint").start())
     job.awaitTermination()

@@ -1,6 +1,7 @@
 """Snapshots, incremental loads, streams, registry and the game features."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,20 +63,46 @@ def test_streams_equal_batch(spark, events):
     stream = M.read_files(spark, path, schema, files_per_batch=2)
     totals = M.updated(stream.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")), ["u"], "a")
     assert rows(totals) == rows(batch.groupBy("u").agg(F.count(F.lit(1)), F.sum("v")))
-    timed = M.timed(M.read_files(spark, path, schema, files_per_batch=2), "ts", "30 days")
+    timed = M.timed(M.read_files(spark, path, schema, files_per_batch=2), "ts")
     days = M.updated(M.windowed(timed, "ts", "1 day", None, ["u"], n=F.count(F.lit(1))), ["window_start", "u"], "b")
     assert rows(days) == rows(batch.groupBy(F.date_trunc("day", "ts").alias("d"), "u").count())
-    timed = M.timed(M.read_files(spark, path, schema, files_per_batch=1), "ts", "30 days")
-    assert rows(M.appended(M.first_seen(timed, ["u"]), "c")) == [(0,), (1,), (2,)]
+    assert rows(M.appended(M.first_seen(M.read_files(spark, path, schema, files_per_batch=1), ["u"]), "c")) == [(0,), (1,), (2,)]
+
+
+def test_files_in_reversed_time_order(spark):
+    path, schema = sinks.scratch(spark, "reversed"), "id bigint, ts timestamp_ntz, u int, v double"
+    for day in range(9, 0, -2):
+        spark.createDataFrame([(day, dt.datetime(2024, day, 1, 5), day % 2, 1.0)], schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times
+    batch = spark.read.schema(schema).parquet(path)
+    timed = M.timed(M.read_files(spark, path, schema, files_per_batch=1), "ts")
+    days = M.updated(M.windowed(timed, "ts", "1 day", None, [], n=F.count(F.lit(1))), ["window_start"], "r")
+    assert rows(days) == rows(batch.groupBy(F.date_trunc("day", "ts").alias("d")).count())
+    keys = M.appended(M.first_seen(M.read_files(spark, path, schema, files_per_batch=1), ["u"]), "k")
+    assert rows(keys) == [(1,)]
+
+
+def test_append_keeps_earlier_loads(spark):
+    target, schema = sinks.scratch(spark, "kept"), "id bigint, v int"
+    spark.createDataFrame([(0, 0)], schema).write.parquet(f"{target}/load=first/batch=0")
+    folders = [sinks.scratch(spark, "delivery") for _ in range(2)]
+    for n, folder in enumerate(folders):
+        spark.createDataFrame([(2 * n + 1, n), (2 * n + 2, n), (0, 9)], schema).write.parquet(folder)
+    for folder in (folders[0], folders[1], folders[1], folders[0]):
+        M.append_unseen(M.read_files(spark, f"{folder}/", schema), target, ["id"])
+    assert rows(spark.read.parquet(target).select("id", "v")) == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)]
+    spark.createDataFrame([(5, 5)], schema).write.mode("append").parquet(folders[0])  # goes on after a restart
+    M.append_unseen(M.read_files(spark, f"{folders[0]}/", schema), target, ["id"])
+    assert rows(spark.read.parquet(target).select("id")) == [(i,) for i in range(6)]
 
 
 def test_stream_append_skips_held_keys(spark, events):
     path, schema = events
     target = sinks.scratch(spark, "target")
     held = spark.read.schema(schema).parquet(path).filter("u = 0")
-    held.write.parquet(f"{target}/batch=-1")
+    held.write.parquet(f"{target}/load=first/batch=0")
     for run in range(2):
-        M.append_unseen(M.read_files(spark, path, schema, files_per_batch=2), target, ["id"], f"s{run}")
+        M.append_unseen(M.read_files(spark, path, schema, files_per_batch=2), target, ["id"], f"{target}-state{run}")
         assert spark.read.parquet(target).count() == 30
     assert spark.read.parquet(target).select("id").distinct().count() == 30
 
