@@ -35,6 +35,11 @@ def nodes(e):
     return e.select(G.node("src_table", "src_col").alias("src"), G.node("dst_table", "dst_col").alias("dst"), "role")
 
 
+def working_columns(t):
+    """The columns of the tables of the working layer."""
+    return nodes(edges(t)).filter("dst LIKE 'wrk%'").select("dst")
+
+
 @query("lin1_edge_kinds", EDGES + "SELECT kind, COUNT(*) AS n FROM e GROUP BY 1")
 def _(t):
     return G.count_kinds(edges(t))
@@ -45,9 +50,9 @@ NAMES = ", n AS (SELECT s AS k, src_table || '.' || src_col AS name FROM e UNION
 
 
 @query("lin2_upstream_closure", EDGES + CLOSE.format("", "") + NAMES
-       + "SELECT x.name AS ancestor, y.name AS descendant FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b")
+       + "SELECT x.name AS ancestor, y.name AS descendant FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE b >= 32 AND b < 256")
 def _(t):
-    return G.closure(nodes(edges(t))).select(F.col("a").alias("ancestor"), F.col("b").alias("descendant"))
+    return G.ancestors(nodes(edges(t)), working_columns(t))
 
 
 @query("lin2_upstream_of_column", EDGES + """, u(k, distance) AS (SELECT s, 1 FROM e WHERE d = 150 UNION SELECT e.s, u.distance + 1 FROM u JOIN e ON e.d = u.k)""" + NAMES
@@ -97,9 +102,9 @@ def _(t):
 
 
 @query("lin8_data_flow_closure", EDGES + CLOSE.format("WHERE role = 'data'", "AND e.role = 'data'") + NAMES
-       + "SELECT x.name AS ancestor, y.name AS descendant FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b")
+       + "SELECT x.name AS ancestor, y.name AS descendant FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE b >= 32 AND b < 256")
 def _(t):
-    return G.closure(nodes(edges(t)).filter("role = 'data'")).select(F.col("a").alias("ancestor"), F.col("b").alias("descendant"))
+    return G.ancestors(nodes(edges(t)).filter("role = 'data'"), working_columns(t))
 
 
 @query("lin8_table_roles", EDGES + """

@@ -23,37 +23,36 @@ def node(table: str, col: str):
     return F.concat_ws(".", table, col)
 
 
-def closure(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """All (ancestor, descendant) pairs.
+def ancestors(edges: DataFrame, targets: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(ancestor, descendant) pairs of the asked nodes, the first column of ``targets``.
 
-    Each round joins the pairs with themselves, so paths double in length and the number
-    of rounds is the logarithm of the depth. Distinct pairs end the loop on cycles, too.
+    Each round extends the newest pairs by one edge and writes those that are new, so a
+    round costs one write and one look at whether it found any; cycles end by themselves.
     """
-    pairs = checkpointed(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct())
-    size = pairs.count()
-    while True:
-        left = pairs.select("a", F.col("b").alias("m"))
-        right = pairs.select(F.col("a").alias("m"), "b")
-        grown = checkpointed(pairs.unionByName(left.join(right, "m").select("a", "b")).distinct())
-        now = grown.count()
-        if now == size:
-            return pairs
-        pairs, size = grown, now
+    links = checkpointed(edges.select(F.col(src).alias("a"), F.col(dst).alias("m")).distinct())
+    asked = targets.select(F.col(targets.columns[0]).alias("m")).distinct()
+    fresh = checkpointed(links.join(asked, "m").select("a", F.col("m").alias("b")))
+    found = fresh
+    while not fresh.isEmpty():
+        step = fresh.select(F.col("a").alias("m"), "b").join(links, "m").select("a", "b").distinct()
+        fresh = checkpointed(step.join(found, ["a", "b"], "left_anti"))
+        found = found.unionByName(fresh)
+    return found.select(F.col("a").alias("ancestor"), F.col("b").alias("descendant"))
 
 
 def upstream(edges: DataFrame, target: str, src: str = "src", dst: str = "dst") -> DataFrame:
     """All ancestors of one node with their distance, by rounds over the newest ones."""
     links = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct()
     start = edges.select(F.col(dst).alias("node")).filter(F.col("node") == target).distinct()
-    seen = checkpointed(start.withColumn("distance", F.lit(0).cast("bigint")))
-    frontier, distance = seen, 0
-    while True:
+    frontier, distance = checkpointed(start.withColumn("distance", F.lit(0).cast("bigint"))), 0
+    seen = frontier
+    while not frontier.isEmpty():
         distance += 1
         step = frontier.select(F.col("node").alias("b")).join(links, "b").select(F.col("a").alias("node")).distinct()
-        fresh = checkpointed(step.join(seen.select("node"), "node", "left_anti").withColumn("distance", F.lit(distance).cast("bigint")))
-        if fresh.isEmpty():
-            return seen.filter(F.col("distance") > 0)
-        seen, frontier = checkpointed(seen.unionByName(fresh)), fresh
+        frontier = checkpointed(step.join(seen.select("node"), "node", "left_anti")
+                                .withColumn("distance", F.lit(distance).cast("bigint")))
+        seen = seen.unionByName(frontier)
+    return seen.filter(F.col("distance") > 0)
 
 
 def sources(edges: DataFrame, internal_prefixes: list[str]) -> DataFrame:
@@ -71,21 +70,25 @@ def table_edges(edges: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("columns")))
 
 
-def levels(edges: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
-    """Longest path from a source to each node of an acyclic graph.
+def levels(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """Longest path from a source to each node; null for nodes on a cycle or behind one.
 
-    In round r the nodes at the end of some path of r edges are known; the last round a
-    node shows up in is its level.
+    Each round takes the nodes that nothing left leads to and removes their edges, so the
+    number of rounds is the depth and a cycle ends the loop.
     """
     links = checkpointed(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct())
-    frontier = checkpointed(links.select(F.col("a").alias("node")).union(links.select("b")).distinct())
-    reached = frontier.withColumn("level", F.lit(0).cast("bigint"))
-    for number in range(1, max_rounds + 1):
-        frontier = checkpointed(frontier.join(links, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct())
-        if frontier.isEmpty():
-            return reached.groupBy("node").agg(F.max("level").alias("level"))
-        reached = reached.unionByName(frontier.withColumn("level", F.lit(number).cast("bigint")))
-    raise ValueError("the graph has a cycle or a path longer than max_rounds")
+    rest = checkpointed(links.select(F.col("a").alias("node")).union(links.select("b")).distinct())
+    found, number = None, 0
+    while True:
+        ready = rest.join(links.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
+        ready = checkpointed(ready.withColumn("level", F.lit(number).cast("bigint")))
+        if ready.isEmpty():
+            caught = rest.withColumn("level", F.lit(None).cast("bigint"))
+            return caught if found is None else found.unionByName(caught)
+        found = ready if found is None else found.unionByName(ready)
+        links = checkpointed(links.join(ready.select(F.col("node").alias("a")), "a", "left_anti"))
+        rest = checkpointed(rest.join(ready.select("node"), "node", "left_anti"))
+        number += 1
 
 
 def layered(tables: DataFrame, table: str = "node", level: str = "level") -> DataFrame:
