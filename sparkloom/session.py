@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,10 +47,13 @@ def get_session(master: str | None = None, app: str = "sparkloom", **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the setting is absent, as in local tests.
+    A folder of our own is made only where the setting is absent and Spark runs in one
+    process, as in local tests; on a cluster its executors could not see each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sparkloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
