@@ -97,8 +97,8 @@ DESCRIBE = """COUNT(value) AS n, ROUND(CAST(SUM(CAST(value AS DECIMAL(18,2))) AS
 
 @query("agg9_describe", f"SELECT event_type, {DESCRIBE} FROM events GROUP BY 1 UNION ALL SELECT 'all', {DESCRIBE} FROM events")
 def _(t):
-    per = A.describe(t.events, "event_type", "value")
-    whole = A.describe(t.events, [], "value").withColumn("event_type", F.lit("all"))
+    per = A.describe(t.events, "event_type", "value", scale=2)
+    whole = A.describe(t.events, [], "value", scale=2).withColumn("event_type", F.lit("all"))
     return r(per.unionByName(whole), 5, "mean", "std", "q25", "q50", "q75")
 
 
@@ -216,7 +216,7 @@ WITH m AS (SELECT CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(
 SELECT ROUND(AVG((ABS(c_acctbal - m) < 1 * s)::INT), 6) AS within_1, ROUND(AVG((ABS(c_acctbal - m) < 2 * s)::INT), 6) AS within_2,
  ROUND(AVG((ABS(c_acctbal - m) < 3 * s)::INT), 6) AS within_3 FROM customer, m""")
 def _(t):
-    return r(A.share_within(t.customer, "c_acctbal", [1, 2, 3]), 6, "within_1", "within_2", "within_3")
+    return r(A.share_within(t.customer, "c_acctbal", [1, 2, 3], scale=2), 6, "within_1", "within_2", "within_3")
 
 
 @query("agg27_group_by_function", f"""

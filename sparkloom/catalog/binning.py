@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.catalog.registry import query
 from sparkloom.functions.math import clip
+from sparkloom.functions.text import strip_marks
 from sparkloom.operators import binning as B
 from sparkloom.operators.ordered import RowNumber, over_order
 
@@ -70,9 +71,9 @@ SIZES = ["SMALL", "MEDIUM", "LARGE", "ECONOMY", "STANDARD", "PROMO"]
 
 @query("bin8_ordered_category", """
 WITH p AS (SELECT *, list_position(['SMALL', 'MEDIUM', 'LARGE', 'ECONOMY', 'STANDARD', 'PROMO'], p_type) AS k FROM part)
-SELECT p_brand, arg_max(p_type, k) AS largest, arg_min(p_type, k) AS smallest, CAST(MAX(k) AS BIGINT) AS place FROM p WHERE p_size < 20 GROUP BY 1""")
+SELECT p_brand, arg_max(p_type, k) AS largest, arg_min(p_type, k) AS smallest, CAST(MAX(k) AS BIGINT) AS place FROM p GROUP BY 1""")
 def _(t):
-    src = t.part.filter("p_size < 20").withColumn("k", B.category_order(F.col("p_type"), SIZES))
+    src = t.part.withColumn("k", B.category_order(F.col("p_type"), SIZES))
     return src.groupBy("p_brand").agg(F.max_by("p_type", "k").alias("largest"), F.min_by("p_type", "k").alias("smallest"),
                                       F.max("k").cast("bigint").alias("place"))
 
@@ -100,14 +101,14 @@ def _(t):
     return upcoming.select("o_orderkey", "o_orderdate").orderBy("o_orderdate", "o_orderkey").limit(15)
 
 
-LETTERS = "[a-zàáâäçèéêëíîïñóôöùúûü]+"
+LETTERS = r"\p{L}+"
 
 
 @query("srt4_accent_sort", f"""
 SELECT w AS word, ROW_NUMBER() OVER (ORDER BY strip_accents(w), w) AS place FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{LETTERS}')) AS w FROM documents)""")
 def _(t):
     words = t.documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("word")).distinct()
-    placed = over_order(words.withColumn("_key", F.collate("word", "UNICODE_AI")), [], ["_key", "word"], {"place": RowNumber()})
+    placed = over_order(words.withColumn("_key", strip_marks("word")), [], ["_key", "word"], {"place": RowNumber()})
     return placed.select("word", "place")
 
 

@@ -14,11 +14,13 @@ def _(t):
     return files.read_csv(t.spark, path, SCHEMAS["customer"])
 
 
-@query("src2_delimited_no_header", "SELECT lang AS label, source AS origin, doc_id FROM documents")
+@query("src2_delimited_no_header", "SELECT lang AS label, source AS origin, doc_id, text FROM documents")
 def _(t):
     path = sinks.scratch(t.spark, "labels-tsv")
-    sinks.write_csv(t.documents.select("lang", "source", "doc_id"), path, sep="\t", header=False)
-    return files.read_delimited(t.spark, path, "label string, origin string, doc_id bigint")
+    rows = t.documents.select("lang", "source", "doc_id", files.escaped(F.col("text")).alias("text"))
+    sinks.write_csv(rows, path, sep="\t", header=False)
+    back = files.read_delimited(t.spark, path, "label string, origin string, doc_id bigint, text string")
+    return back.withColumn("text", files.unescaped(F.col("text")))
 
 
 @query("src3_preamble_scan", "SELECT event_id, user_id, event_type, value FROM events")

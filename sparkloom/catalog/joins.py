@@ -44,7 +44,7 @@ def _(t):
 @query("jn5_computed_key", """
 SELECT n_name, COUNT(*) AS n_docs FROM documents JOIN nation ON n_nationkey = TRY_CAST(NULLIF(substr(source, 4), '') AS INTEGER) GROUP BY 1""")
 def _(t):
-    key = F.nullif(F.substring("source", 4, 100), F.lit("")).try_cast("int")
+    key = F.nullif(F.expr("substring(source, 4)"), F.lit("")).try_cast("int")
     per = t.documents.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n_docs"))
     return per.join(t.nation, F.col("k") == F.col("n_nationkey")).select("n_name", "n_docs")
 
@@ -95,7 +95,7 @@ LEFT JOIN nation n ON n.n_nationkey = p.p_size""")
 def _(t):
     talks = t.part.select("p_partkey", "p_size", F.array(
         F.col("p_size").cast("bigint"), (F.col("p_size") * 2).cast("bigint"), F.col("p_partkey") % 7).alias("ids"))
-    linked = J.link_list(talks, "p_partkey", "ids", t.supplier, "s_suppkey", "s_name", "names", longest=3)
+    linked = J.link_list(talks, "p_partkey", "ids", t.supplier, "s_suppkey", "s_name", "names")
     return linked.join(t.nation, F.col("p_size") == F.col("n_nationkey"), "left").select(
         "p_partkey", F.array_join("names", ";").alias("speakers"), F.col("n_name").alias("venue"))
 
@@ -110,13 +110,17 @@ def _(t):
                         days.filter("event_type = 'purchase'"), ["user_id", "day"], 4)
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
 @query("jn12_product", """
 SELECT n_name, a.s AS segment, b.s AS other_segment, COUNT(c_custkey) AS customers FROM nation
-CROSS JOIN (SELECT DISTINCT c_mktsegment AS s FROM customer) a CROSS JOIN (SELECT DISTINCT c_mktsegment AS s FROM customer) b
+CROSS JOIN (SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS s) a
+CROSS JOIN (SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS s) b
 LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = a.s GROUP BY 1, 2, 3""")
 def _(t):
-    grid = J.product_with_values(t.nation, t.customer, "c_mktsegment", "segment")
-    grid = J.product_with_values(grid, t.customer, "c_mktsegment", "other_segment")
+    grid = J.product_with_values(t.nation, SEGMENTS, "segment")
+    grid = J.product_with_values(grid, SEGMENTS, "other_segment")
     per = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("c_mktsegment").alias("segment")).agg(
         F.count(F.lit(1)).alias("n"))
     return grid.join(per, ["n_nationkey", "segment"], "left").select(
@@ -127,13 +131,15 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 @query("jn13_pairs", """
-WITH d AS (SELECT DISTINCT o_custkey, o_orderpriority AS p FROM orders), v AS (SELECT DISTINCT p FROM d)
+WITH d AS (SELECT DISTINCT o_custkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')
+  THEN o_orderpriority ELSE 'other' END AS p FROM orders),
+v AS (SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW', 'other']) AS p)
 SELECT 'combination' AS kind, x.p AS a, y.p AS b, (SELECT COUNT(*) FROM d m JOIN d n ON m.o_custkey = n.o_custkey WHERE m.p = x.p AND n.p = y.p) AS n
 FROM v x, v y WHERE x.p < y.p UNION ALL
 SELECT 'permutation', x.p, y.p, (SELECT COUNT(*) FROM d m JOIN d n ON m.o_custkey = n.o_custkey WHERE m.p = x.p AND n.p = y.p) FROM v x, v y WHERE x.p <> y.p""")
 def _(t):
-    combos = J.pair_counts(t.orders, "o_custkey", "o_orderpriority", PRIORITIES)
-    perms = J.pair_counts(t.orders, "o_custkey", "o_orderpriority", PRIORITIES, ordered=True)
+    combos = J.pair_counts(t.orders, "o_custkey", "o_orderpriority", PRIORITIES, rest="other")
+    perms = J.pair_counts(t.orders, "o_custkey", "o_orderpriority", PRIORITIES, ordered=True, rest="other")
     return (combos.select(F.lit("combination").alias("kind"), "a", "b", "n")
             .unionByName(perms.select(F.lit("permutation").alias("kind"), "a", "b", "n")))
 

@@ -55,7 +55,7 @@ WITH r AS {READ}, s AS (SELECT CAST(SUM(CAST(reading AS DECIMAL(18,2))) AS DOUBL
 mo AS (SELECT reading AS v FROM r WHERE reading IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)
 SELECT event_id, ROUND(COALESCE(reading, m), 6) AS with_mean, ROUND(COALESCE(reading, md), 6) AS with_median, COALESCE(reading, v) AS with_mode FROM r, s, mo""")
 def _(t):
-    df = N.fill_exact_mean(readings(t), "reading", "with_mean")
+    df = N.fill_exact_mean(readings(t), "reading", "with_mean", scale=2)
     df = N.fill_statistic(df, "reading", "median", "with_median")
     df = N.fill_statistic(df, "reading", "mode", "with_mode")
     return df.select("event_id", F.round("with_mean", 6).alias("with_mean"), F.round("with_median", 6).alias("with_median"), "with_mode")

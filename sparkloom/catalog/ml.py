@@ -216,18 +216,19 @@ def _(t):
     return reg.select("window_id", "beg", "end", "run", "n_rows")
 
 
-def word_rows(docs):
-    """Tokens with a vector key: the tables hold no word vectors, so a token's letters pick a vector."""
+def word_rows(docs, embeddings):
+    """Tokens with a vector key: the tables hold no word vectors, so a token's letters pick one of all vectors."""
+    vectors = embeddings.agg(F.count(F.lit(1))).scalar()
     rows = T.token_rows(docs, "doc_id", "text", out="w")
     w = F.col("w")
-    return rows.select("doc_id", ((F.ascii(w) * 31 + F.ascii(F.substring(w, -1, 1)) * 7 + F.length(w)) % 600).cast("bigint").alias("word"))
+    return rows.select("doc_id", ((F.ascii(w) * 31 + F.ascii(F.substring(w, -1, 1)) * 7 + F.length(w)) % vectors).cast("bigint").alias("word"))
 
 
 @query("ml16_text_forest")
 def _(t):
     docs = t.documents.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     vocabulary = t.embeddings.select(F.col("vec_id").alias("word"), "embedding")
-    vectors = sentence_vectors(docs, word_rows(docs), "doc_id", vocabulary, "word", "embedding", 64)
+    vectors = sentence_vectors(docs, word_rows(docs, t.embeddings), "doc_id", vocabulary, "word", "embedding", 64)
     known = vectors.filter("weight > 0").select("doc_id", array_to_vector("mean").alias("features"))
     train, test = L.split(checkpointed(docs.select("doc_id", "label").join(known, "doc_id")), "doc_id", 0.67)
     return L.estimator("forest", "label").fit(train).transform(test).select("doc_id", "label", "prediction")

@@ -7,6 +7,7 @@ from sparkloom.operators import reshape as R
 from sparkloom.operators.groups import exact_sum
 
 STATUS = ["F", "O", "P"]
+STATUS_TESTS = {**{s: f"o_orderstatus = '{s}'" for s in STATUS}, "other": "o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')"}
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 D = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) {0} AS DOUBLE)"
 
@@ -16,28 +17,29 @@ def count_if(test):
 
 
 @query("pvt1_pivot_table", "SELECT o_orderpriority, " + ", ".join(
-    D.format(f"FILTER (WHERE o_orderstatus = '{s}')") + f' AS "{s}"' for s in STATUS) + " FROM orders GROUP BY 1")
+    D.format(f"FILTER (WHERE {test})") + f' AS "{name}"' for name, test in STATUS_TESTS.items()) + " FROM orders GROUP BY 1")
 def _(t):
     return R.pivot(t.orders, "o_orderpriority", "o_orderstatus", STATUS, exact_sum("o_totalprice"))
 
 
 @query("pvt2_unstack", """SELECT CAST(YEAR(o_orderdate) AS INTEGER) AS y, """ + ", ".join(
-    f"{count_if(f'''o_orderstatus = '{s}' ''')} AS n_{s}" for s in STATUS) + " FROM orders GROUP BY 1")
+    f"{count_if(test)} AS n_{name}" for name, test in STATUS_TESTS.items()) + " FROM orders GROUP BY 1")
 def _(t):
     per = t.orders.groupBy(F.year("o_orderdate").alias("y"), "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     wide = R.pivot(per, "y", "o_orderstatus", STATUS, F.sum("n"))
-    return wide.na.fill(0).withColumnsRenamed({s: f"n_{s}" for s in STATUS})
+    return wide.na.fill(0).withColumnsRenamed({s: f"n_{s}" for s in STATUS_TESTS})
 
 
 @query("pvt3_crosstab", "SELECT l_returnflag || '/' || l_linestatus AS row, " + ", ".join(
-    f"{count_if(f'l_linenumber = {i}')} AS \"{i}\"" for i in range(1, 8)) + " FROM lineitem GROUP BY 1")
+    f"{count_if(f'l_linenumber = {i}')} AS \"{i}\"" for i in range(1, 8))
+    + f", {count_if('l_linenumber IS NULL OR l_linenumber > 7 OR l_linenumber < 1')} AS other FROM lineitem GROUP BY 1")
 def _(t):
     label = F.concat_ws("/", "l_returnflag", "l_linestatus")
     return R.crosstab(t.lineitem, label, "l_linenumber", list(range(1, 8)))
 
 
 @query("pvt4_crosstab_totals", "SELECT COALESCE(event_type, 'All') AS event_type, " + ", ".join(
-    count_if(f"d = '{d}'") + f' AS "{d}"' for d in ("low", "high")) + """, COUNT(*) AS "All"
+    count_if(f"d = '{d}'") + f' AS "{d}"' for d in ("low", "high")) + """, CAST(0 AS BIGINT) AS other, COUNT(*) AS "All"
 FROM (SELECT event_type, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS d FROM events) GROUP BY ROLLUP (event_type)""")
 def _(t):
     src = t.events.select("event_type", F.when(F.col("value") > 50, "high").otherwise("low").alias("d"))
@@ -92,21 +94,20 @@ def _(t):
 
 
 @query("pvt10_dummies", "SELECT o_orderkey, " + ", ".join(
-    f"CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END AS status_{s}" for s in STATUS) + " FROM orders")
+    f"CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END AS status_{s}" for s in STATUS)
+    + ", CASE WHEN o_orderstatus NOT IN ('F', 'O', 'P') THEN 1 ELSE 0 END AS status_other FROM orders")
 def _(t):
     return R.dummies(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", STATUS, "status_").drop("o_orderstatus")
 
 
-@query("pvt11_undummy", "SELECT o_orderkey, o_orderpriority AS priority FROM orders")
+@query("pvt11_undummy", f"""SELECT o_orderkey, CASE WHEN o_orderpriority IN {tuple(PRIORITIES)} THEN o_orderpriority
+  WHEN o_orderpriority IS NOT NULL THEN 'other' END AS priority FROM orders""")
 def _(t):
     flags = R.dummies(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", PRIORITIES, "p_").drop("o_orderpriority")
     return R.undummy(flags, "p_", PRIORITIES, "priority").select("o_orderkey", "priority")
 
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-
-
-@query("pvt12_character_counts", "SELECT doc_id, " + ", ".join(
-    f"CAST(length(text) - length(replace(text, '{c}', '')) AS INTEGER) AS n_{c}" for c in LETTERS) + " FROM documents")
+@query("pvt12_character_counts", """
+SELECT doc_id, character, COUNT(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?s).')) AS character FROM documents) GROUP BY 1, 2""")
 def _(t):
-    return R.character_counts(t.documents, "doc_id", "text", LETTERS)
+    return R.character_counts(t.documents, "doc_id", "text")

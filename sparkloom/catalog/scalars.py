@@ -71,9 +71,11 @@ def _(t):
     return src.select("c_custkey", F.concat_ws(", ", parts[0], "r_name", tail).alias("full_address"))
 
 
-@query("str9_unicode", "SELECT doc_id, md5(strip_accents(text)) AS plain, md5(nfc_normalize(text)) AS composed FROM documents")
+@query("str9_unicode", """SELECT doc_id, md5(strip_accents(text)) AS plain, md5(nfc_normalize(text)) AS composed,
+ md5(replace(lower(nfc_normalize(text)), 'ß', 'ss')) AS folded FROM documents""")
 def _(t):
-    return t.documents.select("doc_id", F.md5(T.strip_marks("text")).alias("plain"), F.md5(T.nfc("text")).alias("composed"))
+    return t.documents.select("doc_id", F.md5(T.strip_marks("text")).alias("plain"), F.md5(T.nfc("text")).alias("composed"),
+                              F.md5(T.fold("text")).alias("folded"))
 
 
 @query("str10_tokenize", r"""

@@ -18,9 +18,9 @@ DEC = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
                                   ("quarter", "3 MONTH", "orders", "o_orderdate", "o_totalprice")))
     + " SELECT * FROM day UNION ALL SELECT * FROM month UNION ALL SELECT * FROM quarter")
 def _(t):
-    parts = [S.resample(t.events, "ts", "value", "day").withColumn("unit", F.lit("day")),
-             S.resample(t.orders, "o_orderdate", "o_totalprice", "month").withColumn("unit", F.lit("month")),
-             S.resample(t.orders, "o_orderdate", "o_totalprice", "quarter").withColumn("unit", F.lit("quarter"))]
+    parts = [S.resample(t.events, "ts", "value", "day", scale=2).withColumn("unit", F.lit("day")),
+             S.resample(t.orders, "o_orderdate", "o_totalprice", "month", scale=2).withColumn("unit", F.lit("month")),
+             S.resample(t.orders, "o_orderdate", "o_totalprice", "quarter", scale=2).withColumn("unit", F.lit("quarter"))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return out.withColumns({"mean": F.round("mean", 6), "median": F.round("median", 4)})
 
@@ -36,7 +36,7 @@ def _(t):
     rules = {"two months": D.month_block(d, first, 2), "year to may": D.year_ending(d, 5), "year to september": D.year_ending(d, 9)}
     out = None
     for rule, label in rules.items():
-        part = S.sum_by(t.orders, label, "o_totalprice").withColumn("rule", F.lit(rule))
+        part = S.sum_by(t.orders, label, "o_totalprice", scale=2).withColumn("rule", F.lit(rule))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -56,7 +56,7 @@ SEASON = "CAST(YEAR({0}) + CASE WHEN MONTH({0}) >= 10 THEN 1 ELSE 0 END AS INTEG
 WITH d AS (SELECT o_orderdate::DATE AS day, {SEASON.format('o_orderdate')} AS season, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS x FROM orders GROUP BY 1, 2)
 SELECT day, season, x::DOUBLE AS total, (SUM(x) OVER (PARTITION BY season ORDER BY day))::DOUBLE AS to_date FROM d""")
 def _(t):
-    return S.season_to_date(t.orders, "o_orderdate", "o_totalprice")
+    return S.season_to_date(t.orders, "o_orderdate", "o_totalprice", scale=2)
 
 
 @query("ts5_rolling_daily_mean", f"""
@@ -65,7 +65,7 @@ g AS (SELECT unnest(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY))::DATE A
 SELECT period, ROUND(mean, 6) AS mean, CASE WHEN COUNT(mean) OVER w = 7 THEN ROUND(AVG(mean) OVER w, 4) END AS rolling FROM j
 WINDOW w AS (ORDER BY period ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 def _(t):
-    out = S.rolling_daily_mean(t.orders, "o_orderdate", "o_totalprice")
+    out = S.rolling_daily_mean(t.orders, "o_orderdate", "o_totalprice", scale=2)
     return out.select("period", F.round("mean", 6).alias("mean"), F.round("rolling", 4).alias("rolling"))
 
 
@@ -73,7 +73,7 @@ def _(t):
 SELECT CAST(MONTH(o_orderdate) AS INTEGER) AS month, COUNT(*) AS n, ROUND({DEC.format('o_totalprice')} / COUNT(*), 5) AS mean, ROUND(STDDEV_SAMP(o_totalprice), 4) AS std, MIN(o_totalprice) AS min,
  ROUND(QUANTILE_CONT(o_totalprice, 0.25), 5) AS q25, ROUND(QUANTILE_CONT(o_totalprice, 0.5), 5) AS q50, ROUND(QUANTILE_CONT(o_totalprice, 0.75), 5) AS q75, MAX(o_totalprice) AS max FROM orders GROUP BY 1""")
 def _(t):
-    out = describe(t.orders.select(F.month("o_orderdate").alias("month"), "o_totalprice"), "month", "o_totalprice")
+    out = describe(t.orders.select(F.month("o_orderdate").alias("month"), "o_totalprice"), "month", "o_totalprice", scale=2)
     return out.withColumns({**{c: F.round(c, 5) for c in ("mean", "q25", "q50", "q75")}, "std": F.round("std", 4)})
 
 
@@ -81,7 +81,7 @@ def _(t):
 WITH m AS (SELECT date_trunc('month', o_orderdate)::DATE AS month, {SEASON.format('o_orderdate')} AS season, {DEC.format('o_totalprice')} AS total FROM orders GROUP BY 1, 2)
 SELECT month, season, total, ROUND(total / CAST(SUM(CAST(total AS DECIMAL(18,2))) OVER (PARTITION BY season) AS DOUBLE), 8) AS share FROM m""")
 def _(t):
-    return S.month_share(t.orders, "o_orderdate", "o_totalprice").withColumn("share", F.round("share", 8))
+    return S.month_share(t.orders, "o_orderdate", "o_totalprice", scale=2).withColumn("share", F.round("share", 8))
 
 
 @query("ts8_per_row_zone", """

@@ -37,16 +37,17 @@ def _(t):
 
 
 @query("vec3_sentence_vectors", f"""
-WITH w AS (SELECT doc_id, unnest({WORDS}) AS w FROM documents), k AS (SELECT doc_id, (ascii(w) * 31 + ascii(right(w, 1)) * 7 + length(w)) % 600 AS vec_id FROM w),
+WITH w AS (SELECT doc_id, unnest({WORDS}) AS w FROM documents), k AS (SELECT doc_id, (ascii(w) * 31 + ascii(right(w, 1)) * 7 + length(w)) % (SELECT COUNT(*) FROM embeddings) AS vec_id FROM w),
 j AS (SELECT k.doc_id, e.v FROM k JOIN {E} e USING (vec_id))
-SELECT doc_id, COALESCE(n, 0) AS known_tokens, ROUND(first_dim, 6) AS first_dim, ROUND(last_dim, 6) AS last_dim FROM documents
-LEFT JOIN (SELECT doc_id, COUNT(*) AS n, AVG(v[1]) AS first_dim, AVG(v[64]) AS last_dim FROM j GROUP BY 1) USING (doc_id)""")
+SELECT doc_id, COALESCE(n, 0) AS known_tokens, """ + ", ".join(f"ROUND(d{i}, 6) AS d{i}" for i in range(DIMS)) + """ FROM documents
+LEFT JOIN (SELECT doc_id, COUNT(*) AS n, """ + ", ".join(f"AVG(v[{i + 1}]) AS d{i}" for i in range(DIMS)) + """ FROM j GROUP BY 1) USING (doc_id)""")
 def _(t):
     from sparkloom.catalog.ml import word_rows
     vocabulary = t.embeddings.select(F.col("vec_id").alias("word"), "embedding")
-    out = V.sentence_vectors(t.documents, word_rows(t.documents), "doc_id", vocabulary, "word", "embedding", DIMS)
-    return out.select("doc_id", F.col("weight").alias("known_tokens"), F.round(F.get("mean", F.lit(0)), 6).alias("first_dim"),
-                      F.round(F.get("mean", F.lit(DIMS - 1)), 6).alias("last_dim"))
+    words = word_rows(t.documents, t.embeddings)
+    out = V.sentence_vectors(t.documents, words, "doc_id", vocabulary, "word", "embedding", DIMS)
+    return out.select("doc_id", F.col("weight").alias("known_tokens"),
+                      *[F.round(F.get("mean", F.lit(i)), 6).alias(f"d{i}") for i in range(DIMS)])
 
 
 @query("vec4_distances", f"""
@@ -75,14 +76,14 @@ def _(t):
 @query("rule1_discounts", """
 WITH o AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS total, SUM(CASE WHEN l_quantity >= 20 THEN CAST(l_extendedprice AS DECIMAL(18,2)) * 0.10 ELSE 0 END)::DOUBLE AS bulk,
   COUNT(DISTINCT l_partkey) AS items FROM lineitem GROUP BY 1),
-d AS (SELECT o_orderkey, total, CASE WHEN c_acctbal >= 1000 THEN total * 0.05::DOUBLE ELSE 0 END AS loyalty, bulk, CASE WHEN items >= 5 THEN total * 0.07::DOUBLE ELSE 0 END AS large
+d AS (SELECT o_orderkey, total, CASE WHEN c_acctbal >= 1000 THEN total * 0.05::DOUBLE ELSE 0 END AS loyalty, bulk, CASE WHEN items >= 10 THEN total * 0.07::DOUBLE ELSE 0 END AS large
   FROM o JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey)
 SELECT o_orderkey, ROUND(total, 4) AS total, ROUND(loyalty, 6) AS loyalty, ROUND(bulk, 6) AS bulk, ROUND(large, 6) AS large, ROUND(GREATEST(loyalty, bulk, large), 6) AS best,
  ROUND(total - GREATEST(loyalty, bulk, large), 6) AS due FROM d""")
 def _(t):
     points = t.orders.join(t.customer.select("c_custkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_acctbal")
     lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
-    out = S.discounts(lines, "o_orderkey", "l_partkey", "l_quantity", "l_extendedprice", points, "c_acctbal", large_order=5)
+    out = S.discounts(lines, "o_orderkey", "l_partkey", "l_quantity", "l_extendedprice", points, "c_acctbal", scale=2)
     return out.select("o_orderkey", F.round("total", 4).alias("total"), *[F.round(c, 6).alias(c) for c in ("loyalty", "bulk", "large", "best", "due")])
 
 
@@ -100,7 +101,7 @@ def _(t):
 SELECT conv_id, turn, word, COUNT(*) AS n FROM (SELECT conv_id, turn, unnest({WORDS}) AS word FROM conversations) GROUP BY 1, 2, 3""")
 def _(t):
     src = t.conversations.select(F.struct("conv_id", "turn").alias("id"), "text")
-    words = U.words_by_generator(src, "id", "text")
+    words = U.words_by_explode(src, "id", "text")
     return words.groupBy("id", "word").agg(F.count(F.lit(1)).alias("n")).select("id.conv_id", "id.turn", "word", "n")
 
 

@@ -11,11 +11,11 @@ from sparkloom.operators.ordered import RowNumber, over_order
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def describe(df: DataFrame, by: list[str] | str, value: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max, overall or per group."""
+def describe(df: DataFrame, by: list[str] | str, value: str, scale: int | None = None) -> DataFrame:
+    """count, mean, std, min, quartiles and max, overall or per group; ``scale`` as in ``exact_sum``."""
     by = [by] if isinstance(by, str) else list(by)
     base = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.count(value).alias("n"), exact_avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.count(value).alias("n"), exact_avg(value, scale).alias("mean"), F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"))
     quarts = quantiles(df, by, value, QUARTILES)
     if by:
@@ -50,14 +50,15 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in equal-width bins from the smallest to the largest value, the last bin closed."""
     ends = whole(df, lo=F.min(value), hi=F.max(value))
     width = (ends["hi"] - ends["lo"]) / bins
-    index = F.least(F.floor((F.col(value) - ends["lo"]) / width), F.lit(bins - 1))
+    place = F.floor(F.try_divide(F.col(value) - ends["lo"], width))  # one value only: one bin
+    index = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1))
     return (df.filter(F.col(value).isNotNull()).withColumns({"bin": index.cast("bigint")})
             .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-def share_within(df: DataFrame, value: str, ks: list[int]) -> DataFrame:
+def share_within(df: DataFrame, value: str, ks: list[int], scale: int | None = None) -> DataFrame:
     """Percent of rows closer to the mean than k population standard deviations."""
-    s = whole(df, m=exact_avg(value), s=F.stddev_pop(value))
+    s = whole(df, m=exact_avg(value, scale), s=F.stddev_pop(value))
     inside = [F.avg((F.abs(F.col(value) - s["m"]) < k * s["s"]).cast("int")).alias(f"within_{k}") for k in ks]
     return df.agg(*inside)
 

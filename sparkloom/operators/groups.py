@@ -19,18 +19,19 @@ def units(col: str | Column, scale: int = 2) -> Column:
     return F.rint(c * 10 ** scale).cast("bigint")
 
 
-def exact_sum(col: str | Column, scale: int = 2) -> Column:
+def exact_sum(col: str | Column, scale: int | None = 2) -> Column:
     """Sum of fixed-point amounts held as doubles; the same whatever the row order.
 
-    Whole units are added, which stays in generated code; past 9.2e18 units Spark raises
-    an overflow error.
+    ``scale`` is the number of decimals the amounts are known to have: they are added as
+    decimals of 38 digits. With ``None`` this is the plain sum of any doubles.
     """
-    return F.sum(units(col, scale)) / 10 ** scale
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c) if scale is None else F.sum(c.cast(f"decimal(28,{scale})")).cast("double")
 
 
-def exact_avg(col: str | Column, scale: int = 2) -> Column:
+def exact_avg(col: str | Column, scale: int | None = 2) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.try_divide(exact_sum(c, scale), F.count(c))
+    return F.avg(c) if scale is None else F.try_divide(exact_sum(c, scale), F.count(c))
 
 
 def whole(df: DataFrame, **aggs: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import joined_on, top_rows, whole
+from sparkloom.operators.reshape import listed
 
 
 def not_in(df: DataFrame, col: str, other: DataFrame, key: str) -> DataFrame:
@@ -31,20 +32,15 @@ def role_pairs(df: DataFrame, keys: list[str], role: Column, cols_a: list[str],
     return a.join(b, keys)
 
 
-def link_list(df: DataFrame, key: str, ids: str, other: DataFrame, other_key: str, value: str, out: str,
-              longest: int) -> DataFrame:
+def link_list(df: DataFrame, key: str, ids: str, other: DataFrame, other_key: str, value: str, out: str) -> DataFrame:
     """Replace a list of foreign keys by the linked values, in list order, unknown keys left out.
 
-    ``longest`` is the length of the longest list: each position is one aggregate column, so
-    the lists are put together again without collecting rows.
+    ``key`` names one row, so a list that is put together again is no longer than it was.
     """
     refs = df.select(key, F.posexplode(ids).alias("_i", "_id"))
-    refs = refs.withColumn("_i", F.when(F.col("_i") < longest, F.col("_i")).otherwise(
-        F.raise_error(F.lit("a list is longer than stated")).cast("int")))
-    found = refs.join(other.select(F.col(other_key).alias("_id"), F.col(value).alias("_v")), "_id")
-    at = [F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(f"_{i}") for i in range(longest)]
-    lists = found.groupBy(key).agg(*at).select(key, F.array_compact(F.array(*[f"_{i}" for i in range(longest)])).alias(out))
-    return joined_on(df.drop(ids), lists, key)
+    found = refs.join(other.select(F.col(other_key).alias("_id"), F.col(value).alias("_v")).filter("_v IS NOT NULL"), "_id")
+    placed = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_l"))
+    return joined_on(df.drop(ids), placed.select(key, F.col("_l._v").alias(out)), key)
 
 
 def match_rate(requests: DataFrame, accepts: DataFrame, keys: list[str], digits: int = 2) -> DataFrame:
@@ -54,24 +50,20 @@ def match_rate(requests: DataFrame, accepts: DataFrame, keys: list[str], digits:
         F.round(F.try_divide(F.count("_hit").cast("double"), F.count(F.lit(1))), digits).alias("rate"))
 
 
-def product_with_values(df: DataFrame, values: DataFrame, col: str, out: str, most: int = 1000) -> DataFrame:
-    """Each row with each distinct value of a dictionary column of another table.
-
-    The dictionary is read as one array and unfolded, so no cross join is planned. A
-    column with more than ``most`` values is refused.
-    """
-    few = values.select(col).distinct().limit(most + 1)
-    domain = whole(few, v=F.sort_array(F.collect_set(col)))["v"]
-    checked = F.when(F.size(domain) <= most, domain).otherwise(F.raise_error(F.lit(f"{col} has too many values")))
-    return df.withColumn(out, F.explode(checked))
+def product_with_values(df: DataFrame, values: list, out: str) -> DataFrame:
+    """Each row with each of the values that the caller lists; null is a value like any other."""
+    return df.withColumn(out, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
-def pair_counts(df: DataFrame, key: str, col: str, values: list, ordered: bool = False) -> DataFrame:
+def pair_counts(df: DataFrame, key: str, col: str, values: list, ordered: bool = False, rest: str | None = None) -> DataFrame:
     """How many keys hold both values, for each pair of the given dictionary values.
 
     One pass sets a flag per value and key; pairs are products of flags, never rows.
-    ``ordered`` gives permutations instead of combinations.
+    ``ordered`` gives permutations instead of combinations. ``rest`` names one more value
+    that stands for all values that are not listed.
     """
+    if rest is not None:
+        df, values = df.withColumn(col, listed(F.col(col), values, rest)), [*values, rest]
     flags = df.groupBy(key).agg(*[F.max((F.col(col) == v).cast("int")).alias(f"f{i}") for i, v in enumerate(values)])
     pairs = list((permutations if ordered else combinations)(range(len(values)), 2))
     sums = flags.agg(*[F.sum(F.col(f"f{a}") * F.col(f"f{b}")).alias(f"p{a}_{b}") for a, b in pairs])

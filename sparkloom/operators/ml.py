@@ -87,17 +87,19 @@ def ridge_strength(n: int, c: float = 1.0) -> float:
 def classification_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Per class: precision, recall, f1, support; then accuracy and the two averages.
 
+    A class that is only predicted has support and recall 0 and counts in the macro average.
+
     Counted as a confusion table, so all that follows runs on classes squared rows.
     """
     cells = df.groupBy(F.col(label).alias("y"), F.col(predicted).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     truth = cells.groupBy(F.col("y").alias("class")).agg(
         F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("hit"))
     guess = cells.groupBy(F.col("p").alias("class")).agg(F.sum("n").alias("guessed"))
-    both = truth.join(guess, "class", "left").na.fill(0, subset=["guessed"])
+    both = truth.join(guess, "class", "full").na.fill(0, subset=["guessed", "support", "hit"])
     zero = F.lit(0.0)
     per = both.select(F.col("class").cast("string").alias("class"),
                       F.coalesce(F.try_divide(F.col("hit").cast("double"), F.col("guessed")), zero).alias("precision"),
-                      (F.col("hit").cast("double") / F.col("support")).alias("recall"), "support", "hit")
+                      F.coalesce(F.try_divide(F.col("hit").cast("double"), F.col("support")), zero).alias("recall"), "support", "hit")
     total = F.col("precision") + F.col("recall")
     per = per.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), total), zero))
     measures = ["precision", "recall", "f1"]
@@ -115,10 +117,10 @@ def classification_report(df: DataFrame, label: str, predicted: str) -> DataFram
 
 
 def r2_score(df: DataFrame, label: str, predicted: str, by: list[str] | None = None) -> DataFrame:
-    """One minus residual over total sum of squares, in one pass."""
+    """One minus residual over total sum of squares, in one pass; null for a constant label."""
     gap = F.col(label) - F.col(predicted)
     return df.groupBy(*(by or [])).agg(
-        (1 - F.sum(gap * gap) / (F.var_pop(label) * F.count(label))).alias("r2"))
+        (1 - F.try_divide(F.sum(gap * gap), F.var_pop(label) * F.count(label))).alias("r2"))
 
 
 def simple_regression(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:

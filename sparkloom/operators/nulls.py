@@ -21,7 +21,7 @@ def fill_statistic(df: DataFrame, col: str, strategy: str, out: str) -> DataFram
     return df.withColumn(out, F.coalesce(F.col(col), value))
 
 
-def fill_exact_mean(df: DataFrame, col: str, out: str, scale: int = 2) -> DataFrame:
+def fill_exact_mean(df: DataFrame, col: str, out: str, scale: int | None = None) -> DataFrame:
     return df.withColumn(out, F.coalesce(F.col(col), whole(df, m=exact_avg(col, scale))["m"]))
 
 

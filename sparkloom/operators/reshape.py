@@ -1,7 +1,8 @@
 """Long to wide and back, cross-tabulation, dummy columns.
 
 Wide forms take the list of output columns, so Spark needs no extra pass to find it
-and the width of the result is fixed.
+and the width of the result is fixed. Values that are not listed are not lost: they
+share the column ``REST``.
 """
 
 from __future__ import annotations
@@ -12,27 +13,38 @@ from pyspark.sql import functions as F
 from sparkloom.operators.groups import whole
 
 
-def pivot(df: DataFrame, index: list[str] | str, columns: str, values: list, agg: Column) -> DataFrame:
+REST = "other"
+
+
+def listed(col: Column, values: list, rest: str = REST) -> Column:
+    """The value as text if it is listed, else (also for null) ``rest``."""
+    return F.when(col.isin(*values), col.cast("string")).otherwise(F.lit(rest))
+
+
+def pivot(df: DataFrame, index: list[str] | str, columns: str, values: list, agg: Column, rest: str = REST) -> DataFrame:
     index = [index] if isinstance(index, str) else list(index)
-    return df.groupBy(*index).pivot(columns, values).agg(agg)
+    marked = df.withColumn(columns, listed(F.col(columns), values, rest))
+    return marked.groupBy(*index).pivot(columns, [*map(str, values), rest]).agg(agg)
 
 
-def crosstab(df: DataFrame, row: Column | str, col: Column | str, values: list, row_name: str = "row") -> DataFrame:
+def crosstab(df: DataFrame, row: Column | str, col: Column | str, values: list, row_name: str = "row",
+             rest: str = REST) -> DataFrame:
     """Counts per row and column label, zero where none."""
     row = F.col(row) if isinstance(row, str) else row
     col = F.col(col) if isinstance(col, str) else col
-    wide = df.select(row.alias(row_name), col.alias("_c")).groupBy(row_name).pivot("_c", values).agg(F.count(F.lit(1)))
-    return wide.na.fill(0, subset=[str(v) for v in values])
+    marked = df.select(row.alias(row_name), listed(col, values, rest).alias("_c"))
+    names = [*map(str, values), rest]
+    return marked.groupBy(row_name).pivot("_c", names).agg(F.count(F.lit(1))).na.fill(0, subset=names)
 
 
-def crosstab_totals(df: DataFrame, row: str, col: str, values: list, total: str = "All") -> DataFrame:
+def crosstab_totals(df: DataFrame, row: str, col: str, values: list, total: str = "All", rest: str = REST) -> DataFrame:
     """Counts with a total row and column, from one cube."""
-    marked = df.select(F.col(row).alias("r"), F.col(col).alias("c"))
+    marked = df.select(F.col(row).alias("r"), listed(F.col(col), values, rest).alias("c"))
     cells = marked.cube("r", "c").agg(F.count(F.lit(1)).alias("n"), F.grouping("r").alias("gr"), F.grouping("c").alias("gc"))
     named = cells.select(F.when(F.col("gr") == 1, total).otherwise(F.col("r")).alias(row),
                          F.when(F.col("gc") == 1, total).otherwise(F.col("c")).alias("c"), "n")
-    wide = named.groupBy(row).pivot("c", [*values, total]).agg(F.sum("n"))
-    return wide.na.fill(0, subset=[*values, total])
+    wide = named.groupBy(row).pivot("c", [*values, rest, total]).agg(F.sum("n"))
+    return wide.na.fill(0, subset=[*values, rest, total])
 
 
 def crosstab_shares(df: DataFrame, row: str, col: str) -> DataFrame:
@@ -59,16 +71,18 @@ def transpose_head(df: DataFrame, order: list, index: str, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n).transpose(index)
 
 
-def dummies(df: DataFrame, col: str, values: list, prefix: str) -> DataFrame:
-    return df.withColumns({f"{prefix}{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in values})
+def dummies(df: DataFrame, col: str, values: list, prefix: str, rest: str = REST) -> DataFrame:
+    """One flag per listed value, and one for all others; a null sets none."""
+    flags = {f"{prefix}{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in values}
+    return df.withColumns({**flags, f"{prefix}{rest}": F.coalesce((~F.col(col).isin(*values)).cast("int"), F.lit(0))})
 
 
-def undummy(df: DataFrame, prefix: str, values: list, out: str) -> DataFrame:
+def undummy(df: DataFrame, prefix: str, values: list, out: str, rest: str = REST) -> DataFrame:
     """Name of the first column holding the largest flag; null if none is set."""
-    return df.withColumn(out, F.coalesce(*[F.when(F.col(f"{prefix}{v}") == 1, F.lit(v)) for v in values]))
+    return df.withColumn(out, F.coalesce(*[F.when(F.col(f"{prefix}{v}") == 1, F.lit(v)) for v in [*values, rest]]))
 
 
-def character_counts(df: DataFrame, key: str, text: str, letters: str) -> DataFrame:
-    """One column per letter with its number of occurrences in the text."""
-    size = F.length(text)
-    return df.select(key, *[(size - F.length(F.replace(F.col(text), F.lit(c), F.lit("")))).alias(f"n_{c}") for c in letters])
+def character_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per text and character with its number of occurrences."""
+    each = df.select(key, F.explode(F.split(text, "")).alias("character")).filter("character <> ''")
+    return each.groupBy(key, "character").agg(F.count(F.lit(1)).alias("n"))

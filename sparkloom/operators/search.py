@@ -22,7 +22,7 @@ def all_tokens(index: DataFrame, key: str, query: str) -> DataFrame:
 
 
 def discounts(lines: DataFrame, order: str, item: str, quantity: str, amount: str, points: DataFrame, fidelity: str,
-              bulk_units: int = 20, large_order: int = 10) -> DataFrame:
+              bulk_units: int = 20, large_order: int = 10, scale: int | None = None) -> DataFrame:
     """Per order: total, the three discounts, the best of them and the amount due.
 
     Loyalty gives 5 % from 1000 points, each line of ``bulk_units`` or more gives 10 %,
@@ -31,7 +31,7 @@ def discounts(lines: DataFrame, order: str, item: str, quantity: str, amount: st
     """
     bulky = F.when(F.col(quantity) >= bulk_units, F.col(amount))
     per = lines.groupBy(order).agg(
-        exact_sum(amount).alias("total"), F.coalesce(exact_sum(bulky), F.lit(0.0)).alias("_bulk"),
+        exact_sum(amount, scale).alias("total"), F.coalesce(exact_sum(bulky, scale), F.lit(0.0)).alias("_bulk"),
         F.count_distinct(item).alias("_items")).join(points.select(order, fidelity), order)
     total = F.col("total")
     out = per.select(

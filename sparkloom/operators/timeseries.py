@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.dates import month_start, season
-from sparkloom.operators.groups import exact_avg, exact_sum, joined_on, quantiles, units, with_group
+from sparkloom.operators.groups import exact_avg, exact_sum, joined_on, quantiles, with_group
 from sparkloom.operators.ordered import Rolling, Running, over_order
 
 UNITS = {"day": "INTERVAL 1 DAY", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH"}
@@ -22,46 +22,47 @@ def every_period(df: DataFrame, col: str, unit: str) -> DataFrame:
     return ends.select(F.explode(F.expr(f"sequence(lo, hi, {UNITS[unit]})")).alias(col))
 
 
-def resample(df: DataFrame, ts: str, value: str, unit: str, medians: bool = True) -> DataFrame:
+def resample(df: DataFrame, ts: str, value: str, unit: str, medians: bool = True, scale: int | None = None) -> DataFrame:
     """Per period: max, sum, mean, median and row count; empty periods are kept.
 
     Rows are pre-aggregated per period, so the joins run on one row per period.
     """
     rows = df.select(period(ts, unit).alias("period"), F.col(value))
-    sums = rows.groupBy("period").agg(F.max(value).alias("max"), exact_sum(value).alias("sum"),
-                                      exact_avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
+    sums = rows.groupBy("period").agg(F.max(value).alias("max"), exact_sum(value, scale).alias("sum"),
+                                      exact_avg(value, scale).alias("mean"), F.count(F.lit(1)).alias("n"))
     if medians:
         sums = joined_on(sums, quantiles(rows, "period", value, {"median": 0.5}), "period")
     out = every_period(sums.select("period"), "period", unit).join(sums, "period", "left")
     return out.withColumns({"sum": F.coalesce("sum", F.lit(0.0)), "n": F.coalesce("n", F.lit(0))})
 
 
-def sum_by(df: DataFrame, label: Column, value: str, out: str = "total", name: str = "period") -> DataFrame:
-    return df.groupBy(label.alias(name)).agg(exact_sum(value).alias(out))
+def sum_by(df: DataFrame, label: Column, value: str, out: str = "total", name: str = "period",
+           scale: int | None = None) -> DataFrame:
+    return df.groupBy(label.alias(name)).agg(exact_sum(value, scale).alias(out))
 
 
 def period_quantiles(df: DataFrame, ts: str, value: str, unit: str, probs: dict[str, float]) -> DataFrame:
     return quantiles(df.select(period(ts, unit).alias("period"), value), "period", value, probs)
 
 
-def season_to_date(df: DataFrame, ts: str, value: str, first_month: int = 10) -> DataFrame:
+def season_to_date(df: DataFrame, ts: str, value: str, first_month: int = 10, scale: int | None = None) -> DataFrame:
     """Daily sums and their running sum, starting anew with each season."""
-    days = df.groupBy(F.col(ts).cast("date").alias("day")).agg(
-        F.sum(units(value)).alias("_cents"))
+    amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(28,{scale})")
+    days = df.groupBy(F.col(ts).cast("date").alias("day")).agg(F.sum(amount).alias("_sum"))
     days = days.withColumn("season", season(F.col("day"), first_month))
-    run = over_order(days, "season", "day", {"_run": Running("sum", "_cents")})
-    return run.select("day", "season", (F.col("_cents") / 100).alias("total"), (F.col("_run") / 100).alias("to_date"))
+    run = over_order(days, "season", "day", {"_run": Running("sum", "_sum")})
+    return run.select("day", "season", F.col("_sum").cast("double").alias("total"), F.col("_run").cast("double").alias("to_date"))
 
 
-def rolling_daily_mean(df: DataFrame, ts: str, value: str, days: int = 7) -> DataFrame:
+def rolling_daily_mean(df: DataFrame, ts: str, value: str, days: int = 7, scale: int | None = None) -> DataFrame:
     """Mean of the last ``days`` daily means on a gapless calendar, null until the frame is full."""
-    daily = resample(df, ts, value, "day", medians=False).select("period", "mean")
+    daily = resample(df, ts, value, "day", medians=False, scale=scale).select("period", "mean")
     return over_order(daily, [], "period", {"rolling": Rolling("avg", "mean", days, days)})
 
 
-def month_share(df: DataFrame, ts: str, value: str, first_month: int = 10) -> DataFrame:
+def month_share(df: DataFrame, ts: str, value: str, first_month: int = 10, scale: int | None = None) -> DataFrame:
     """Monthly sums as a share of the season's sum."""
-    months = df.groupBy(month_start(F.col(ts)).alias("month")).agg(exact_sum(value).alias("total"))
+    months = df.groupBy(month_start(F.col(ts)).alias("month")).agg(exact_sum(value, scale).alias("total"))
     months = months.withColumn("season", season(F.col("month"), first_month))
-    out = with_group(months, "season", _all=exact_sum("total"))
+    out = with_group(months, "season", _all=exact_sum("total", scale))
     return out.select("month", "season", "total", F.try_divide(F.col("total"), F.col("_all")).alias("share"))

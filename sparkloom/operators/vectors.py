@@ -45,6 +45,8 @@ def vector_sums(df: DataFrame, by: list[str] | str, vector: str, dims: int, weig
     """
     by = [by] if isinstance(by, str) else list(by)
     w = F.lit(1) if weight is None else weight
+    sized = F.when(F.size(vector) == dims, F.col(vector)).otherwise(F.raise_error(F.lit(f"a vector has not {dims} elements")))
+    df = df.withColumn(vector, F.when(F.col(vector).isNotNull(), sized))
     element = [F.sum(F.get(F.col(vector), F.lit(i)).cast("double") * w) for i in range(dims)]
     sums = df.groupBy(*by).agg(*[e.alias(f"_d{i}") for i, e in enumerate(element)], F.sum(w).alias("_w"))
     return sums.select(*by, F.array(*[f"_d{i}" for i in range(dims)]).alias("sums"), F.col("_w").alias("weight"))

@@ -86,9 +86,10 @@ CHANNELS = {"F": "online", "O": "retail", "P": "mobile"}
 
 def channel_metrics(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Totals per channel, united and summed up again per customer; order status stands for the channel."""
-    parts = None
-    for status in CHANNELS:
-        part = orders.filter(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(
+    status, parts = F.coalesce("o_orderstatus", F.lit("")), None
+    tests = [status == s for s in CHANNELS] + [~status.isin(*CHANNELS)]  # all other states are one more channel
+    for test in tests:
+        part = orders.filter(test).groupBy("o_custkey").agg(
             exact_sum("o_totalprice").alias("v"), F.max("o_orderdate").alias("d"), F.count(F.lit(1)).alias("n"))
         parts = part if parts is None else parts.unionByName(part)
     per = parts.groupBy("o_custkey").agg(exact_sum("v").alias("v"), F.max("d").alias("d"), F.sum("n").alias("n"))
@@ -98,14 +99,14 @@ def channel_metrics(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def multi_channel(orders: DataFrame) -> DataFrame:
-    """Three channels with their own column names, aligned and united."""
+    """Three channels with their own column names, aligned and united; any state but F and O is mobile."""
     online = orders.filter("o_orderstatus = 'F'").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.lit("ONLINE").alias("channel"), (F.col("o_totalprice") + 5).alias("total_amount"))
     retail = orders.filter("o_orderstatus = 'O'").selectExpr(
         "o_orderkey AS transaction_id", "o_custkey AS cust_id", "o_totalprice AS purchase_amount")
     retail = retail.withColumnsRenamed({"transaction_id": "order_id", "cust_id": "customer_id", "purchase_amount": "total_amount"})
-    mobile = orders.filter("o_orderstatus = 'P'").selectExpr(
+    mobile = orders.filter("coalesce(o_orderstatus, '') NOT IN ('F', 'O')").selectExpr(
         "o_orderkey AS mobile_order_id", "o_custkey AS user_id", "o_totalprice AS order_total")
     mobile = mobile.withColumnsRenamed({"mobile_order_id": "order_id", "user_id": "customer_id", "order_total": "total_amount"})
     return (online.unionByName(retail.withColumn("channel", F.lit("RETAIL")))

@@ -17,6 +17,27 @@ def read_delimited(spark: SparkSession, path: str, names: str, sep: str = "\t")
     return spark.read.option("sep", sep).schema(names).csv(path)
 
 
+def escaped(text: Column) -> Column:
+    """Text for one field of a line: backslash, tab and line ends are written as two characters."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for sign, name in (("\t", "t"), ("\n", "n"), ("\r", "r")):
+        out = F.replace(out, F.lit(sign), F.lit("\\" + name))
+    return out
+
+
+def _signs(part: Column) -> Column:
+    for sign, name in (("\t", "t"), ("\n", "n"), ("\r", "r")):
+        part = F.replace(part, F.lit("\\" + name), F.lit(sign))
+    return part
+
+
+def unescaped(text: Column) -> Column:
+    """The reverse of ``escaped``."""
+    parts = F.split(text, r"\\\\", -1)  # two backslashes are one; what is left names tabs and line ends
+    parts = F.transform(parts, _signs)
+    return F.array_join(parts, "\\")
+
+
 def read_with_preamble(spark: SparkSession, path: str, schema: str, sep: str = "\t", comment: str = "#",
                        skip: str = r"^\d+[a-z](\t\d+[a-z])*$") -> DataFrame:
     """Delimited scan that drops comment lines, the header line and format lines matching ``skip``."""

@@ -24,6 +24,7 @@ from sparkloom.operators import search as S
 from sparkloom.operators import timeseries as TS
 from sparkloom.operators import vectors as V
 from sparkloom.operators.groups import exact_sum, top_rows, whole, with_group
+from sparkloom.plans import warehouse as W
 
 
 def rows(df):
@@ -98,7 +99,11 @@ def test_pairs_and_links(spark):
     assert len(rows(J.pair_counts(df, "k", "c", ["x", "y"], ordered=True))) == 2
     talks = spark.createDataFrame([(1, [3, 1]), (2, [9])], "t int, ids array<int>")
     people = spark.createDataFrame([(1, "Ann"), (3, "Cy")], "p int, name string")
-    assert rows(J.link_list(talks, "t", "ids", people, "p", "name", "who", longest=2)) == [(1, ["Cy", "Ann"]), (2, None)]
+    assert rows(J.link_list(talks, "t", "ids", people, "p", "name", "who")) == [(1, ["Cy", "Ann"]), (2, None)]
+    many = spark.createDataFrame([(1, list(range(1, 40)) * 3)], "t int, ids array<int>")
+    assert rows(J.link_list(many, "t", "ids", people, "p", "name", "who")) == [(1, ["Ann", "Cy"] * 3)]
+    assert rows(J.pair_counts(df, "k", "c", ["x"], rest="other")) == [("x", "other", 1)]
+    assert rows(J.product_with_values(people, ["u", "v"], "w").select("p", "w")) == [(1, "u"), (1, "v"), (3, "u"), (3, "v")]
 
 
 def test_latest_effective_row(spark):
@@ -147,16 +152,60 @@ def test_melt_and_back(spark):
 
 def test_crosstab_totals_and_shares(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "r string, c string")
-    assert rows(P.crosstab_totals(df, "r", "c", ["x", "y"])) == [("All", 2, 1, 3), ("a", 1, 1, 2), ("b", 1, 0, 1)]
+    assert rows(P.crosstab_totals(df, "r", "c", ["x", "y"])) == [("All", 2, 1, 0, 3), ("a", 1, 1, 0, 2), ("b", 1, 0, 0, 1)]
     shares = P.crosstab_shares(df, "r", "c")
     assert shares.agg(F.sum("of_all")).first()[0] == pytest.approx(1.0)
-    assert rows(P.crosstab(df, "r", "c", ["x", "y"])) == [("a", 1, 1), ("b", 1, 0)]
+    assert rows(P.crosstab(df, "r", "c", ["x", "y"])) == [("a", 1, 1, 0), ("b", 1, 0, 0)]
+    more = df.union(spark.createDataFrame([("a", "z"), ("a", None)], "r string, c string"))
+    assert rows(P.crosstab(more, "r", "c", ["x", "y"])) == [("a", 1, 1, 2), ("b", 1, 0, 0)]
+    assert rows(P.crosstab_totals(more, "r", "c", ["x"])) == [("All", 2, 3, 5), ("a", 1, 3, 4), ("b", 1, 0, 1)]
+    assert rows(P.pivot(more, "r", "c", ["x"], F.count(F.lit(1)))) == [("a", 1, 3), ("b", 1, None)]
 
 
 def test_dummies_round_trip(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "i int, c string")
     wide = P.dummies(df, "c", ["x", "y"], "d_").drop("c")
     assert rows(P.undummy(wide, "d_", ["x", "y"], "c").select("i", "c")) == rows(df)
+    short = P.undummy(P.dummies(df, "c", ["x"], "d_").drop("c"), "d_", ["x"], "c").select("i", "c")
+    assert rows(short) == [(1, "x"), (2, "other"), (3, None)]
+
+
+def test_general_numbers(spark):
+    small = spark.createDataFrame([(0.001,), (0.002,), (0.004,)], "v double")
+    assert G.describe(small, [], "v").first()["mean"] == pytest.approx(0.007 / 3)
+    same = spark.createDataFrame([(2.0, 2.0), (2.0, 1.0)], "v double, p double")
+    assert rows(G.histogram(same, "v", 5)) == [(0, 2)]
+    assert L.r2_score(same, "v", "p").first()["r2"] is None
+    guess = spark.createDataFrame([(0, 0), (0, 2), (1, 1)], "y int, p int")
+    out = {r["class"]: r for r in L.classification_report(guess, "y", "p").collect()}
+    assert out["macro avg"]["precision"] == pytest.approx(2 / 3) and out["2"]["support"] == 0 == out["2"]["recall"]
+    huge = spark.createDataFrame([(9e16,)] * 1200, "v double")
+    assert huge.agg(exact_sum("v")).first()[0] == 9e16 * 1200
+
+
+def test_channels_keep_every_state(spark):
+    orders = spark.createDataFrame([(1, 7, "F", 10.0), (2, 7, "X", 5.0), (3, 7, None, 2.0)],
+                                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double") \
+        .withColumn("o_orderdate", F.expr("TIMESTAMP_NTZ '2020-01-01'"))
+    buyer = spark.createDataFrame([(7,)], "c_custkey bigint")
+    assert W.channel_metrics(orders, buyer).first()["lifetime_value"] == 17.0
+    assert W.multi_channel(orders).count() == 3
+
+
+def test_vectors_of_another_size_are_refused(spark):
+    odd = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "k int, v array<double>")
+    with pytest.raises(Exception, match="has not 2 elements"):
+        V.mean_vectors(odd, "k", "v", 2).collect()
+
+
+def test_delimited_text_round_trip(spark):
+    from sparkloom.sources import files, sinks
+    texts = ["a\tb", "line\nend\r\n", "back\\slash\\t", "\\", "\\\\n", "plain 'quoted' \"text\"", "é"]
+    path = sinks.scratch(spark, "delimited")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn("text", files.escaped(F.col("text")))
+    sinks.write_csv(df, path, sep="\t", header=False)
+    back = files.read_delimited(spark, path, "i int, text string").withColumn("text", files.unescaped(F.col("text")))
+    assert rows(back) == list(enumerate(texts))
 
 
 def test_text(spark):
@@ -232,13 +281,14 @@ def test_vectors(spark):
 
 def test_lineage(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "c")], "src string, dst string")
-    pairs = set(map(tuple, LG.closure(edges).collect()))
-    assert pairs == {(s, d) for s in "abc" for d in "abc"} | {("x", d) for d in "abc"}
+    asked = spark.createDataFrame([("a",), ("x",)], "node string")
+    pairs = set(map(tuple, LG.ancestors(edges, asked).collect()))
+    assert pairs == {(s, "a") for s in "abcx"}
     assert rows(LG.upstream(edges.filter("src <> 'c'"), "c")) == [("a", 2), ("b", 1), ("x", 1)]
     dag = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c")], "s string, d string")
     assert rows(LG.levels(dag, "s", "d")) == [("a", 0), ("b", 1), ("c", 2)]
-    with pytest.raises(ValueError):
-        LG.levels(spark.createDataFrame([("a", "b"), ("b", "a")], "s string, d string"), "s", "d", max_rounds=4)
+    ring = spark.createDataFrame([("a", "b"), ("b", "a"), ("x", "a"), ("b", "c")], "s string, d string")
+    assert rows(LG.levels(ring, "s", "d")) == [("a", None), ("b", None), ("c", None), ("x", 0)]
 
 
 def test_report_and_split(spark):
