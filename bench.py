@@ -22,6 +22,7 @@ HEADLINE = [
     "pvt1_pivot_table", "pvt4_crosstab_totals", "win1_latest_per_key", "win2_ranks", "win4_running_others",
     "win8_rolling_mean", "win13_top_shared_ranks", "bin2_quantile_cut", "bin4_keep_top", "ts1_resample",
     "ts5_rolling_daily_mean", "inc3_snapshot", "stm2_tumbling_window", "ml1_feature_build", "ml17_simple_regression",
+    "ml8_classifiers", "ml10_nearest_neighbours", "ml16_text_forest", "lin2_upstream_closure", "stm5_append_micro_batches",
     "vec1_nearest", "vec3_sentence_vectors", "srch1_inverted_index", "rule1_discounts", "mdl_fct_customer_orders",
 ]
 

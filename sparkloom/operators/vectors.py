@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,7 +11,7 @@ from sparkloom.functions import arrays as A
 from sparkloom.operators.groups import joined_on, top_rows
 
 QUERIES_PER_PASS = 512
-ROWS_PER_STEP = 1024
+ROWS_PER_BLOCK = 8192
 
 
 def vector_of(df: DataFrame, key: str, value, vector: str) -> Column:
@@ -61,55 +59,44 @@ def sentence_vectors(docs: DataFrame, words: DataFrame, key: str, vocabulary: Da
                      dims: int) -> DataFrame:
     """Mean vector of the known tokens of each text; null and weight 0 where none is known.
 
-    ``words`` has one row per token. Tokens are counted per text first, so a common word
-    costs one row per text.
+    ``words`` has one row per token; the tokens of a text are summed up where they are read,
+    so only one row per text and task is shuffled.
     """
-    counts = words.groupBy(key, word).agg(F.count(F.lit(1)).alias("_n"))
-    known = counts.join(vocabulary.select(word, vector), word)
-    means = mean_vectors(known, key, vector, dims, F.col("_n"))
+    known = words.select(key, word).join(vocabulary.select(word, vector), word)
+    means = mean_vectors(known, key, vector, dims)
     out = joined_on(docs.select(key), means, key)
     return out.withColumn("weight", F.coalesce("weight", F.lit(0)))
 
 
 def neighbours(queries: DataFrame, train: DataFrame, key: str, vector: str, k: int,
-               per_pass: int = QUERIES_PER_PASS) -> DataFrame:
+               per_pass: int = QUERIES_PER_PASS, per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Exact k nearest training rows of each query by Euclidean distance.
 
-    The queries go to the tasks in passes of about ``per_pass`` rows, each pass one scan
-    of the training rows. A task keeps k rows per query while it reads, so only these
-    reach the shuffle.
+    Every query meets every training row, in blocks: a task holds about ``per_block`` rows and
+    ``per_pass`` queries, whatever their totals are, and hands on k rows per query. The numbers
+    of blocks and passes are read inside the plan; nothing comes to the driver.
     """
-    total = queries.count()
-    passes = max(1, -(-total // per_pass))
-    bucket = F.pmod(F.xxhash64(key), F.lit(passes))
+    many = lambda df, size: df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int")).scalar()
+    blocks, passes = many(train, per_block), many(queries, per_pass)
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    rows = train.select(F.pmod(F.xxhash64(key), blocks).cast("int").alias("_b"), spread(passes).alias("_p"),
+                        F.col(key).alias("_k"), F.col(vector).cast("array<double>").alias("_v"))
+    asked = queries.select(spread(blocks).alias("_qb"), F.pmod(F.xxhash64(key), passes).cast("int").alias("_qp"),
+                           F.col(key).alias("_q"), F.col(vector).cast("array<double>").alias("_w"))
     schema = f"query_{key} bigint, {key} bigint, distance double"
-    found = None
-    for number in range(passes):
-        block = queries.filter(bucket == number).select(key, vector).collect()
-        if not block:
-            continue
-        ids = np.array([r[0] for r in block], dtype=np.int64)
-        vectors = np.array([r[1] for r in block], dtype=np.float64)
-
-        def scan(batches: Iterator[pd.DataFrame], ids=ids, vectors=vectors) -> Iterator[pd.DataFrame]:
-            best = np.full((len(ids), 0), np.inf)
-            names = np.zeros((len(ids), 0), dtype=np.int64)
-            for batch in batches:
-                for start in range(0, len(batch), ROWS_PER_STEP):
-                    step = batch.iloc[start:start + ROWS_PER_STEP]
-                    rows = np.array(step[vector].tolist(), dtype=np.float64)
-                    keys = np.broadcast_to(step[key].to_numpy(), (len(ids), len(rows)))
-                    gaps = np.stack([((rows - v) ** 2).sum(axis=1) for v in vectors])
-                    best, names = np.hstack([best, gaps]), np.hstack([names, keys])
-                    pick = np.lexsort((names, best), axis=1)[:, :k]
-                    best, names = np.take_along_axis(best, pick, 1), np.take_along_axis(names, pick, 1)
-            width = best.shape[1]
-            yield pd.DataFrame({f"query_{key}": np.repeat(ids, width), key: names.ravel(), "distance": np.sqrt(best.ravel())})
-
-        part = train.select(key, vector).mapInPandas(scan, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return train.sparkSession.createDataFrame([], schema)
+
+    def compare(some: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        if some.empty or asking.empty:
+            return pd.DataFrame({f"query_{key}": [], key: [], "distance": []})
+        names, vectors = some["_k"].to_numpy(), np.stack(some["_v"].to_list())
+        out = []
+        for name, v in zip(asking["_q"].to_numpy(), asking["_w"]):
+            gaps = ((vectors - v) ** 2).sum(axis=1)
+            pick = np.lexsort((names, gaps))[:k]
+            out.append(pd.DataFrame({f"query_{key}": name, key: names[pick], "distance": np.sqrt(gaps[pick])}))
+        return pd.concat(out)
+
+    found = rows.groupBy("_b", "_p").cogroup(asked.groupBy("_qb", "_qp")).applyInPandas(compare, schema)
     return top_rows(found, f"query_{key}", ["distance", key], k)
 
 
