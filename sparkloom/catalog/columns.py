@@ -120,10 +120,8 @@ def _(t):
     paid = (t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 300000")
             .groupBy(F.col("o_custkey").alias("custkey")).agg(exact_sum("o_totalprice").alias("paid")))
     owed = t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("custkey"), F.col("c_acctbal").alias("owed"))
-    strict = C.aligned_add(paid, owed, "custkey", "paid", "owed")
-    filled = C.aligned_add(paid, owed, "custkey", "paid", "owed", fill=0.0)
-    return (strict.withColumnRenamed("total", "strict_total").join(filled.withColumnRenamed("total", "filled_total"), "custkey")
-            .select("custkey", F.round("strict_total", 4).alias("strict_total"), F.round("filled_total", 4).alias("filled_total")))
+    sums = C.aligned_add(paid, owed, "custkey", "paid", "owed", fill=0.0, both="filled")
+    return sums.select("custkey", F.round("total", 4).alias("strict_total"), F.round("filled", 4).alias("filled_total"))
 
 
 @query("prj16_star_distinct_flags", """

@@ -63,10 +63,9 @@ def _(t):
     order = ["o_orderdate", "o_orderkey"]
     head = R.head(rows, order, 5)
     tail = R.head(rows, [F.desc(c) for c in order], 5)
-    middle = R.at_positions(rows, order, lambda p: (p >= 100) & (p < 110))
-    every = R.at_positions(rows, order, lambda p: p % 1000 == 0)
+    parts = {"slice": lambda p: (p >= 100) & (p < 110), "every": lambda p: p % 1000 == 0}
     return (head.withColumn("part", F.lit("head")).unionByName(tail.withColumn("part", F.lit("tail")))
-            .unionByName(middle.withColumn("part", F.lit("slice"))).unionByName(every.withColumn("part", F.lit("every"))))
+            .unionByName(R.parts_at(rows, order, parts, "part")))
 
 
 @query("flt9_above_mean", """

@@ -66,11 +66,15 @@ def row_mean(*cols: str) -> Column:
     return F.try_divide(row_sum(*cols), present)
 
 
-def aligned_add(left: DataFrame, right: DataFrame, key: str, a: str, b: str, fill: float | None = None) -> DataFrame:
-    """Add two keyed columns by key; a key on one side only gives null, or uses ``fill``."""
+def aligned_add(left: DataFrame, right: DataFrame, key: str, a: str, b: str, fill: float | None = None,
+                both: str | None = None) -> DataFrame:
+    """Add two keyed columns by key; a key on one side only gives null, or uses ``fill``.
+
+    ``both`` adds the filled sum under that name next to the strict one, from the same join.
+    """
     other, match = renamed(right.select(key, b), [key], "_o_")
-    x, y = F.col(a), F.col("_o_" + b)
-    if fill is not None:
-        x, y = F.coalesce(x, F.lit(fill)), F.coalesce(y, F.lit(fill))
+    strict = F.col(a) + F.col("_o_" + b)
+    filled = strict if fill is None else F.coalesce(F.col(a), F.lit(fill)) + F.coalesce(F.col("_o_" + b), F.lit(fill))
+    sums = [filled.alias("total")] if both is None else [strict.alias("total"), filled.alias(both)]
     return left.select(key, a).join(other, match, "full_outer").select(
-        F.coalesce(F.col(key), F.col("_o_" + key)).alias(key), (x + y).alias("total"))
+        F.coalesce(F.col(key), F.col("_o_" + key)).alias(key), *sums)

@@ -15,6 +15,13 @@ def at_positions(df: DataFrame, order: list[str], test, by: list[str] | None = N
     return placed.filter(test(F.col("_pos") - 1)).drop("_pos")
 
 
+def parts_at(df: DataFrame, order: list[str], tests: dict[str, object], out: str) -> DataFrame:
+    """Rows by 0-based position, once for each named test they pass; positions are numbered once."""
+    placed = over_order(df, [], order, {"_pos": RowNumber()})
+    names = F.array_compact(F.array(*[F.when(test(F.col("_pos") - 1), F.lit(name)) for name, test in tests.items()]))
+    return placed.withColumn(out, F.explode(names)).drop("_pos")
+
+
 def head(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
