@@ -96,6 +96,23 @@ def text_rows(t):
 TRAITS = ["chars", "words", "word_length", "lines", "digits", "marks"]
 
 
+SPLIT = "('0x' || substr(md5('42:' || {0}), 1, 2))::INTEGER < 204"
+
+
+@query("ml7_one_flag", f"""
+WITH r AS (SELECT doc_id, quality AS label, CASE WHEN regexp_matches(text, '[0-9]') THEN 1 ELSE 0 END AS flag, {SPLIT.format('doc_id')} AS tr
+  FROM documents JOIN labels USING (doc_id)),
+p AS (SELECT flag, ROUND(AVG(label), 2) AS probability FROM r WHERE tr GROUP BY 1)
+SELECT doc_id, CAST(label AS DOUBLE) AS label, probability FROM r JOIN p USING (flag) WHERE NOT tr""")
+def _(t):
+    # with one 0/1 feature and no penalty the model gives the share of each group
+    rows = t.documents.select("doc_id", F.col("text").rlike("[0-9]").cast("double").alias("flag")).join(
+        t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    train, test = L.split(checkpointed(rows), "doc_id", 0.8)
+    model = L.fit(train, ["flag"], L.estimator("logistic", "label", tol=1e-9))
+    return model.transform(test).select("doc_id", "label", F.round(L.probability(), 2).alias("probability"))
+
+
 @query("ml7_logistic_regression")
 def _(t):
     train, test = L.split(text_rows(t), "doc_id", 0.8)
@@ -103,6 +120,39 @@ def _(t):
     return model.transform(L.scaled(test, train, TRAITS)).select("doc_id", "label", "prediction", L.probability().alias("probability"))
 
 
+TRAIT_SQL = f"""
+WITH w AS (SELECT doc_id, quality::DOUBLE AS label, {SPLIT.format('doc_id')} AS tr, text,
+  len(list_filter(regexp_split_to_array(upper(replace(replace(text, '-', ' '), 'ß', 'ss')), '\\s+'), lambda x: x <> ''))::DOUBLE AS words
+  FROM documents JOIN labels USING (doc_id)),
+f AS (SELECT doc_id, label, tr, length(text)::DOUBLE AS chars, words, length(text) / GREATEST(words, 1) AS word_length,
+  len(string_split(text, chr(10)))::DOUBLE AS lines, len(regexp_extract_all(text, '[0-9]'))::DOUBLE AS digits,
+  len(regexp_extract_all(text, '[.,;:!?]'))::DOUBLE AS marks FROM w),
+u AS (UNPIVOT f ON chars, words, word_length, lines, digits, marks INTO NAME trait VALUE v),
+s AS (SELECT trait, MIN(v) AS lo, MAX(v) AS hi FROM u WHERE tr GROUP BY 1),
+x AS (SELECT doc_id, label, tr, trait, GREATEST((v - lo) / (hi - lo), 0.0) AS v FROM u JOIN s USING (trait)),
+n AS (SELECT label AS c, COUNT(*) AS n FROM f WHERE tr GROUP BY 1),
+t AS (SELECT label AS c, trait, SUM(v) AS weight, COUNT(*) FILTER (WHERE v > 0.1::DOUBLE) AS n_set FROM x WHERE tr GROUP BY 1, 2),
+a AS (SELECT c, SUM(weight) AS total FROM t GROUP BY 1),
+g AS (SELECT doc_id, label, c, LN(MAX(n) + 1) + SUM(v * (LN(weight + 1) - LN(total + 6))) AS multinomial,
+  LN(MAX(n) + 1) + SUM(CASE WHEN v > 0.1::DOUBLE THEN LN(n_set + 1) ELSE LN(n - n_set + 1) END - LN(n + 2)) AS bernoulli
+  FROM x JOIN t USING (trait) JOIN n USING (c) JOIN a USING (c) WHERE NOT tr GROUP BY 1, 2, 3)
+"""
+
+
+@query("ml8_naive_bayes", TRAIT_SQL + """
+SELECT 'nb_multinomial' AS model, doc_id, label, arg_max(c, multinomial) AS prediction FROM g GROUP BY 2, 3
+UNION ALL SELECT 'nb_bernoulli', doc_id, label, arg_max(c, bernoulli) FROM g GROUP BY 2, 3""")
+def _(t):
+    train, test = L.split(text_rows(t), "doc_id", 0.8)
+    train, test = (d.withColumns({c: F.greatest(F.col(c), F.lit(0.0)) for c in TRAITS}) for d in (
+        L.scaled(train, train, TRAITS, "minmax"), L.scaled(test, train, TRAITS, "minmax")))
+    flags = [f"{c}_set" for c in TRAITS]
+    train, test = (d.withColumns({f"{c}_set": (F.col(c) > 0.1).cast("double") for c in TRAITS}) for d in (train, test))
+    scored = [L.fit(train, cols, L.estimator(name, "label")).transform(test).select(F.lit(name).alias("model"), "doc_id", "label", "prediction")
+              for name, cols in (("nb_multinomial", TRAITS), ("nb_bernoulli", flags))]
+    return scored[0].unionByName(scored[1])
+
+
 @query("ml8_classifiers")
 def _(t):
     train, test = L.split(text_rows(t), "doc_id", 0.8)
@@ -130,6 +180,34 @@ def price_rows(t):
 PRICE_COLS = ["quantity", "discount", "tax", "size", "list_price"]
 
 
+ONE_FEATURE = f"""
+WITH r AS (SELECT l_extendedprice AS y, l_quantity AS x, {SPLIT.format('l_orderkey')} AS tr FROM lineitem)
+"""
+
+
+def one_feature(t, **params):
+    """Slope, intercept and R² on the test rows of a line fitted to the training rows."""
+    rows = t.lineitem.select("l_orderkey", F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    train, test = L.split(rows, "l_orderkey", 0.8)
+    model = L.fit(train, ["x"], L.estimator("regressor.linear", "y", **params))
+    line = model.stages[-1]
+    return L.r2_score(model.transform(test), "y", "prediction").select(
+        F.lit(round(float(line.coefficients[0]), 4)).alias("slope"), F.lit(round(float(line.intercept), 3)).alias("intercept"),
+        F.round("r2", 6).alias("r2"))
+
+
+@query("ml9_one_feature", ONE_FEATURE + """, m AS (SELECT REGR_SLOPE(y, x) AS a, REGR_INTERCEPT(y, x) AS b FROM r WHERE tr)
+SELECT ROUND(a, 4) AS slope, ROUND(b, 3) AS intercept, ROUND(1 - SUM((y - a * x - b) * (y - a * x - b)) / (VAR_POP(y) * COUNT(*)), 6) AS r2 FROM r, m WHERE NOT tr GROUP BY a, b""")
+def _(t):
+    return one_feature(t)
+
+
+@query("ml13_without_intercept", ONE_FEATURE + """, m AS (SELECT SUM(x * y) / SUM(x * x) AS a FROM r WHERE tr)
+SELECT ROUND(a, 4) AS slope, 0.0::DOUBLE AS intercept, ROUND(1 - SUM((y - a * x) * (y - a * x)) / (VAR_POP(y) * COUNT(*)), 6) AS r2 FROM r, m WHERE NOT tr GROUP BY a""")
+def _(t):
+    return one_feature(t, fitIntercept=False)
+
+
 @query("ml9_regressors")
 def _(t):
     train, test = L.split(price_rows(t), "l_orderkey", 0.8)
@@ -242,6 +320,16 @@ def _(t):
     return out.select("y", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"), F.round("r2", 6).alias("r2"), "n")
 
 
+@query("nul10_known_kept", """
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_tax > 0 THEN l_extendedprice END AS known, true AS has_value FROM lineitem""")
+def _(t):
+    rows = price_rows(t).withColumn("known", F.when(F.col("tax") > 0, F.col("price")))
+    out = L.model_fill(rows, "known", ["quantity", "discount", "size", "list_price"], "filled",
+                       L.estimator("regressor.boosted", "known", maxIter=5))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("tax") > 0, F.col("filled")).alias("known"),
+                      F.col("filled").isNotNull().alias("has_value"))
+
+
 @query("nul10_model_fill")
 def _(t):
     rows = price_rows(t).withColumn("known", F.when(F.col("tax") > 0, F.col("price")))
