@@ -1,6 +1,9 @@
 """Every query with SQL agrees with it at the smallest scale, and no plan holds a cross join."""
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -53,5 +56,21 @@ def test_top_rows_are_limited_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit .*Partial", plan)
 
 
+def test_entry_without_the_corpus_part():
+    code = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name in ("corpus_pipeline", "sparkloom.llm"):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+names, sql = e.queries(), e.oracle_sql()
+assert "pipeline" not in names and len(names) > 200 and set(sql) <= set(names)
+assert not any(n.startswith("op") for n in names)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
