@@ -4,13 +4,16 @@
 2. SuperMinHash: each shingle gives every slot a correlated permutation rank, step j of its own shuffle lands in
    one slot with rank j + a fraction. Ranks only grow with j, so a text stops as soon as no slot can still
    improve; a text of many shingles is done after two or three steps.
-3. Bands of four slots: classes that share a band meet. Nothing lists all pairs of a band: each member is paired
-   with the band's first member. Where verified links leave a band in several components, the members outside
-   the first member's component are paired with the members of other components, so no link between different
-   texts is lost.
-4. A pair goes on if its signatures agree in half of the slots (six standard errors below 0.75), and is
-   confirmed on the full sets: 100 * intersection >= 75 * union.
-5. Components by union-find rounds on the confirmed links.
+3. Bands of four slots: classes that share a band meet. Nothing lists all pairs of a band: in ``TURNS`` turns, each
+   band draws one member by hash and pairs it with the members of other components, and confirmed links join
+   components.
+4. Bands that still hold several components are searched for the links between them by prefix filtering, which
+   loses none: shingles are ordered by how many of these classes hold them, and two sets of similarity 0.75 share
+   one of their rarest shingles, at places that the sizes bound. A passage that thousands of texts share is not
+   rare, so it makes no pairs; shingles that stand in one component only are dropped before they meet.
+5. A pair is confirmed on the full sets, 100 * intersection >= 75 * union, if its sizes allow that and its
+   signatures agree in half of the slots (six standard errors below 0.75).
+6. Components by union-find rounds on the confirmed links.
 
 With 32 bands of four slots a pair of similarity 0.75 shares a band but for 5 in a million.
 
@@ -33,6 +36,7 @@ from sparkloom.llm.common import components, documents, mix, ready, shingles, st
 SIZE = 5
 BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
+TURNS = 2
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -139,10 +143,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, items): the sorted shingle hashes of the classes in ``pairs``, from the text of their first document."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct() \
-        .join(nodes.select("node", "set_id", "rep"), "node")
+def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n_shingles, items): the sorted shingle hashes of classes, from the text of their first document."""
 
     def build(batches):
         for found, in texts(batches, "text"):
@@ -150,11 +152,56 @@ def full_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                                    pa.array([s.tobytes() for s in sets], pa.binary())], ["set_id", "items"])
 
-    named = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    if not wanted.where("rep is null").isEmpty():
+    named = docs.join(nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    if not nodes.where("rep is null").isEmpty():
         named = named.union(docs.where("doc_id is null"))
     found = named.select("text").mapInArrow(build, "set_id binary, items binary")
-    return wanted.join(found, "set_id").select("node", "items").dropDuplicates(["node"])
+    return nodes.select("node", "set_id", "n_shingles").join(found, "set_id").dropDuplicates(["node"]).drop("set_id")
+
+
+def contested(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(band, node, root) of the bands whose members are in several components."""
+    own = members.withColumn("root", F.col("node")) if roots is None else \
+        members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    own = stage(own, "own")
+    mixed = own.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    return stage(own.join(mixed, "band"), "contested")
+
+
+def star_pairs(own: DataFrame, turn: int) -> DataFrame:
+    """One drawn member of each band with each member of another component."""
+    draw = F.xxhash64("node", F.lit(turn))
+    drawn = own.groupBy("band").agg(F.min_by("node", draw).alias("a"), F.min_by("root", draw).alias("ra"))
+    return own.join(drawn, "band").where("root <> ra").select(
+        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of ``nodes(node, root)`` of different components that share a shingle rare enough for 0.75."""
+
+    def spread(batches):
+        for names, roots, sizes, found in texts(batches, "node", "root", "n_shingles", "items"):
+            for name, root, size, items in zip(names, roots, sizes, found):
+                each = np.frombuffer(items, np.int64)
+                yield pa.record_batch([pa.array(np.full(len(each), x, np.int64)) for x in (name, root, size)] + [pa.array(each)],
+                                      ["node", "root", "n", "shingle"])
+
+    each = stage(nodes.join(sets, "node").select("node", "root", "n_shingles", "items").mapInArrow(
+        spread, "node long, root long, n long, shingle long"), "shingles")
+    often = each.groupBy("shingle").agg(F.count("*").alias("df"))
+    ranked = each.join(often, "shingle").groupBy("node", "root", "n").agg(  # a list is bounded by its text
+        F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("items"))
+    prefix = ranked.withColumn("items", F.slice("items", F.lit(1), (F.col("n") - F.ceil(F.col("n") * 75 / 100) + 1).cast("int")))
+    posted = stage(prefix.select("node", "root", "n", F.posexplode("items").alias("place", "item")).where("item.df > 1")
+                   .select("node", "root", "n", "place", F.col("item.shingle").alias("shingle")), "prefixes")
+    mixed = posted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    posted = stage(posted.join(mixed.select("shingle"), "shingle"), "postings")
+    x, y = posted.alias("x"), posted.alias("y")
+    needed = F.ceil((F.col("x.n") + F.col("y.n")) * 75 / 175)
+    met = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) \
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * 75) \
+        & (F.col("x.place") <= F.col("x.n") - needed) & (F.col("y.place") <= F.col("y.n") - needed)
+    return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -167,26 +214,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     each = nodes.select(F.explode("bands").alias("band"), "node")
-    shared = each.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    members = stage(each.join(shared.select("band", "first"), "band"), "bands")
-    pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(docs, nodes, pairs)
-
-    roots = components(links)
-    own = members.join(roots, "node", "left").select("band", "node", "first", F.coalesce("root", "node").alias("root"))
-    main = roots.select(F.col("node").alias("first"), F.col("root").alias("main"))
-    own = stage(own.join(main, "first", "left").select("band", "node", "root", F.coalesce("main", "first").alias("main"),
-                                                       (F.col("node") == F.col("first")).alias("is_first")), "left")
-    outside = own.where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-    other = own.where("not is_first").select("band", F.col("node").alias("b"), F.col("root").alias("rb"), "main")
-    rest = outside.join(other, "band").where("ra <> rb and (rb = main or a < b)").select("a", "b").distinct()
-    rest = stage(rest, "rest")
-    if not rest.isEmpty():
-        more = _verified(docs, nodes, rest)
-        if not more.isEmpty():
-            roots = components(links.union(more))
-
-    named = nodes.join(roots, "node", "left").select("node", "set_id", "rep", F.coalesce("root", "node").alias("root"))
+    shared = each.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    members = stage(each.join(shared, "band"), "bands")
+    sets = stage(full_sets(docs, nodes.join(members.select("node").distinct(), "node", "left_semi")), "sets")
+    links, roots = None, None
+    for turn in range(TURNS + 1):
+        own = contested(members, roots)
+        if own.isEmpty():
+            break
+        pairs = star_pairs(own, turn) if turn < TURNS else prefix_pairs(own.select("node", "root").distinct(), sets)
+        more = stage(confirmed(stage(plausible(pairs, nodes), "pairs"), sets), "links")
+        links = more if links is None else links.union(more)
+        roots = components(links)
+
+    named = nodes.select("node", "set_id", "rep", F.col("node").alias("root")) if roots is None else \
+        nodes.join(roots, "node", "left").select("node", "set_id", "rep", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_set = named.join(smallest, "root").select("set_id", "component_id")
     filled = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "set_id").join(of_set, "set_id") \
@@ -195,12 +237,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return filled.unionAll(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    good = stage(plausible(pairs, nodes), "pairs")
-    sets = stage(full_sets(docs, nodes, good), "sets")
-    return stage(confirmed(good, sets), "links")
-
-
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
