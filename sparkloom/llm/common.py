@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.session import checkpointed
+from sparkloom.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,7 +45,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
-    return checkpointed(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop(*staged: DataFrame) -> None:

@@ -7,8 +7,8 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in
    equal anchors. Anchors that stand in one text only are dropped (counts with partial sums), and with them every
    window that cannot repeat.
 3. A run of windows with one anchor is a context: the bytes they cover. Equal contexts are one row with their
-   smallest id. Contexts meet by anchor, and every task sorts the suffixes of its contexts, about a megabyte at a
-   time: two-stage sorting sorts only suffixes that are smaller than their successors, by their first 56 bytes,
+   smallest id. Contexts meet by anchor; those that share a window with another one have their suffixes sorted,
+   about a megabyte at a time: two-stage sorting sorts only suffixes that are smaller than their successors, by their first 56 bytes,
    and induces the others by scanning the buckets of first bytes. Neighbours with a common prefix of 50 bytes or
    more are one group; its smallest id is that of each of its windows.
 4. An anchor with more than ``MANY`` different contexts (a common pair of words, say) would not fit one task: its
@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,63 +172,94 @@ def anchors_of(texts_table: DataFrame) -> DataFrame:
 
 
 def contexts_of(texts_table: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, context, d, u, at): the contexts of the anchors in ``wanted(u, hs)``."""
+    """(h, key, context, d, u, at): the contexts of the anchors in ``wanted(u, hs)``; key is a 128-bit hash of the context."""
 
     def cut(batches):
-        for batch in batches:
-            (us, ds, hs, found), = texts(iter([batch]), "u", "d", "hs", "text")
-            for pu, pd, ph, part in chunks(us, ds, hs, found):
+        for columns in texts(batches, "u", "d", "hs", "text"):
+            for pu, pd, ph, part in chunks(*columns):
                 owner, h, at, many = contexts(part)
                 starts = np.searchsorted(owner, np.arange(len(part) + 1))
-                out = ([], [], [], [], [])
-                for i, text in enumerate(part):
-                    a, b = starts[i], starts[i + 1]
-                    good = np.flatnonzero(np.isin(h[a:b].view(np.int64), np.array(ph[i], np.int64))) + a
-                    out[0].extend(h[good].view(np.int64).tolist())
-                    out[1].extend(text[p:p + n + LENGTH - 1] for p, n in zip(at[good].tolist(), many[good].tolist()))
-                    out[2].extend([pd[i]] * len(good))
-                    out[3].extend([pu[i]] * len(good))
-                    out[4].extend(at[good].tolist())
-                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), *(pa.array(x, pa.int64()) for x in out[2:])],
-                                      ["h", "context", "d", "u", "at"])
+                h = h.view(np.int64)
+                good = [np.flatnonzero(np.isin(h[a:b], np.array(w, np.int64))) + a for a, b, w in zip(starts, starts[1:], ph)]
+                sizes = [len(g) for g in good]
+                good = np.concatenate(good)
+                found = [part[o][p:p + n + LENGTH - 1] for o, p, n in zip(owner[good].tolist(), at[good].tolist(), many[good].tolist())]
+                yield pa.record_batch([
+                    pa.array(h[good]), pa.array([xxhash.xxh3_128_digest(c) for c in found], pa.binary()), pa.array(found, pa.binary()),
+                    pa.array(np.repeat(np.array(pd, np.int64), sizes)), pa.array(np.repeat(np.array(pu, np.int64), sizes)),
+                    pa.array(at[good])], ["h", "key", "context", "d", "u", "at"])
 
     return texts_table.join(wanted, "u").select("u", "d", "hs", "text").mapInArrow(
-        cut, "h long, context binary, d long, u long, at long")
+        cut, "h long, key binary, context binary, d long, u long, at long")
+
+
+def shared_contexts(found: list[bytes]) -> np.ndarray:
+    """Which contexts have a window that stands elsewhere among them, too (by its hash; a few too many do no harm)."""
+    sizes = np.array([len(c) for c in found])
+    half = gram_hashes(np.frombuffer(b"".join(found), np.uint8), 32)
+    window = mix(half[: len(half) - (LENGTH - 32)] * _P + half[LENGTH - 32:])
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(found)), sizes)[: len(window)]
+    inside = np.arange(len(window)) + LENGTH <= ends[owner]
+    window, owner = window[inside], owner[inside]
+    order = np.argsort(window, kind="stable")
+    same = window[order[1:]] == window[order[:-1]]
+    out = np.zeros(len(found), bool)
+    out[owner[order[1:][same]]] = True
+    out[owner[order[:-1][same]]] = True
+    return out
 
 
 def sorted_minima(rows: DataFrame) -> DataFrame:
-    """(h, context, low): by suffix arrays over whole anchors, about CHUNK bytes at a time."""
+    """(key, low): by suffix arrays over whole anchors, about CHUNK bytes at a time.
+
+    A context that is alone with its anchor has nothing to be sorted with; one that shares no window with another
+    is left out of the sort, and of the result if only one text holds it.
+    """
 
     def resolve(batches):
-        hs, cs, ds, held = [], [], [], 0
+        hs, keys, found, ds, often, held = [], [], [], [], [], 0
 
         def close():
-            low = smallest_ids(cs, np.array(ds, np.int64))
-            return pa.record_batch([pa.array(hs, pa.int64()), pa.array(cs, pa.binary()), _lists(low)], ["h", "context", "low"])
-
-        for columns in texts(batches, "h", "context", "d"):
-            for h, c, d in zip(*columns):
+            h, d, n = np.array(hs), np.array(ds, np.int64), np.array(often)
+            low = [np.full(len(c) - LENGTH + 1, x) for c, x in zip(found, ds)]
+            alone = np.concatenate([[True], h[1:] != h[:-1]]) & np.concatenate([h[1:] != h[:-1], [True]])
+            rest = np.flatnonzero(~alone)
+            if len(rest):
+                rest = rest[shared_contexts([found[i] for i in rest])]
+            if len(rest):
+                for i, x in zip(rest, smallest_ids([found[i] for i in rest], d[rest])):
+                    low[i] = x
+            kept = n > 1
+            kept[rest] = True
+            kept = np.flatnonzero(kept)
+            return pa.record_batch([pa.array([keys[i] for i in kept], pa.binary()), _lists([low[i] for i in kept])], ["key", "low"])
+
+        for columns in texts(batches, "h", "key", "context", "d", "n"):
+            for h, key, c, d, n in zip(*columns):
                 if held >= CHUNK and h != hs[-1]:
                     yield close()
-                    hs, cs, ds, held = [], [], [], 0
+                    hs, keys, found, ds, often, held = [], [], [], [], [], 0
                 hs.append(h)
-                cs.append(c)
+                keys.append(key)
+                found.append(c)
                 ds.append(d)
+                often.append(n)
                 held += len(c)
         if hs:
             yield close()
 
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(resolve, "h long, context binary, low array<long>")
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(resolve, "key binary, low array<long>")
 
 
 def grouped_minima(rows: DataFrame) -> DataFrame:
-    """(h, context, low) for anchors of too many contexts: single windows, grouped by their bytes."""
+    """(key, low) for anchors of too many contexts: single windows, grouped by their bytes."""
     count = F.length("context") - (LENGTH - 1)
     each = rows.withColumn("i", F.explode(F.sequence(F.lit(1), count))) \
-        .withColumn("window", F.substring(F.col("context"), F.col("i"), F.lit(LENGTH)))
+        .select("key", "d", "i", F.substring(F.col("context"), F.col("i"), F.lit(LENGTH)).alias("window"))
     low = each.groupBy("window").agg(F.min("d").alias("low"))
-    back = each.join(low, "window").groupBy("h", "context").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("l"))
-    return back.select("h", "context", F.col("l.low").alias("low"))
+    back = each.join(low, "window").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "low"))).alias("l"))
+    return back.select("key", F.col("l.low").alias("low"))
 
 
 def removed_ranges(rows: DataFrame, low: DataFrame) -> DataFrame:
@@ -248,7 +280,7 @@ def removed_ranges(rows: DataFrame, low: DataFrame) -> DataFrame:
                 last = np.concatenate([new[1:] - 1, [len(owner) - 1]])
                 yield pa.record_batch([pa.array(us[owner[new]]), pa.array(place[new]), pa.array(place[last] + LENGTH)], ["u", "start", "stop"])
 
-    return rows.select("h", "context", "u", "at", "d").join(low, ["h", "context"]).select("u", "at", "d", "low") \
+    return rows.select("key", "u", "at", "d").join(low, "key").select("u", "at", "d", "low") \
         .mapInArrow(cut, "u long, start long, stop long")
 
 
@@ -300,13 +332,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     drop(anchors)
     cut = stage(contexts_of(found, wanted), "contexts")
     drop(wanted)
-    different = stage(cut.groupBy("h", "context").agg(F.min("d").alias("d")), "different")
+    different = stage(cut.groupBy("key").agg(F.min("d").alias("d"), F.count("*").alias("n"), F.first("h").alias("h"),
+                                             F.first("context").alias("context")), "different")
     many = stage(different.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("h"), "many")
     low = sorted_minima(different.join(many, "h", "left_anti"))
     if not many.isEmpty():
         low = low.unionAll(grouped_minima(different.join(many, "h", "left_semi")))
-    ranges = stage(removed_ranges(cut, stage(low, "low")), "ranges")
-    drop(cut, different)
+    low = stage(low, "low")
+    drop(different)
+    ranges = stage(removed_ranges(cut, low), "ranges")
+    drop(cut, low)
     done = stage(digests(found, ranges), "digests")
     drop(found)
     copy = (F.col("i.d") > F.col("r.d")) & (F.col("n_bytes") >= LENGTH)
