@@ -161,7 +161,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return found
 
 
-LEVELS, BITS = 4, 15
+LEVELS, BITS = 6, 10
 
 
 def nested_limits(rows: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def nested_limits(rows: DataFrame) -> DataFrame:
     ``rows``: key, h (0 .. 2^60 - 1), size (above 0), left (the key's budget, 1 .. sum of its sizes). Rows with
     h < limit fit whole; ``limit_left`` is what is left for the rows that hold the limit, ``limit_size`` their
     size. Sizes are summed by key and leading digit of h; only rows in the digit where the budget ends go on to
-    the next digit. A histogram holds at most 2^15 counters a key.
+    the next digit. A histogram holds at most 2^10 counters a key, so no source makes a large group.
     """
     from pyspark.sql import Window
 

@@ -6,8 +6,8 @@ no source gives more than ``most`` times its own words, and what it can't give i
 Choice of documents: every document of a source is taken as many whole times as fit the target; what is left
 of the target is met by the documents with the smallest hashes. Their limit is found without sorting: words are
 summed by source and the leading digit of the hash, the digit in which the budget ends is refined by its next
-digit, and so on over the four digits of the hash. Only rows in the digit where the budget ends go on, so each
-round holds a 2^-15 share of the one before. The limit is then a filter. The documents that hold exactly the
+digit, and so on over the six digits of the hash. Only rows in the digit where the budget ends go on, so each
+round holds a 2^-10 share of the one before. The limit is then a filter. The documents that hold exactly the
 limit (one, or repeated rows of one id) share the words that are still missing, in proportion to their size, so
 a source's words come to its target rounded to whole words. Budgets nest: a smaller target is a subset.
 
@@ -24,6 +24,7 @@ from sparkloom.llm.common import WORD, documents, hash60, nested_limits, offsets
 
 WEIGHTS = (5, 2, 1)
 
+
 def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
