@@ -79,7 +79,8 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Index:
     """Postings of template words, weighted by how rare they are in the corpus."""
 
-    def __init__(self, templates: list[tuple[str, list[str], str]], rows: int = 0, seen: dict[bytes, int] | None = None):
+    def __init__(self, templates: list[tuple[str, list[str], str]], rows: int = 0, seen: dict[bytes, int] | None = None,
+                 needed: float = 0.6):
         self.labels = [t[0] for t in templates]
         self.phrases = [[tuple(p.encode().split()) for p in t[1]] for t in templates]
         self.words = [t[2].encode().split() for t in templates]
@@ -90,16 +91,32 @@ class Index:
         seen = seen or {}
         self.idf = {w: math.log((rows + 1) / (seen.get(w, 0) + 0.5)) + 0.1 for w in self.postings}
         self.total = [sum(self.idf[w] for w in words) for words in self.words]
+        self.needed = needed
 
-    def scan(self, words: list[bytes], places: dict[bytes, list[int]], rare: int = 12, apart: int = 4,
-             needed: float = 0.6) -> tuple[set[str], float]:
+    def possible(self, known: set[bytes]) -> set[int]:
+        """Templates that these words could cover to the needed share; most files have none."""
+        held: dict[int, float] = defaultdict(float)
+        for w in known:
+            for t, _ in self.postings[w]:
+                held[t] += self.idf[w]
+        return {t for t, x in held.items() if x >= self.needed * self.total[t]}
+
+    def scan(self, words: list[bytes], known: set[bytes], rare: int = 12, apart: int = 4) -> tuple[set[str], float]:
         """Labels and the best weighted share of a template that stands in the text."""
+        templates, needed = self.possible(known), self.needed
+        if not templates:
+            return set(), 0.0
+        places: dict[bytes, list[int]] = {w: [] for w in known if any(t in templates for t, _ in self.postings[w])}
+        for i, w in enumerate(words):
+            if w in places:
+                places[w].append(i)
         top = sorted(places, key=lambda w: (-self.idf[w], w))[:rare]
         votes: dict[int, Counter] = defaultdict(Counter)
         for w in top:
             for t, i in self.postings[w]:
-                for p in places[w]:
-                    votes[t][p - i] += 1
+                if t in templates:
+                    for p in places[w]:
+                        votes[t][p - i] += 1
         labels, best = set(), 0.0
         for t, found in votes.items():
             starts, last = [], None
@@ -179,11 +196,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, list[str], str]] |
                         at += held
                         base.add(label)
                 if known:
-                    places: dict[bytes, list[int]] = {w: [] for w in known}
-                    for i, w in enumerate(words):
-                        if w in places:
-                            places[w].append(i)
-                    labels, score = index.scan(words, places)
+                    labels, score = index.scan(words, known)
                 out.append((len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
                             ",".join(sorted(base | labels)), max(score, 0.5 if base else 0.0)))
             cols = list(zip(*out)) or [()] * 7
