@@ -8,9 +8,9 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in
    window that cannot repeat.
 3. A run of windows with one anchor is a context: the bytes they cover. Equal contexts are one row with their
    smallest id. Contexts meet by anchor; those that share a window with another one have their suffixes sorted,
-   about a megabyte at a time: two-stage sorting sorts only suffixes that are smaller than their successors, by their first 56 bytes,
-   and induces the others by scanning the buckets of first bytes. Neighbours with a common prefix of 50 bytes or
-   more are one group; its smallest id is that of each of its windows.
+   about a megabyte at a time: two-stage sorting sorts only suffixes that are smaller than their successors, by
+   their first 56 bytes, and induces the others by scanning the buckets of first bytes. Neighbours with a common
+   prefix of 50 bytes or more are one group; its smallest id is that of each of its windows.
 4. An anchor with more than ``MANY`` different contexts (a common pair of words, say) would not fit one task: its
    contexts are cut into single windows, which are grouped by their bytes with partial minima.
 5. Each text takes the windows whose smallest id is below its own.
@@ -294,15 +294,18 @@ def merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def digests(texts_table: DataFrame, ranges: DataFrame, with_text: bool = False) -> DataFrame:
-    """(th, d, n_bytes, n_removed, n_spans, kept_sha256) of every text."""
-    per = ranges.groupBy("u").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))  # bounded by the text
+def digests(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The result of every row of ``rows(doc_id, d, th, text)``; ``found(th, first, ranges)`` has one row per text.
+
+    A copy of a text whose first document has a smaller id goes whole.
+    """
 
     def apply(batches):
-        for ths, ds, lists, found in texts(batches, "th", "d", "ranges", "text"):
+        for ids, ds, firsts, lists, found_texts in texts(batches, "doc_id", "d", "first", "ranges", "text"):
             out = []
-            for text, ranges_here in zip(found, lists):
-                spans = merged([(r["start"], r["stop"]) for r in ranges_here or []])
+            for d, first, text, here in zip(ds, firsts, found_texts, lists):
+                spans = [[0, len(text)]] if d > first and len(text) >= LENGTH else \
+                    merged([(r["start"], r["stop"]) for r in here or []])
                 at, kept = 0, []
                 for start, stop in spans:
                     kept.append(text[at:start])
@@ -310,11 +313,11 @@ def digests(texts_table: DataFrame, ranges: DataFrame, with_text: bool = False)
                 kept = b"".join([*kept, text[at:]])
                 out.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
             cols = list(zip(*out)) or [()] * 4
-            yield pa.record_batch([pa.array(ths, pa.binary()), pa.array(ds, pa.int64()), *(pa.array(c, pa.int64()) for c in cols[:3]),
-                                   pa.array(cols[3], pa.string())], ["th", "d", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
+                                  ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return texts_table.join(per, "u", "left").select("th", "d", "ranges", "text").mapInArrow(
-        apply, "th binary, d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.join(found, "th").select("doc_id", "d", "first", "ranges", "text").mapInArrow(
+        apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -322,16 +325,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.unhex(F.md5("text")).alias("th"), "text")
-    ids = stage(rows.select("doc_id", "d", "th"), "ids")
     distinct = rows.groupBy("th").agg(F.min("d").alias("d"), F.first("text").alias("text"))
     found = stage(distinct.withColumn("u", F.monotonically_increasing_id()), "texts")
+    names = stage(found.select("u", "th", F.col("d").alias("first")), "names")
 
     anchors = stage(anchors_of(found), "anchors")
     often = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     wanted = stage(anchors.join(often, "h").groupBy("u").agg(F.collect_list("h").alias("hs")), "wanted")
     drop(anchors)
     cut = stage(contexts_of(found, wanted), "contexts")
-    drop(wanted)
+    drop(found, wanted)
     different = stage(cut.groupBy("key").agg(F.min("d").alias("d"), F.count("*").alias("n"), F.first("h").alias("h"),
                                              F.first("context").alias("context")), "different")
     many = stage(different.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("h"), "many")
@@ -342,13 +345,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     drop(different)
     ranges = stage(removed_ranges(cut, low), "ranges")
     drop(cut, low)
-    done = stage(digests(found, ranges), "digests")
-    drop(found)
-    copy = (F.col("i.d") > F.col("r.d")) & (F.col("n_bytes") >= LENGTH)
-    return ids.alias("i").join(done.alias("r"), "th").select(
-        "doc_id", "n_bytes", F.when(copy, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(copy, F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),
-        F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("kept_sha256")).alias("kept_sha256"))
+    per = ranges.groupBy("u").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))  # bounded by the text
+    return digests(rows, names.join(per, "u", "left").select("th", "first", "ranges"))
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
