@@ -170,7 +170,7 @@ def contested(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def star_pairs(own: DataFrame, turn: int) -> DataFrame:
     """One drawn member of each band with each member of another component."""
-    draw = F.xxhash64("node", F.lit(turn))
+    draw = F.xxhash64("node", "band", F.lit(turn))  # each band draws anew, so a group meets many of its members
     drawn = own.groupBy("band").agg(F.min_by("node", draw).alias("a"), F.min_by("root", draw).alias("ra"))
     return own.join(drawn, "band").where("root <> ra").select(
         F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
