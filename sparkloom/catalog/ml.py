@@ -102,15 +102,17 @@ SPLIT = "('0x' || substr(md5('42:' || {0}), 1, 2))::INTEGER < 204"
 @query("ml7_one_flag", f"""
 WITH r AS (SELECT doc_id, quality AS label, CASE WHEN regexp_matches(text, '[0-9]') THEN 1 ELSE 0 END AS flag, {SPLIT.format('doc_id')} AS tr
   FROM documents JOIN labels USING (doc_id)),
-p AS (SELECT flag, ROUND(AVG(label), 2) AS probability FROM r WHERE tr GROUP BY 1)
-SELECT doc_id, CAST(label AS DOUBLE) AS label, probability FROM r JOIN p USING (flag) WHERE NOT tr""")
+p AS (SELECT flag, ROUND(AVG(label), 6) AS share FROM r WHERE tr GROUP BY 1)
+SELECT doc_id, CAST(label AS DOUBLE) AS label, share, true AS met FROM r JOIN p USING (flag) WHERE NOT tr""")
 def _(t):
     # with one 0/1 feature and no penalty the model gives the share of each group
     rows = t.documents.select("doc_id", F.col("text").rlike("[0-9]").cast("double").alias("flag")).join(
         t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     train, test = L.split(checkpointed(rows), "doc_id", 0.8)
     model = L.fit(train, ["flag"], L.estimator("logistic", "label", tol=1e-9))
-    return model.transform(test).select("doc_id", "label", F.round(L.probability(), 2).alias("probability"))
+    shares = train.groupBy("flag").agg(F.avg("label").alias("share"))
+    return model.transform(test).join(shares, "flag").select(
+        "doc_id", "label", F.round("share", 6).alias("share"), (F.abs(L.probability() - F.col("share")) < 0.005).alias("met"))
 
 
 @query("ml7_logistic_regression")
