@@ -2,11 +2,12 @@
 
 Templates are short licence texts with phrases that must be there. An index holds, for each word of a template,
 the places where it stands. The rarity of these words (at most a few hundred, whatever the corpus holds) is
-counted over all documents. A file looks up its rarest licence words, each place in the file votes for
-(template, place in the file minus place in the template), and votes of near differences are joined, so words
-that were put in or left out do not break a match. The template with its differences is then compared in full:
-every licence word near its place counts with its rarity. A label is given where a mandatory phrase stands
-there word by word.
+counted over all documents. For each template that the words of a file could cover, the rarest of them vote for
+a place in the file minus their place in the template, and votes of near differences are joined, so words
+that were put in or left out do not break a match. So many words vote that the others cannot cover the template
+alone: no place that holds it is without a vote, whatever other templates stand in the file. The template with
+its differences is then compared in full: every licence word near its place counts with its rarity. A label is
+given where a mandatory phrase stands there word by word.
 
 Base labels need the phrase alone: ``mit license``, ``apache license``, ``general public license``.
 
@@ -19,9 +20,9 @@ from __future__ import annotations
 
 import math
 import string
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,17 @@ class Index:
                 held[t] += self.idf[w]
         return {t for t, x in held.items() if x >= self.needed * self.total[t]}
 
+    def voters(self, t: int, known: set[bytes], rare: int) -> list[bytes]:
+        """The rarest known words of a template: ``rare`` of them, or as many as leave too little without them."""
+        left = Counter(w for w in self.words[t] if w in known)
+        order = sorted(left, key=lambda w: (-self.idf[w], w))
+        rest = sum(n * self.idf[w] for w, n in left.items())
+        for k, w in enumerate(order):
+            if k >= rare and rest < self.needed * self.total[t] * (1 - 1e-9):
+                return order[:k]
+            rest -= left[w] * self.idf[w]
+        return order
+
     def scan(self, words: list[bytes], known: set[bytes], rare: int = 12, apart: int = 4) -> tuple[set[str], float]:
         """Labels and the best weighted share of a template that stands in the text."""
         templates, needed = self.possible(known), self.needed
@@ -110,13 +122,10 @@ class Index:
         for i, w in enumerate(words):
             if w in places:
                 places[w].append(i)
-        top = sorted(places, key=lambda w: (-self.idf[w], w))[:rare]
-        votes: dict[int, Counter] = defaultdict(Counter)
-        for w in top:
-            for t, i in self.postings[w]:
-                if t in templates:
-                    for p in places[w]:
-                        votes[t][p - i] += 1
+        votes: dict[int, set[int]] = {t: set() for t in templates}
+        for t in templates:
+            for w in self.voters(t, known, rare):
+                votes[t].update(p - i for u, i in self.postings[w] if u == t for p in places[w])
         labels, best = set(), 0.0
         for t, found in votes.items():
             starts, last = [], None
@@ -138,7 +147,7 @@ class Index:
         for i, w in enumerate(self.words[t]):
             at = places.get(w)
             if at is not None:
-                k = np.searchsorted(at, low + i)
+                k = bisect_left(at, low + i)
                 if k < len(at) and at[k] <= high + i:
                     held += self.idf[w]
         return min(1.0, held / self.total[t])

@@ -49,6 +49,37 @@ def test_licenses(spark, hard, make, sf):
     assert L.scan_licenses(make([]).limit(0)).collect() == []
 
 
+def plain_labels(index, words, apart=4):
+    """Labels of the templates whose words stand within ``apart`` differences of each other, by looking everywhere."""
+    found = set()
+    for t, template in enumerate(index.words):
+        for low in range(-len(template), len(words)):
+            held = sum(index.idf[w] for i, w in enumerate(template) if w in words[max(0, low + i):max(0, low + i + apart + 1)])
+            part = b" " + b" ".join(words[max(0, low):max(0, low + apart + len(template))]) + b" "
+            if held >= index.needed * index.total[t] and any(b" " + b" ".join(p) + b" " in part for p in index.phrases[t]):
+                found.add(index.labels[t])
+    return found
+
+
+def test_licenses_beside_each_other(make):
+    full = {t[0]: t[2] for t in L.TEMPLATES}
+    r = random.Random(4)
+    files = [" ".join(full.values()), f"{full['mit-text']} {prose(1, 30)} {full['apache-2.0-notice']}",
+             f"{full['mit-notice']} {prose(2, 30)} {full['mit-text']}"]
+    for i in range(12):
+        files.append(f" {prose(i, 15)} ".join(" ".join(w for w in full[x].split() if r.random() > 0.03)
+                                             for x in r.sample(sorted(full), r.randint(2, 6))))
+    short = [full[x] for x in ("apache-2.0-notice", "mit-notice", "gpl-3.0", "cc-by-4.0")] * 15
+    rows = [(i, x, "en", "a") for i, x in enumerate(files + short + [prose(i, 40) for i in range(60)])]
+    docs = make(rows)
+    n, seen = L.seen_in(docs.select("text"), set(L.Index(L.TEMPLATES).postings))
+    index = L.Index(L.TEMPLATES, n, seen)
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) - set(L.BASE.values()) for r in L.scan_licenses(docs).collect()}
+    want = [plain_labels(index, L.words_of(x.encode())) for x in files]
+    assert want[0] == set(full) and want[1] == {"mit-text", "apache-2.0-notice"} and want[2] == {"mit-text", "mit-notice"}
+    assert [got[i] for i in range(len(files))] == want
+
+
 # ---- quality rules
 
 def plain_counts(text):
