@@ -9,7 +9,10 @@ method joins the three into one p-value, which is even between 0 and 1 for rando
 False discoveries are controlled by length: in each stratum (encoding, length class) the number of truly random
 strings is read off the upper half of the p-values, and a string is reported if its p-value is above the
 smallest limit (at least ``FLOOR``) at which the estimated share of other strings among the reported ones is at
-most ``q``. The histograms behind this hold at most 20 x 100 counters, summed over all documents with partial sums.
+most ``q``. Each distinct run counts once, since copies are no independent tests. A stratum of fewer than
+``LEAST`` distinct runs takes the limit of its encoding, that of all runs if the encoding has too few as well,
+and ``FLOOR`` where all runs together are too few. The histograms behind this hold at most 20 x 100 counters,
+summed over all documents with partial sums.
 
 Positions come from what lies between matches (``split``) and the matches themselves, as code points.
 
@@ -20,7 +23,9 @@ are kept by ``redact`` and not read by ``scan``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections import Counter, defaultdict
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import documents, ready, stage
@@ -38,6 +43,7 @@ ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789
 LENGTHS = (24, 32, 48, 64)  # classes: below 24, below 32, ...
 BINS = 100
 CHUNK = 512
+LEAST = 100  # distinct runs that a histogram needs to give a limit
 FLOOR = 1e-4  # runs less likely than this are not random, whatever their stratum
 
 
@@ -147,7 +153,7 @@ def length_class(n: Column) -> Column:
 
 
 def found_spans(text: Column) -> dict[str, Column]:
-    """base: spans of the base kinds; runs: (start, kind, end, stratum, p) of the tested runs."""
+    """base: spans of the base kinds; runs: (start, kind, end, stratum, p, run) of the tested runs, run a hash."""
     text = F.coalesce(text, F.lit(""))
     base = [matches(text, ASSIGN, 1, 2, 8), matches(text, ACCESS, 2), matches(text, HEX, 3)]
     trim = lambda a: F.transform(a, lambda x: F.struct(x["start"], x["kind"], x["end"]))
@@ -156,22 +162,37 @@ def found_spans(text: Column) -> dict[str, Column]:
     runs = F.transform(F.filter(runs, lambda x: x["t"].isNotNull()), lambda x: F.struct(
         x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"),
         (x["t"]["encoding"] * (len(LENGTHS) + 1) + length_class(x["end"] - x["start"])).alias("stratum"),
-        battery(x["t"]["encoding"], x["t"]["hit"]).alias("p")))
+        battery(x["t"]["encoding"], x["t"]["hit"]).alias("p"), F.xxhash64(x["t"]["hit"]).alias("run")))
     return {"base": F.array_sort(F.concat(*map(trim, base))), "runs": runs}
 
 
+def limit_of(counts: dict[int, int], q: float) -> float | None:
+    """Smallest p-value to report by a histogram of distinct runs; none if no bin is good enough."""
+    random = 2 * sum(n for b, n in counts.items() if b >= BINS // 2)
+    above, best = 0, None
+    for b in sorted(counts, reverse=True):
+        above += counts[b]
+        if random > 0 and above - random * (1 - b / BINS) <= q * above:
+            best = max(b / BINS, FLOOR)
+    return best
+
+
 def limits(runs: DataFrame, q: float = 0.05) -> dict[int, float]:
     """Smallest p-value to report, per stratum (at most 20); strata without a limit report nothing."""
     each = runs.select(F.explode("runs").alias("r")).where(F.col("r.p") >= FLOOR).select(
-        F.col("r.stratum").alias("stratum"), F.least(F.floor(F.col("r.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
-    counts = each.groupBy("stratum", "bin").agg(F.count("*").alias("n"))
-    above = Window.partitionBy("stratum").orderBy(F.desc("bin"))
-    sums = counts.withColumns({
-        "reported": F.sum("n").over(above),
-        "random": 2 * F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(Window.partitionBy("stratum"))})
-    other = F.col("reported") - F.col("random") * (1 - F.col("bin") / BINS)
-    good = sums.where(other <= q * F.col("reported")).where("random > 0")
-    return {r[0]: max(r[1] / BINS, FLOOR) for r in good.groupBy("stratum").agg(F.min("bin")).collect()}
+        F.col("r.run").alias("run"), F.col("r.stratum").alias("stratum"),
+        F.least(F.floor(F.col("r.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    counts = each.distinct().groupBy("stratum", "bin").agg(F.count("*").alias("n")).collect()  # at most 20 x 100 rows
+    levels = lambda s: (("stratum", s), ("encoding", s // (len(LENGTHS) + 1)), ("all",))
+    held = defaultdict(Counter)
+    for stratum, b, n in counts:
+        for level in levels(stratum):
+            held[level][b] += n
+    out = {}
+    for stratum in {r[0] for r in counts}:
+        enough = next((held[x] for x in levels(stratum) if held[x].total() >= LEAST), None)
+        out[stratum] = FLOOR if enough is None else limit_of(enough, q)
+    return {k: v for k, v in out.items() if v is not None}
 
 
 def reported(limit: dict[int, float], base: Column, runs: Column) -> Column:

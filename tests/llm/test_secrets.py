@@ -99,6 +99,40 @@ def test_redaction(hard, make):
     assert S.scan(make([]).limit(0)).collect() == [] and S.redact(make([]).limit(0)).collect() == []
 
 
+def keyed(r, encoding, n, low=0.0, high=1.0):
+    """A random run of n symbols with letters and digits whose p-value lies between the bounds."""
+    while True:
+        x = "".join(r.choices(S.ALPHABETS[encoding], k=n))
+        kind = 0 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", x) else 1 if re.fullmatch("[A-Z2-7]+", x) else 2 if re.fullmatch(
+            "[a-z0-9]+|[A-Z0-9]+", x) else 3
+        if kind == encoding and re.search("[0-9]", x) and re.search("[A-Za-z]", x) and low <= plain_p(encoding, x) < high:
+            return x
+
+
+def test_copies_count_once(make):
+    r = random.Random(11)
+    keys = [keyed(r, 3, 40) for _ in range(300)]
+    copied = [keyed(r, 3, 40, 0.3, 0.305), keyed(r, 3, 40, 0.5, 0.6)]
+    for often in copied:  # one that raised the limit, one that lowered it
+        docs = make([(i, f"see {x} here", "en", "a") for i, x in enumerate(keys + [often] * 1500)])
+        limit = S.limits(docs.select(S.found_spans(F.col("text"))["runs"].alias("runs")))
+        once = make([(i, f"see {x} here", "en", "a") for i, x in enumerate([*keys, often])])
+        assert limit == S.limits(once.select(S.found_spans(F.col("text"))["runs"].alias("runs")))
+        spans = {r.doc_id: r.spans for r in S.scan(docs).collect()}
+        assert sum(spans[i] != "" for i in range(300)) >= 270
+
+
+def test_lone_runs_borrow_a_limit(make):
+    r = random.Random(12)
+    lone = [keyed(r, 0, 70, 0.1, 0.4), keyed(r, 1, 25, 0.1, 0.4), keyed(r, 3, 25, 0.1, 0.4)]
+    rows = [(i, f"see {keyed(r, 3, 40)} here", "en", "a") for i in range(300)]
+    rows += [(1000 + i, f"see {x} here", "en", "a") for i, x in enumerate(lone)]
+    spans = {r.doc_id: r.spans for r in S.scan(make(rows)).collect()}
+    assert all("random" in spans[1000 + i] for i in range(3))
+    few = {r.doc_id: r.spans for r in S.scan(make(rows[-3:])).collect()}
+    assert all("random" in few[1000 + i] for i in range(3))
+
+
 def test_native_plan(spark, hard):
     plan = S.scan(hard)._jdf.queryExecution().toString() + S.redact(hard)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
