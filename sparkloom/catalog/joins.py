@@ -119,11 +119,12 @@ CROSS JOIN (SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', '
 CROSS JOIN (SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS s) b
 LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = a.s GROUP BY 1, 2, 3""")
 def _(t):
-    grid = J.product_with_values(t.nation, SEGMENTS, "segment")
-    grid = J.product_with_values(grid, SEGMENTS, "other_segment")
-    per = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("c_mktsegment").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return grid.join(per, ["n_nationkey", "segment"], "left").select(
+    segments = J.held_values(t.customer, "c_mktsegment", SEGMENTS)
+    grid = J.product_with_values(t.nation, segments, "segment")
+    grid = J.product_with_values(grid, segments, "other_segment")
+    per = t.customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    same = (F.col("n_nationkey") == F.col("c_nationkey")) & F.col("segment").eqNullSafe(F.col("c_mktsegment"))
+    return grid.join(per, same, "left").select(
         "n_name", "segment", "other_segment", F.coalesce("n", F.lit(0)).alias("customers"))
 
 

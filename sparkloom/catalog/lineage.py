@@ -36,10 +36,15 @@ def nodes(e):
 
 
 def working_columns(t):
-    """The columns of the tables of the working layer."""
+    """The columns of the tables of the working layer, part keys 32 to 255 at every size."""
     return nodes(edges(t)).filter("dst LIKE 'wrk%'").select("dst")
 
 
+def built_columns(t):
+    """All columns that are built from others; they grow with part."""
+    return nodes(edges(t)).select("dst")
+
+
 @query("lin1_edge_kinds", EDGES + "SELECT kind, COUNT(*) AS n FROM e GROUP BY 1")
 def _(t):
     return G.count_kinds(edges(t))
@@ -55,6 +60,12 @@ def _(t):
     return G.ancestors(nodes(edges(t)), working_columns(t))
 
 
+@query("lin2_upstream_closure_all", EDGES + CLOSE.format("", "") + NAMES
+       + "SELECT x.name AS ancestor, y.name AS descendant FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b")
+def _(t):
+    return G.ancestors(nodes(edges(t)), built_columns(t))
+
+
 @query("lin2_upstream_of_column", EDGES + """, u(k, distance) AS (SELECT s, 1 FROM e WHERE d = 150 UNION SELECT e.s, u.distance + 1 FROM u JOIN e ON e.d = u.k)""" + NAMES
        + "SELECT name AS node, CAST(distance AS BIGINT) AS distance FROM u JOIN n USING (k)")
 def _(t):
@@ -107,6 +118,12 @@ def _(t):
     return G.ancestors(nodes(edges(t)).filter("role = 'data'"), working_columns(t))
 
 
+@query("lin8_data_flow_closure_all", EDGES + CLOSE.format("WHERE role = 'data'", "AND e.role = 'data'") + NAMES
+       + "SELECT x.name AS ancestor, y.name AS descendant FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b")
+def _(t):
+    return G.ancestors(nodes(edges(t)).filter("role = 'data'"), built_columns(t))
+
+
 @query("lin8_table_roles", EDGES + """
 SELECT dst_table, src_table, CASE WHEN bool_or(role = 'data') THEN 'joined' ELSE 'filter only' END AS table_role FROM e GROUP BY 1, 2""")
 def _(t):

@@ -50,9 +50,15 @@ def match_rate(requests: DataFrame, accepts: DataFrame, keys: list[str], digits:
         F.round(F.try_divide(F.count("_hit").cast("double"), F.count(F.lit(1))), digits).alias("rate"))
 
 
-def product_with_values(df: DataFrame, values: list, out: str) -> DataFrame:
-    """Each row with each of the values that the caller lists; null is a value like any other."""
-    return df.withColumn(out, F.explode(F.array(*[F.lit(v) for v in values])))
+def product_with_values(df: DataFrame, values: list | Column, out: str) -> DataFrame:
+    """Each row with each of the values that the caller lists or has in an array; null is a value like any other."""
+    return df.withColumn(out, F.explode(values if isinstance(values, Column) else F.array(*[F.lit(v) for v in values])))
+
+
+def held_values(df: DataFrame, col: str, values: list) -> Column:
+    """The listed values and then all others of a dictionary column, null among them, as an array."""
+    held = F.transform(F.array_sort(F.collect_set(F.struct(F.col(col).alias("v")))), lambda x: x["v"])
+    return df.agg(F.array_distinct(F.concat(F.array(*[F.lit(v) for v in values]), held)).alias("v")).scalar()
 
 
 def pair_counts(df: DataFrame, key: str, col: str, values: list, ordered: bool = False, rest: str | None = None) -> DataFrame:
