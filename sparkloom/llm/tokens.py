@@ -79,7 +79,10 @@ class Encoder(dict):
             return b""
         if not self.by_word or b"<|" in text:
             return self.whole(text.decode())
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        if text.isascii():
+            return b"".join(map(self.__getitem__, text.lower().split()))
+        # the library composes before it lower-cases, so other words stay as they stand
+        return b"".join(self[w.lower() if w.isascii() else w] for w in text.split())
 
 
 def _latin(text: str) -> bool:

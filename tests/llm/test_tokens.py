@@ -32,6 +32,13 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_capitals_with_combining_marks():
+    e = encoder(default_tokenizer())
+    for word in ("J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "Ma\u0308RZ", "\u00c9COLE", "\u00c4rger,"):
+        text = f"See {word} and x{word}Y HERE"
+        assert e.ids(text.encode()) == e.whole(text)
+
+
 def test_round_trip(spark, hard, plain):
     path = scratch_path(spark, "test-tokens")
     T.write_tokens(hard, path)
