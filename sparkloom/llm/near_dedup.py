@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import components, documents, mix, ready, shingles, stage, texts, word_hashes
@@ -85,10 +85,10 @@ def shingle_set(text: bytes | None) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id, bands, signature (lowest byte of each slot) of every row."""
+    """doc_id, text_id, n_shingles, set_id, bands, signature (lowest byte of each slot) of every row."""
 
     def sign(batches):
-        for ids, found in texts(batches, "doc_id", "text"):
+        for ids, keys_of, found in texts(batches, "doc_id", "text_id", "text"):
             at = 0
             while at < len(found):  # about 100,000 shingles at a time
                 sets, held = [], 0
@@ -99,14 +99,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 keys = band_keys(sig)
                 n = len(sets)
                 yield pa.record_batch([
-                    pa.array(ids[at:at + n], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(ids[at:at + n], pa.int64()), pa.array(keys_of[at:at + n], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.reshape(-1))),
                     pa.array([x.tobytes() for x in (sig & 0xFF).astype(np.uint8)], pa.binary())],
-                    ["doc_id", "n_shingles", "set_id", "bands", "signature"])
+                    ["doc_id", "text_id", "n_shingles", "set_id", "bands", "signature"])
                 at += n
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, set_id binary, bands array<long>, signature binary")
+    return docs.mapInArrow(sign, "doc_id long, text_id binary, n_shingles long, set_id binary, bands array<long>, signature binary")
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -204,9 +204,9 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_id, n_shingles, root, component_id of every row; without shingles root is null."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text_id"), F.col("text").cast("string").alias("text"))
     rows = stage(fingerprints(docs), "signatures")
     classes = rows.where("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
@@ -230,26 +230,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.select("node", "set_id", "rep", F.col("node").alias("root")) if roots is None else \
         nodes.join(roots, "node", "left").select("node", "set_id", "rep", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_set = named.join(smallest, "root").select("set_id", "component_id")
-    filled = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "set_id").join(of_set, "set_id") \
-        .select("doc_id", "n_shingles", "component_id")
-    empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return filled.unionAll(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of_set = named.join(smallest, "root").select("set_id", "root", "component_id")
+    filled = rows.where("n_shingles > 0").select("doc_id", "text_id", "n_shingles", "set_id").join(of_set, "set_id") \
+        .select("doc_id", "text_id", "n_shingles", "root", "component_id")
+    empty = rows.where("n_shingles = 0").select("doc_id", "text_id", "n_shingles", F.lit(None).cast("long").alias("root"),
+                                                F.col("doc_id").alias("component_id"))
+    return filled.unionAll(empty)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row."""
+    found = grouped(docs.withColumn("text_id", F.lit(None).cast("binary")))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def text_id() -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; of repeated rows of one id and text, one. Rows without an id stay."""
+    """One row of each group: of its smallest id the text of smallest hash, ids before rows without one.
+
+    Texts without shingles are in no group: of repeated rows of one id one stays, and all rows without an id.
+    """
     ready(spark)
-    found = near_duplicates(docs)
-    kept = stage(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    once = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    without = docs.where("doc_id is null")
-    return once.unionAll(again).unionAll(without).select(*docs.columns)
+    found = stage(grouped(docs.withColumn("text_id", text_id())), "grouped")
+    each = found.groupBy("root", "doc_id", "text_id").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_id", "n"))
+    kept = stage(each.where("root is not null").groupBy("root").agg(first.alias("k")).select("k.doc_id", "k.text_id", "k.n")
+                 .unionAll(each.where("root is null and doc_id is not null").select("doc_id", "text_id", "n")), "kept")
+    kept = kept.select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__id"), "n")
+    rows = docs.withColumn("__text", text_id())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__id"))
+    once = rows.join(kept.where("n = 1"), same, "left_semi").select(*docs.columns)
+    again = rows.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    bare = stage(found.where("root is null and doc_id is null").select("text_id").distinct(), "bare")
+    without = rows.where("doc_id is null").join(bare.select(F.col("text_id").alias("__text")), "__text", "left_semi")
+    return once.unionAll(again).unionAll(without.select(*docs.columns))
 
 
 QUERIES = {"op6_near_dedup": op6_near_dedup}

@@ -236,6 +236,19 @@ def test_groups(spark, hard, make, sf):
     assert N.near_duplicates(make([]).limit(0)).collect() == []
 
 
+def test_stage_keeps_one_row_of_each_group(spark, make):
+    one, two, three = prose(1, 80), prose(2, 80), prose(3, 80)
+    near = " ".join(["changed", *one.split()[1:]])
+    docs = make([(None, one, "en", "a"), (4, one, "en", "a"), (None, near, "en", "a"), (4, near, "en", "b"),
+                 (None, two, "en", "a"), (None, two, "en", "b"), (7, three, "en", "a"), (7, three, "en", "a"),
+                 (7, two + " " + three, "en", "a"), (None, "", "en", "a"), (None, None, "en", "a"), (8, "", "en", "a")])
+    got = sorted(((r.doc_id, r.text) for r in N.dedup_stage(spark, docs, "").collect()), key=str)
+    kept = min(one, near, key=lambda x: hashlib.md5(x.encode()).digest())
+    want = [(4, kept), (None, two), (7, three), (7, two + " " + three), (None, ""), (None, None), (8, "")]
+    assert got == sorted(want, key=str)
+    assert N.dedup_stage(spark, docs, "").columns == docs.columns
+
+
 def test_signatures_are_superminhash():
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 3, 40, 400, 5000)]
