@@ -5,8 +5,8 @@
    one slot with rank j + a fraction. Ranks only grow with j, so a text stops as soon as no slot can still
    improve; a text of many shingles is done after two or three steps.
 3. Bands of four slots: classes that share a band meet. Nothing lists all pairs of a band: in ``TURNS`` turns, each
-   band draws one member by hash and pairs it with the members of other components, and confirmed links join
-   components.
+   band draws one member by hash, and each class keeps the drawn member of another component whose signature agrees
+   best with its own; confirmed links join components. So a turn confirms at most one pair for each class.
 4. Bands that still hold several components are searched for the links between them by prefix filtering, which
    loses none: shingles are ordered by how many of these classes hold them, and two sets of similarity 0.75 share
    one of their rarest shingles, at places that the sizes bound. A passage that thousands of texts share is not
@@ -109,19 +109,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, text_id binary, n_shingles long, set_id binary, bands array<long>, signature binary")
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes and signatures allow a similarity of 0.75."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
-    sized = pairs.join(b, "b").join(a, "a").where("least(na, nb) * 100 >= greatest(na, nb) * 75").select("a", "b", "sa", "sb")
+def agreement(pairs: DataFrame) -> DataFrame:
+    """``pairs(a, b, na, nb, sa, sb)`` whose sizes and signatures allow a similarity of 0.75: (a, b, agree)."""
+    sized = pairs.where("least(na, nb) * 100 >= greatest(na, nb) * 75").select("a", "b", "sa", "sb")
 
     def agree(batches):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3))
-            good = np.count_nonzero(x == y, axis=1) >= SLOTS // 2
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
+            same = np.count_nonzero(x == y, axis=1)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(same.astype(np.int32))],
+                                  ["a", "b", "agree"]).filter(pa.array(same >= SLOTS // 2))
+
+    return sized.mapInArrow(agree, "a long, b long, agree int")
 
-    return sized.mapInArrow(agree, "a long, b long")
+
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sizes and signatures allow a similarity of 0.75."""
+    a = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
+    return agreement(pairs.join(b, "b").join(a, "a")).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -168,12 +174,16 @@ def contested(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return stage(own.join(mixed, "band"), "contested")
 
 
-def star_pairs(own: DataFrame, turn: int) -> DataFrame:
-    """One drawn member of each band with each member of another component."""
+def star_pairs(own: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
+    """Each node of a contested band with the most similar drawn member of another component: at most one pair a node."""
+    known = own.join(nodes.select("node", "n_shingles", "signature"), "node")
     draw = F.xxhash64("node", "band", F.lit(turn))  # each band draws anew, so a group meets many of its members
-    drawn = own.groupBy("band").agg(F.min_by("node", draw).alias("a"), F.min_by("root", draw).alias("ra"))
-    return own.join(drawn, "band").where("root <> ra").select(
-        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    drawn = known.groupBy("band").agg(F.min(F.struct(draw, "node", "root", "n_shingles", "signature")).alias("d"))
+    met = known.join(drawn, "band").where("root <> d.root").select(
+        F.col("node").alias("a"), F.col("d.node").alias("b"), F.col("n_shingles").alias("na"), F.col("d.n_shingles").alias("nb"),
+        F.col("signature").alias("sa"), F.col("d.signature").alias("sb"))
+    best = agreement(met).groupBy("a").agg(F.max(F.struct("agree", F.xxhash64("a", "b"), "b")).alias("m"))
+    return best.select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
 
 
 def prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -222,8 +232,9 @@ def grouped(docs: DataFrame) -> DataFrame:
         own = contested(members, roots)
         if own.isEmpty():
             break
-        pairs = star_pairs(own, turn) if turn < TURNS else prefix_pairs(own.select("node", "root").distinct(), sets)
-        more = stage(confirmed(stage(plausible(pairs, nodes), "pairs"), sets), "links")
+        pairs = star_pairs(own, nodes, turn) if turn < TURNS else \
+            plausible(prefix_pairs(own.select("node", "root").distinct(), sets), nodes)
+        more = stage(confirmed(stage(pairs, "pairs"), sets), "links")
         links = more if links is None else links.union(more)
         roots = components(links)
 
@@ -257,7 +268,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts without shingles are in no group: of repeated rows of one id one stays, and all rows without an id.
     """
-    ready(spark)
+    ready(spark, 8 << 20)
     found = stage(grouped(docs.withColumn("text_id", text_id())), "grouped")
     each = found.groupBy("root", "doc_id", "text_id").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_id", "n"))
