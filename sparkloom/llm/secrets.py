@@ -42,7 +42,6 @@ ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789
              "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
 LENGTHS = (24, 32, 48, 64)  # classes: below 24, below 32, ...
 BINS = 100
-CHUNK = 512
 LEAST = 100  # distinct runs that a histogram needs to give a limit
 FLOOR = 1e-4  # runs less likely than this are not random, whatever their stratum
 
@@ -52,26 +51,38 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running_sums(values: Column) -> Column:
-    """Sums of all values before each one; in chunks, so a list of n takes n * n / 512 steps and not n * n.
+def running(values: Column, step) -> Column:
+    """0 and then the folds of all values before each one, by ``step(sofar, value)``, which must be associative.
 
-    ``values`` must be a variable of a lambda (see ``let``), since each chunk names it again.
+    Values are cut into about sqrt(n) chunks: chunks are folded, then their folds, then the values of each chunk
+    from its own start, so a list of n takes n * sqrt(n) copies and not n * n.
     """
-    def inside(first: Column) -> Column:
-        base = F.aggregate(F.slice(values, F.lit(1), first * CHUNK), F.lit(0), lambda a, x: a + x)
-        part = F.slice(values, first * CHUNK + 1, F.lit(CHUNK))
-        return F.aggregate(part, F.array(base), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)),
-                           lambda a: F.slice(a, F.lit(1), F.size(a) - 1))
+    def prefixes(part: Column, start: Column) -> Column:
+        return F.aggregate(part, F.array(start), lambda a, x: F.concat(a, F.array(step(F.element_at(a, -1), x))))
+
+    def chunks(v: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(v) / width).cast("int") - 1, F.lit(0))),
+                           lambda i: F.slice(v, i * width + 1, width))
+
+    def inside(cut: Column) -> Column:
+        folds = F.transform(cut, lambda part: F.aggregate(part, F.lit(0), step))
+        return let(prefixes(folds, F.lit(0)), lambda starts: F.flatten(F.transform(cut, lambda part, i: let(
+            prefixes(part, F.element_at(starts, i + 1)), lambda a: F.slice(a, F.lit(1), F.size(a) - 1)))))
+
+    return let(let(values, chunks), inside)
 
-    chunks = F.greatest(F.ceil(F.size(values) / CHUNK).cast("int") - 1, F.lit(0))
-    return F.flatten(F.transform(F.sequence(F.lit(0), chunks), inside))
+
+def running_sums(values: Column) -> Column:
+    """Sums of all values before each one."""
+    return running(values, lambda a, x: a + x)
 
 
 def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Spans of the matches (leftmost, non-overlapping) whose ``group`` has ``least`` or more characters."""
     def spans(x: Column) -> Column:
         steps = F.zip_with(x["gaps"], x["hits"], lambda g, h: F.length(g) + F.coalesce(F.length(h), F.lit(0)))
-        begins = let(steps, running_sums)
+        begins = running_sums(steps)
         rows = F.arrays_zip(begins.alias("begin"), x["gaps"].alias("gap"), x["hits"].alias("hit"), x["values"].alias("value"))
         rows = F.filter(rows, lambda r: r["hit"].isNotNull() & (F.length(r["value"]) >= least))
         return F.transform(rows, lambda r: F.struct(
@@ -221,14 +232,22 @@ def scan(docs: DataFrame, q: float = 0.05) -> DataFrame:
 
 
 def cut_out(text: Column, spans: Column, mark: str) -> Column:
-    """The text with ``mark`` in place of each group of touching spans."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    def step(a, x):
-        fresh = x["start"] >= a["at"]
-        gap = F.substring(text, a["at"] + 1, F.greatest(x["start"] - a["at"], F.lit(0)))
-        return F.struct(F.greatest(a["at"], x["end"]).alias("at"),
-                        F.when(fresh, F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"]).alias("out"))
-    return F.aggregate(spans, begin, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    """The text with ``mark`` in place of each group of overlapping spans.
+
+    A span that begins before an earlier one ends adds no gap; what is left are the gaps between, joined by marks.
+    Gaps are cut by place from four bytes a character, where a cut costs its own length and not its distance from
+    the start of the text.
+    """
+    def kept(x: Column) -> Column:
+        ends = running(F.transform(x["spans"], lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+        gaps = F.zip_with(x["spans"], ends, lambda s, at: F.struct(at.alias("at"), s["start"].alias("to")))
+        last = F.struct(F.array_max(F.transform(x["spans"], lambda s: s["end"])).alias("at"), x["size"].alias("to"))
+        gaps = F.concat(F.filter(gaps, lambda g: g["to"] >= g["at"]), F.array(last))
+        return F.array_join(F.transform(gaps, lambda g: F.decode(
+            F.substring(x["wide"], g["at"] * 4 + 1, (g["to"] - g["at"]) * 4), "UTF-32")), mark)
+
+    parts = F.struct(spans.alias("spans"), F.encode(text, "UTF-32").alias("wide"), F.length(text).alias("size"))
+    return let(parts, kept)
 
 
 def redact(docs: DataFrame, q: float = 0.05, mark: str = "[secret]") -> DataFrame:
