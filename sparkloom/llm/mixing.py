@@ -7,12 +7,13 @@ Choice of documents: every document of a source is taken as many whole times as
 of the target is met by the documents with the smallest hashes. Their limit is found without sorting: words are
 summed by source and the leading digit of the hash, the digit in which the budget ends is refined by its next
 digit, and so on over the six digits of the hash. Only rows in the digit where the budget ends go on, so each
-round holds a 2^-10 share of the one before. The limit is then a filter. The documents that hold exactly the
-limit (one, or repeated rows of one id) share the words that are still missing, in proportion to their size, so
-a source's words come to its target rounded to whole words. Budgets nest: a smaller target is a subset.
+round holds a 2^-10 share of the one before. The limit is then a filter. In the report (``mix_sizes``) the
+documents that hold exactly the limit (one, or repeated rows of one id) share the words that are still missing, in
+proportion to their size, so a source's words come to its target rounded to whole words; the mixed corpus
+(``mix``) takes every text whole. Budgets nest: a smaller target is a subset.
 
-Defined results: a null text has size 0 and is taken with 0 words; a null source is a source of its own; null
-doc_ids share one hash; an empty table gives no rows; a source without words has target 0.
+Defined results: a null text has size 0 and is taken with 0 words; a null source is a source of its own; in the
+report null doc_ids share one hash; an empty table gives no rows; a source without words has target 0.
 """
 
 from __future__ import annotations
@@ -87,31 +88,20 @@ def mix_sizes(docs: DataFrame, **how) -> DataFrame:
     return rows.join(found, "key").select("doc_id", "size", "source_size", "target", taken_words().alias("taken"))
 
 
-def head_words(text: str, n: Column) -> Column:
-    """The text up to the end of its ``n``-th word."""
-    gaps, words = F.split(text, WORD), F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    steps = F.zip_with(F.slice(gaps, 1, n), F.slice(words, 1, n), lambda g, w: F.length(g) + F.length(w))
-    return F.substring(F.col(text), F.lit(1), F.aggregate(steps, F.lit(0), lambda a, x: a + x))
-
-
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed corpus: each row as often as it is taken whole, and the limit's rows cut to the words still wanted."""
-    rows = docs.withColumns({"__key": source_key(), "__size": size_of(), "__h": hash60("doc_id", "mix")})
-    sizes = stage(rows.select(F.col("__key").alias("key"), F.col("__h").alias("h"), F.col("__size").alias("size")), "sizes")
-    found = limits(sizes, targets(sizes, **how)).select(F.struct("*").alias("__l"))
-    joined = rows.join(found, F.col("__key") == F.col("__l.key"))
-    past = F.when(F.col("__h") < F.col("__l.limit"), F.col("__size")) \
-        .when(F.col("__h") == F.col("__l.limit"), F.expr("__size * __l.limit_left div __l.limit_size"))
-    extra = F.coalesce(past, F.lit(0)).cast("int")
-    whole = F.col("__l.passes") + F.when((extra > 0) & (extra == F.col("__size")), 1).otherwise(0)
-    words = F.concat(F.array_repeat(F.lit(-1), whole.cast("int")),
-                     F.when((extra > 0) & (extra < F.col("__size")), F.array(extra)).otherwise(F.array()))
-    copies = joined.withColumn("__words", F.explode(words))
-    text = F.when(F.col("__words") < 0, F.col("text")).otherwise(head_words("text", F.greatest("__words", F.lit(0))))
-    out = {"text": text}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("__words") < 0, F.col("n_chars")).otherwise(F.length(text).cast("long"))
-    return copies.withColumns(out).select(*docs.columns)
+    """The mixed corpus: every row as often as it is taken, always whole.
+
+    Rows are drawn by the hash of id and text, so rows without an id are told apart. The rows of the limit (one, or
+    repeated rows) are taken if that brings the source nearer to its target.
+    """
+    row_key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), source_key().alias("key"), size_of().alias("size"), hash60(row_key, "mix").alias("h"))
+    sizes = stage(rows.select("key", "h", "size"), "sizes")
+    found = limits(sizes, targets(sizes, **how)).select(F.col("key").alias("of"), "passes", "limit", "limit_left", "limit_size")
+    near = (F.col("h") == F.col("limit")) & (F.col("limit_left") * 2 >= F.col("limit_size"))
+    once_more = F.coalesce((F.col("size") > 0) & ((F.col("h") < F.col("limit")) | near), F.lit(False)).cast("int")
+    times = (F.col("passes") + once_more).cast("int")
+    return rows.join(found, F.col("key") == F.col("of")).select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
