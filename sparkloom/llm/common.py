@@ -18,7 +18,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 BATCH = {  # texts vary by a factor of a thousand: bound an Arrow batch by bytes as well as by rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     # each step is written to the shared folder, so its shuffle files may go when it is done
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
@@ -28,10 +27,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def ready(spark: SparkSession) -> None:
+def ready(spark: SparkSession, batch_bytes: int = 32 << 20) -> None:
     """Settings of the session that the operators rely on; workers started from here on find this package."""
     for key, value in BATCH.items():
         spark.conf.set(key, value)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -66,19 +66,34 @@ def hash60(column: Column | str, salt: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(text, F.lit(salt))), 1, 15), 16, 10).cast("long")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; short words are remembered, within a bound."""
+class Remembered(dict):
+    """word -> ``value(word)``; up to ``limit`` words of at most 24 bytes are remembered, about 20 MB.
 
-    limit = 400_000
+    A worker process outlives a stage of a pipeline, so the table that a step uses empties those of earlier steps.
+    """
+
+    limit = 100_000
+    tables: list[dict] = []
+
+    def __init__(self, value):
+        super().__init__()
+        self.value = value
+        Remembered.tables.append(self)
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
+        value = self.value(word)
         if len(word) <= 24 and len(self) < self.limit:
             self[word] = value
         return value
 
+    def in_use(self) -> Remembered:
+        for other in Remembered.tables:
+            if other is not self and other:
+                other.clear()
+        return self
+
 
-_HASHES = WordHashes()
+_HASHES = Remembered(xxhash.xxh3_64_intdigest)
 
 
 def word_hashes(text: bytes | None, lower: bool = True) -> np.ndarray:
@@ -86,7 +101,7 @@ def word_hashes(text: bytes | None, lower: bool = True) -> np.ndarray:
     if not text:
         return np.empty(0, np.uint64)
     words = (text.lower() if lower else text).split()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(_HASHES.in_use().__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -28,30 +28,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.llm.common import documents, hash60, mix, nested_limits, ready, stage, table, texts
+from sparkloom.llm.common import Remembered, documents, hash60, mix, nested_limits, ready, stage, table, texts
 
 WORD_BITS, SHAPE_BITS = 12, 7
 WORDS, PAIRS = 1 << WORD_BITS, 1 << 2 * SHAPE_BITS
 _ENDS = {ord("!"): 2, ord("?"): 2, **dict.fromkeys(b"#*$%&|<>", 3), **dict.fromkeys(b".,;:", 1)}
 
 
-class Shaped(dict):
-    """word -> hash with the word's shape in its lowest six bits; remembered within a bound."""
+def shaped(word: bytes) -> int:
+    """A word's hash with its shape in the lowest six bits."""
+    core = word.strip(b"!?#*$%&|<>.,;:\"'()")
+    case = 3 if not core else 2 if len(core) > 1 and core.isupper() else 1 if core[:1].isupper() else 0
+    digits = any(48 <= c <= 57 for c in core)
+    return xxhash.xxh3_64_intdigest(word.lower()) & ~63 | case | _ENDS.get(word[-1], 0) << 2 | digits << 4 | (len(core) > 20) << 5
 
-    limit = 400_000
 
-    def __missing__(self, word: bytes) -> int:
-        core = word.strip(b"!?#*$%&|<>.,;:\"'()")
-        case = 3 if not core else 2 if len(core) > 1 and core.isupper() else 1 if core[:1].isupper() else 0
-        digits = any(48 <= c <= 57 for c in core)
-        value = xxhash.xxh3_64_intdigest(word.lower()) & ~63 | case | _ENDS.get(word[-1], 0) << 2 | digits << 4 \
-            | (len(core) > 20) << 5
-        if len(word) <= 24 and len(self) < self.limit:
-            self[word] = value
-        return value
-
-
-_SHAPED = Shaped()
+_SHAPED = Remembered(shaped)
 
 
 def ngrams(text: bytes | None) -> np.ndarray:
@@ -59,7 +51,7 @@ def ngrams(text: bytes | None) -> np.ndarray:
     words = text.split() if text else []
     if not words:
         return np.empty(0, np.int32)
-    h = np.fromiter(map(_SHAPED.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(_SHAPED.in_use().__getitem__, words), np.uint64, len(words))
     word, shape = h >> np.uint64(6), (h & np.uint64(63)).astype(np.int32)
     shape[1:] += (word[1:] == word[:-1]).astype(np.int32) << 6
     single = mix(word) >> np.uint64(64 - WORD_BITS)
@@ -189,8 +181,9 @@ def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the sample keeps, unchanged."""
-    ready(spark)
-    ratios, limit = classify(docs, table(spark, sf_dir, "labels"))
+    known = table(spark, sf_dir, "labels")
+    ready(spark, 8 << 20)
+    ratios, limit = classify(docs, known)
     h = as_hash(F.col("__weight") + gumbel())
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     last = keep_limit(stage(scored(narrow, ratios).select("__n", "__weight", h.alias("h")), "scores"), limit)

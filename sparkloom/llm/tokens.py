@@ -9,6 +9,8 @@ import re
 
 import numpy as np
 
+from sparkloom.llm.common import Remembered
+
 _PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
@@ -44,6 +46,11 @@ class Encoder(dict):
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
         self.cores: dict[str, bytes] = {}
+        Remembered.tables.append(self)  # emptied where a later step of the same worker remembers words of its own
+
+    def clear(self) -> None:
+        super().clear()
+        self.cores.clear()
 
     def whole(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
