@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
 import sys
 import time
 from pathlib import Path
@@ -12,7 +11,6 @@ import duckdb
 
 from sparkloom import get_session
 from sparkloom.catalog import ORACLES, QUERIES, load_all
-from sparkloom.operators.ordered import ROWS_CONF
 from sparkloom.sources.tables import SCHEMAS
 
 KINDS = {"bigint": "int", "int": "int", "smallint": "int", "tinyint": "int", "integer": "int", "hugeint": "huge",
@@ -68,8 +66,6 @@ def main() -> int:
     spark = get_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
                                        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    if os.environ.get("WINDOW_ROWS"):  # force the chunked plan of the ordered windows
-        spark.conf.set(ROWS_CONF, os.environ["WINDOW_ROWS"])
     assert Path(folder).exists(), folder
     con, failed, t_all = duck(folder), 0, time.time()
     for name in QUERIES:

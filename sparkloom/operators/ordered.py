@@ -1,15 +1,18 @@
-"""Ordered windows that stay parallel when one group holds most of the rows.
+"""Ordered windows as a range-partitioned prefix scan: one plan for every size and any skew.
 
-A plain window sends each group to one task. Here a group that is too large for
-one task is cut into chunks at quantiles of its own order key. Each chunk is a
-window partition of its own; what a row needs from other chunks arrives as
+A plain window sends each group to one task. Here the rows, in the order of (group, order key), are cut into chunks
+of about the same size. Small groups lie whole in one chunk, a large one is cut by as many borders as its rows
+need. A chunk is a window partition of its own; what a row needs from other chunks arrives as
 
-* a carry, for running values: one row per chunk, summed up over the chunks before it;
+* a carry, for running values: one row per chunk of a cut group, summed up over the chunks before it;
 * a halo, for lags, leads and rolling frames: copies of the few rows next to the chunk.
 
-Both are a few rows per chunk, so their size is bounded by the number of chunks. The
-chunk of a row follows from its values alone, hence a recomputed task gives the
-same chunk. Small inputs and inputs without large groups take the plain window.
+Borders are rows of the input: a sample of one row for each of ``CHUNKS * SAMPLES`` hash buckets (the row with the
+smallest hash, found by a partial ``min``) is sorted and every ``SAMPLES``-th row becomes a border. So they follow
+from the values alone: a recomputed task, another branch of the plan or another number of partitions finds the same
+chunks and the same digits. Only groups that hold a border are cut, so carries are at most two rows per border, and
+the borders, carries and halos are bounded by the number of chunks; this is why they may be broadcast. Rows go
+straight to the partition of their chunk. Everything is one lazy plan: nothing is run or measured while it is built.
 
 The order key must be unique within a group; add a tie-break column where it is not.
 """
@@ -22,9 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_CONF = "spark.sparkloom.window.rows"
-DEFAULT_ROWS = 4_000_000
-SAMPLES_PER_CHUNK = 16
+CHUNKS = 512  # at least; one per shuffle partition where there are more of those
+SAMPLES = 16  # sampled rows per chunk: chunks differ by about a quarter of their size
 
 
 @dataclass(frozen=True)
@@ -89,62 +91,38 @@ def _combine(fn: str, carried: Column, local: Column) -> Column:
     return F.coalesce(local, carried)
 
 
-def rows_per_chunk(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(ROWS_CONF, str(DEFAULT_ROWS)))
-
-
 def renamed(df: DataFrame, keys: list[str], prefix: str) -> tuple[DataFrame, Column]:
     """``df`` with prefixed column names, and the null-safe join condition on ``keys``."""
     out = df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
     return out, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
-def _cuts(df: DataFrame, by: list[str], order: list[str]) -> tuple[DataFrame, int] | None:
-    """Chunk borders of every group larger than one chunk and the longest list of them.
-
-    None if there is no such group.
-
-    At most rows / rows_per_chunk borders exist in total, so they fit the driver.
-    """
-    limit = rows_per_chunk(df)
-    keys = df.select(*by, *order)
-    total = keys.count()
-    if total <= limit:
-        return None
-    step = min(SAMPLES_PER_CHUNK, limit)
-    every = max(1, limit // step)
-    sample = keys.filter(F.pmod(F.xxhash64(*by, *order), F.lit(every)) == 0)
-    cuts = (
-        sample.groupBy(*by)
-        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_s"))
-        .filter(F.size("_s") > step)
-        .select(*by, F.transform(F.sequence(F.lit(step), F.size("_s") - 1, F.lit(step)),
-                                 lambda i: F.element_at("_s", i + 1)).alias("_cuts"))
-    )
-    rows = cuts.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, cuts.schema), max(len(r["_cuts"]) for r in rows)
+def _borders(df: DataFrame, keys: list[str], chunks: int) -> Column:
+    """Array of ``chunks - 1`` rows of ``keys`` at most, in order, that cut the rows evenly; a scalar subquery."""
+    rows = df.select(*keys, F.xxhash64(*keys).alias("_h")).withColumn("_b", F.pmod("_h", F.lit(chunks * SAMPLES)))
+    least = rows.groupBy("_b").agg(F.min("_h").alias("_h"))
+    sample = rows.join(F.broadcast(least), ["_b", "_h"]).select(F.struct(*keys).alias("k")).distinct()
+    listed = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))  # at most chunks * SAMPLES rows
+    places = F.expr(f"filter(sequence({SAMPLES}, greatest({SAMPLES}, size(s)), {SAMPLES}), i -> i < size(s))")
+    return listed.select(F.transform(places, lambda i: F.element_at("s", i + 1)).alias("cuts")).scalar()
 
 
-def _position(cuts: Column, key: Column, longest: int) -> Column:
+def _position(cuts: Column, key: Column, most: int) -> Column:
     """How many borders are at or below the key, by halving."""
     def step(found: Column, power: Column) -> Column:
         probe = found + power
         fits = (probe <= F.size(cuts)) & (F.get(cuts, probe - 1) <= key)
         return F.when(fits, probe).otherwise(found)
 
-    powers = F.array(*[F.lit(1 << p) for p in reversed(range(longest.bit_length()))])
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(powers, F.lit(0), step))
+    powers = F.array(*[F.lit(1 << p) for p in reversed(range(most.bit_length()))])
+    return F.aggregate(powers, F.lit(0), step)
 
 
 def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, columns: dict[str, object],
-               descending: bool = False, base: DataFrame | None = None, bound: DataFrame | None = None) -> DataFrame:
+               descending: bool = False, base: DataFrame | None = None) -> DataFrame:
     """Add ordered-window columns to ``df``; see the classes above for what they compute.
 
-    Group sizes are measured on ``df``, or on ``base`` if that holds the same keys and is
-    cheaper to read. ``bound`` is a cheap frame with at least as many rows: nothing more
-    is measured when it is small.
+    Borders are taken from ``df``, or from ``base`` if that holds the same keys and is cheaper to read.
     """
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
@@ -152,18 +130,21 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
     base = df if base is None else base
     if not by:
         df, base, by = df.withColumn("_all", F.lit(0)), base.withColumn("_all", F.lit(0)), ["_all"]
-    small = bound is not None and bound.count() <= rows_per_chunk(df)
-    cuts = None if small else _cuts(base, by, order)
-    if cuts is None:
-        return _windows(df, by, order, columns, descending).select(*kept, *columns)
-
-    borders, longest = cuts
-    borders, match = renamed(borders, by, "_b_")
-    frame = df.join(F.broadcast(borders), match, "left").select(
-        *df.columns, F.col("_b__cuts").isNotNull().alias("_large"),
-        _position(F.col("_b__cuts"), F.struct(*order), longest).alias("_chunk"))
-    large = frame.filter("_large").drop("_large")
-    frame = frame.drop("_large").withColumn("_halo", F.lit(False))
+    keys = list(dict.fromkeys([*by, *order]))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(CHUNKS, parts)
+    cuts = F.col("_cuts")
+
+    def of_border(i: Column) -> Column:
+        border = F.get(cuts, i)
+        return border.isNotNull() & reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(border[k]) for k in by])
+
+    frame = df.withColumn("_cuts", _borders(base, keys, chunks)).withColumn("_chunk", _position(cuts, F.struct(*keys), chunks))
+    cut = of_border(F.col("_chunk") - 1) | of_border(F.col("_chunk"))  # a border of the row's own group is next to it
+    part = F.floor(F.col("_chunk").cast("bigint") * parts / (F.size(cuts) + 1)).cast("int")  # chunks in order, evenly
+    frame = frame.select(*df.columns, "_chunk", part.alias("_part"), cut.alias("_cut"))
+    large = frame.filter("_cut").drop("_cut")
+    frame = frame.drop("_cut").withColumn("_halo", F.lit(False))
 
     back = max([c.by for c in columns.values() if isinstance(c, Shift)]
                + [c.size - 1 for c in columns.values() if isinstance(c, Rolling)] + [0])
@@ -172,6 +153,7 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
         if reach > 0:
             frame = frame.unionByName(_halo(large, by, order, reach, flip).withColumn("_halo", F.lit(True)))
 
+    frame = frame.repartitionById(parts, F.col("_part"))
     result = _windows(frame, by, order, columns, descending).filter(~F.col("_halo"))
     carry = _carry(large, by, order, columns, descending)
     if carry is not None:
@@ -181,7 +163,7 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
                            F.col("_b_" + name), F.col(name))
             for name, spec in columns.items() if isinstance(spec, (Running, RowNumber, Ahead))})
     totals = {name: spec for name, spec in columns.items() if isinstance(spec, Total)}
-    if totals:  # one row per large group
+    if totals:  # one row per cut group
         sums, match = renamed(large.groupBy(*by).agg(
             *[_AGG[spec.fn](spec.col).alias(name) for name, spec in totals.items()]), by, "_t_")
         result = result.join(F.broadcast(sums), match, "left").withColumns({
@@ -190,25 +172,23 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
 
 
 def _windows(frame: DataFrame, by, order, columns, descending) -> DataFrame:
-    chunked = "_chunk" in frame.columns
+    whole = [*by, "_part", "_chunk"]
 
     def spec(flip: bool):
-        keys = [F.col(c).desc() if flip else F.col(c).asc() for c in order]
-        return Window.partitionBy(*by, *(["_chunk"] if chunked else [])).orderBy(*keys)
+        return Window.partitionBy(*whole).orderBy(*[F.col(c).desc() if flip else F.col(c).asc() for c in order])
 
     forward, backward = spec(descending), spec(not descending)
     so_far = (Window.unboundedPreceding, Window.currentRow)
 
     def own(c: Column) -> Column:
-        return F.when(~F.col("_halo"), c) if chunked else c
+        return F.when(~F.col("_halo"), c)
 
     out = {}
     for name, item in columns.items():
         if isinstance(item, Running):
             out[name] = _AGG[item.fn](own(F.col(item.col))).over(forward.rowsBetween(*so_far))
         elif isinstance(item, Total):
-            group = Window.partitionBy(*by, *(["_chunk"] if chunked else []))
-            out[name] = _AGG[item.fn](own(F.col(item.col))).over(group)
+            out[name] = _AGG[item.fn](own(F.col(item.col))).over(Window.partitionBy(*whole))
         elif isinstance(item, RowNumber):
             out[name] = F.count(own(F.lit(1))).over(forward.rowsBetween(*so_far))
         elif isinstance(item, Ahead):
@@ -227,12 +207,18 @@ def _windows(frame: DataFrame, by, order, columns, descending) -> DataFrame:
 
 
 def _carry(large: DataFrame, by, order, columns, descending) -> DataFrame | None:
-    """State of each large group's running columns just before (or after) each chunk."""
+    """State of each cut group's running columns just before (or after) each chunk."""
     totals, states = [], []
     first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
+    inside = Window.partitionBy(*by, "_chunk").orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in order]) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name, item in columns.items():
         if isinstance(item, RowNumber):
             total, fn, flip = F.count(F.lit(1)), "sum", False
+        elif isinstance(item, Running) and item.fn in ("sum", "product") and large.schema[item.col].dataType.typeName() in ("double", "float"):
+            # rounded sums depend on the order of rows: added in the chunk's own order, as on its rows
+            large = large.withColumn("_run_" + name, _AGG[item.fn](item.col).over(inside))
+            total, fn, flip = last("_run_" + name, F.struct(*order)), item.fn, False
         elif isinstance(item, Running) and item.fn != "last":
             total, fn, flip = _AGG[item.fn](item.col), "sum" if item.fn == "count" else item.fn, False
         elif isinstance(item, (Running, Ahead)):
@@ -262,9 +248,9 @@ def _halo(large: DataFrame, by, order, reach: int, flip: bool) -> DataFrame:
     rank = Window.partitionBy(*by, "_chunk").orderBy(*away)
     edge = large.withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= reach).drop("_r")
     edge = edge.withColumn("_p", F.row_number().over(Window.partitionBy(*by).orderBy(*toward)))
-    starts = (edge.groupBy(*by, "_chunk").agg((F.min("_p") - 1).alias("_end")).filter("_end > 0")
+    starts = (edge.groupBy(*by, "_chunk", "_part").agg((F.min("_p") - 1).alias("_end")).filter("_end > 0")
               .withColumn("_p", F.explode(F.sequence(F.greatest(F.col("_end") - reach + 1, F.lit(1)), F.col("_end"))))
-              .withColumnRenamed("_chunk", "_to"))
-    starts, match = renamed(starts.select(*by, "_p", "_to"), [*by, "_p"], "_b_")
+              .withColumnsRenamed({"_chunk": "_to", "_part": "_there"}))
+    starts, match = renamed(starts.select(*by, "_p", "_to", "_there"), [*by, "_p"], "_b_")
     return edge.join(F.broadcast(starts), match).select(
-        *[c for c in large.columns if c != "_chunk"], F.col("_b__to").alias("_chunk"))
+        *[c for c in large.columns if c not in ("_chunk", "_part")], F.col("_b__to").alias("_chunk"), F.col("_b__there").alias("_part"))

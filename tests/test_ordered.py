@@ -1,13 +1,16 @@
-"""The chunked plan of ordered windows gives what the plain one gives."""
+"""Ordered windows in chunks give what lists give, whatever the chunks; quantiles by radix selection."""
 
+import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators.groups import quantiles, ranked, with_group
+from sparkloom.operators.groups import ordered_bits, quantiles, ranked, with_group
 from sparkloom.operators.nulls import interpolate
-from sparkloom.operators.ordered import ROWS_CONF, Ahead, Rolling, RowNumber, Running, Shift, Total, over_order
+from sparkloom.operators import ordered
+from sparkloom.operators.ordered import Ahead, Rolling, RowNumber, Running, Shift, Total, over_order
 from sparkloom.session import prepare, scratch_path
 
 SPECS = {
@@ -53,38 +56,55 @@ def expected(rows, by, descending):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("by", [["k"], []])
-@pytest.mark.parametrize("limit", [7, 60, 10**6])
-def test_over_order_matches_brute_force(spark, frame, by, limit, descending):
-    spark.conf.set(ROWS_CONF, str(limit))
-    try:
-        out = over_order(frame, by, ["day", "id"], SPECS, descending).collect()
-    finally:
-        spark.conf.unset(ROWS_CONF)
+@pytest.mark.parametrize("chunks, samples", [(1, 1), (60, 3), (512, 16)])
+def test_over_order_matches_brute_force(spark, frame, monkeypatch, by, chunks, samples, descending):
+    monkeypatch.setattr(ordered, "CHUNKS", chunks)
+    monkeypatch.setattr(ordered, "SAMPLES", samples)
+    out = over_order(frame, by, ["day", "id"], SPECS, descending).collect()
     want = expected(frame.collect(), by, descending)
     assert len(out) == 900
     for r in out:
         assert tuple(r[c] for c in SPECS) == pytest.approx(want[r["id"]]), r
 
 
-def test_chunks_split_a_hot_group(spark, frame):
-    spark.conf.set(ROWS_CONF, "50")
-    try:
-        out = over_order(frame, "k", ["day", "id"], {"n": RowNumber()})
-        plan = out._jdf.queryExecution().toString()
-    finally:
-        spark.conf.unset(ROWS_CONF)
-    assert "_chunk" in plan
+def test_a_hot_group_is_spread_and_nothing_runs_while_planning(spark, frame):
+    rows = spark.range(60_000).select(F.lit("hot").alias("k"), "id", (F.col("id") % 7).alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    out = over_order(rows, "k", "id", {"n": RowNumber(), "lag": Shift("v"), "next": Ahead("v")})
+    assert len(tracker.getJobIdsForGroup("planning")) == 0
+    spark.sparkContext.setJobGroup("running", "running")
+    held = out.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count("*").alias("n")).collect()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["n"] for r in held) == 60_000 and max(r["n"] for r in held) <= 2 * 60_000 / parts
+    assert out.where("n <> id + 1 or next <> v or (id > 0 and lag <> (id - 1) % 7)").count() == 0
 
 
-@pytest.mark.parametrize("limit", [9, 10**6])
-def test_quantiles_and_ranks(spark, frame, limit):
-    spark.conf.set(ROWS_CONF, str(limit))
+def test_same_digits_at_any_partition_count(spark, frame):
+    rows = frame.select("k", "day", "id", (F.col("v") * 0.1 + F.col("id") / 3).alias("v"))
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        got = {r["k"]: (r["a"], r["b"]) for r in quantiles(frame, "k", "v", {"a": 0.25, "b": 0.9}).collect()}
-        ranks = ranked(frame, "k", "v").select("id", "rank_avg", "rank_min", "rank_dense").collect()
+        for parts in (1, 3, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            out = over_order(rows.repartition(parts + 1), "k", ["day", "id"], {"s": Running("sum", "v"), "r": Rolling("avg", "v", 3)})
+            found.append(sorted(tuple(r) for r in out.select("id", "s", "r").collect()))
     finally:
-        spark.conf.unset(ROWS_CONF)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+
+
+def test_empty_and_single(spark, frame):
+    for rows in (frame.where("id < 0"), frame.where("id = 5")):
+        for by in (["k"], []):
+            out = over_order(rows, by, ["day", "id"], SPECS)
+            assert out.count() == rows.count()
+
+
+def test_quantiles_and_ranks(spark, frame):
+    got = {r["k"]: (r["a"], r["b"]) for r in quantiles(frame, "k", "v", {"a": 0.25, "b": 0.9}).collect()}
+    ranks = ranked(frame, "k", "v").select("id", "rank_avg", "rank_min", "rank_dense").collect()
     pdf = frame.toPandas()
+    assert len(got) > 40
     for key, (a, b) in got.items():
         vals = pdf[pdf.k.isna() if key is None else pdf.k == key].v.dropna()
         assert (a, b) == pytest.approx((vals.quantile(0.25), vals.quantile(0.9)))
@@ -95,6 +115,44 @@ def test_quantiles_and_ranks(spark, frame, limit):
             assert (r[col] is None and want[r["id"]] != want[r["id"]]) or r[col] == pytest.approx(want[r["id"]])
 
 
+ODD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 1.0000000000000002, -1.0, 0.1, 0.1, 1e300, -1e300,
+       1.7976931348623157e308, float("inf"), float("-inf"), 3.0, 4.0, 8.0, 7.999999999999999, 1024.0, 1023.9999999999999, 1e-5, 123456.789]
+
+
+def test_bits_keep_the_order_of_doubles(spark):
+    rng = random.Random(3)
+    values = ODD + [rng.uniform(-1, 1) * 10.0 ** rng.randint(-320, 308) for _ in range(3000)]
+    values += [2.0 ** e for e in range(-1074, 1024)] + [float("nan")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b")).collect()
+    for r in rows:
+        if r["v"] == r["v"] and r["v"]:
+            bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+            assert r["b"] == (bits if r["v"] > 0 else -bits), r
+        else:
+            assert r["b"] == (0 if r["v"] == 0 else 2 ** 63 - 1)
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_quantiles_are_exact(spark, by):
+    rng = random.Random(4)
+    values = [v for v in ODD if abs(v) < 1e200] + [rng.gauss(0, 1) * 10 ** rng.randint(-9, 9) for _ in range(700)] + [2.5] * 300 + [None] * 20
+    rows = [("hot" if i % 3 else f"k{i % 11}", v) for i, v in enumerate(values)] + [(None, 1.5), ("none", None)]
+    probs = {"lo": 0.0, "a": 0.05, "m": 0.5, "b": 0.999, "hi": 1.0}
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    got = {tuple(r[c] for c in by): tuple(r[p] for p in probs) for r in quantiles(df, by, "v", probs).collect()}
+    groups = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault((k,) if by else (), []).append(v)
+    assert got.keys() == groups.keys()
+    for key, vals in groups.items():
+        vals.sort()
+        for p, g in zip(probs.values(), got[key]):
+            at = p * (len(vals) - 1)
+            lo, hi = vals[math.floor(at)], vals[math.ceil(at)]
+            assert g == lo + (hi - lo) * (at - math.floor(at))
+
+
 def test_interpolation_leaves_known_points(spark, frame):
     out = interpolate(frame, "k", ["day", "id"], "v", "filled")
     assert out.filter("v IS NOT NULL AND v <> filled").count() == 0
