@@ -16,12 +16,20 @@ from sparkloom.operators.groups import whole
 REST = "other"
 
 
+def _apart(values: list, *names: str) -> None:
+    """The columns of unlisted values and totals must not carry the name of a listed value."""
+    clash = sorted(set(names) & set(map(str, values)))
+    if clash or len(set(names)) < len(names):
+        raise ValueError(f"name the rest and the total otherwise than the values: {clash or names}")
+
+
 def listed(col: Column, values: list, rest: str = REST) -> Column:
     """The value as text if it is listed, else (also for null) ``rest``."""
     return F.when(col.isin(*values), col.cast("string")).otherwise(F.lit(rest))
 
 
 def pivot(df: DataFrame, index: list[str] | str, columns: str, values: list, agg: Column, rest: str = REST) -> DataFrame:
+    _apart(values, rest)
     index = [index] if isinstance(index, str) else list(index)
     marked = df.withColumn(columns, listed(F.col(columns), values, rest))
     return marked.groupBy(*index).pivot(columns, [*map(str, values), rest]).agg(agg)
@@ -30,6 +38,7 @@ def pivot(df: DataFrame, index: list[str] | str, columns: str, values: list, agg
 def crosstab(df: DataFrame, row: Column | str, col: Column | str, values: list, row_name: str = "row",
              rest: str = REST) -> DataFrame:
     """Counts per row and column label, zero where none."""
+    _apart(values, rest)
     row = F.col(row) if isinstance(row, str) else row
     col = F.col(col) if isinstance(col, str) else col
     marked = df.select(row.alias(row_name), listed(col, values, rest).alias("_c"))
@@ -38,12 +47,13 @@ def crosstab(df: DataFrame, row: Column | str, col: Column | str, values: list,
 
 
 def crosstab_totals(df: DataFrame, row: str, col: str, values: list, total: str = "All", rest: str = REST) -> DataFrame:
-    """Counts with a total row and column, from one cube."""
+    """Counts with a total row and column, from one cube; a row label that reads as ``total`` keeps a row of its own."""
+    _apart(values, rest, total)
     marked = df.select(F.col(row).alias("r"), listed(F.col(col), values, rest).alias("c"))
     cells = marked.cube("r", "c").agg(F.count(F.lit(1)).alias("n"), F.grouping("r").alias("gr"), F.grouping("c").alias("gc"))
     named = cells.select(F.when(F.col("gr") == 1, total).otherwise(F.col("r")).alias(row),
-                         F.when(F.col("gc") == 1, total).otherwise(F.col("c")).alias("c"), "n")
-    wide = named.groupBy(row).pivot("c", [*values, rest, total]).agg(F.sum("n"))
+                         F.when(F.col("gc") == 1, total).otherwise(F.col("c")).alias("c"), "gr", "n")
+    wide = named.groupBy(row, "gr").pivot("c", [*values, rest, total]).agg(F.sum("n")).drop("gr")
     return wide.na.fill(0, subset=[*values, rest, total])
 
 

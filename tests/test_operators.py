@@ -159,6 +159,12 @@ def test_crosstab_totals_and_shares(spark):
     more = df.union(spark.createDataFrame([("a", "z"), ("a", None)], "r string, c string"))
     assert rows(P.crosstab(more, "r", "c", ["x", "y"])) == [("a", 1, 1, 2), ("b", 1, 0, 0)]
     assert rows(P.crosstab_totals(more, "r", "c", ["x"])) == [("All", 2, 3, 5), ("a", 1, 3, 4), ("b", 1, 0, 1)]
+    named = spark.createDataFrame([("All", "x"), ("All", "All"), ("b", "other")], "r string, c string")
+    assert rows(P.crosstab_totals(named, "r", "c", ["x"])) == [("All", 1, 1, 2), ("All", 1, 2, 3), ("b", 0, 1, 1)]
+    for call in (lambda: P.crosstab(named, "r", "c", ["x", "other"]), lambda: P.crosstab_totals(named, "r", "c", ["All"]),
+                 lambda: P.pivot(named, "r", "c", ["other"], F.count("*"))):
+        with pytest.raises(ValueError):
+            call()
     assert rows(P.pivot(more, "r", "c", ["x"], F.count(F.lit(1)))) == [("a", 1, 3), ("b", 1, None)]
 
 
