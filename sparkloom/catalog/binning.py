@@ -7,6 +7,7 @@ from sparkloom.functions.math import clip
 from sparkloom.functions.text import strip_marks
 from sparkloom.operators import binning as B
 from sparkloom.operators.ordered import RowNumber, over_order
+from sparkloom.session import checkpointed
 
 Q = "QUANTILE_CONT({0}, {1})"
 
@@ -108,7 +109,7 @@ LETTERS = r"\p{L}+"
 SELECT w AS word, ROW_NUMBER() OVER (ORDER BY strip_accents(w), w) AS place FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{LETTERS}')) AS w FROM documents)""")
 def _(t):
     words = t.documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("word")).distinct()
-    placed = over_order(words.withColumn("_key", strip_marks("word")), [], ["_key", "word"], {"place": RowNumber()})
+    placed = over_order(checkpointed(words.withColumn("_key", strip_marks("word"))), [], ["_key", "word"], {"place": RowNumber()})
     return placed.select("word", "place")
 
 

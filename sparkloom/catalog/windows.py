@@ -7,6 +7,7 @@ from sparkloom.catalog.registry import query
 from sparkloom.operators.dedup import runs
 from sparkloom.operators.groups import exact_avg, exact_sum, ranked, top_rows, units, with_group
 from sparkloom.operators.ordered import Rolling, RowNumber, Running, Shift, over_order
+from sparkloom.session import checkpointed
 from sparkloom.plans import games as G
 
 BY, ORDER = "user_id", ["ts", "event_id"]
@@ -102,7 +103,7 @@ def _(t):
 @query("win12_running_win_share", PCTG.format(plus=0) + """
 SELECT game_id, team_id, ROUND(home_win_pctg, 6) AS home_win_pctg, ROUND(away_win_pctg, 6) AS away_win_pctg, ROUND(total_win_pctg, 6) AS total_win_pctg FROM pct""")
 def _(t):
-    out = G.win_percentages(G.team_games(t.lineitem, t.orders))
+    out = G.win_percentages(checkpointed(G.team_games(t.lineitem, t.orders)))
     return out.select("game_id", "team_id", *[F.round(c, 6).alias(c) for c in ("home_win_pctg", "away_win_pctg", "total_win_pctg")])
 
 
@@ -149,7 +150,7 @@ def _(t):
         "doc_id", F.col("quality").alias("y"), (F.col("n_chars") > 400).cast("int").alias("p"))
     y, p = F.col("y"), F.col("p")
     hits = rows.withColumns({"_tp": p * y, "_tn": (1 - p) * (1 - y), "_fp": p * (1 - y), "_fn": (1 - p) * y})
-    run = over_order(hits, [], "doc_id", {c: Running("sum", "_" + c) for c in ("tp", "tn", "fp", "fn")})
+    run = over_order(checkpointed(hits), [], "doc_id", {c: Running("sum", "_" + c) for c in ("tp", "tn", "fp", "fn")})
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     return run.select("doc_id", "tp", "tn", "fp", "fn",
                       F.round(F.try_divide((tp + tn).cast("double"), tp + tn + fp + fn), 6).alias("accuracy"),

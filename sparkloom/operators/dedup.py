@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import top_rows
 from sparkloom.operators.ordered import Running, Shift, over_order
+from sparkloom.session import checkpointed
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[str], which: str = "first") -> DataFrame:
@@ -25,8 +26,8 @@ def runs(df: DataFrame, by, order, key: str, out: str = "run") -> DataFrame:
     """Number the runs of equal neighbouring key values from 1."""
     seen = over_order(df.withColumn("_set", F.lit(1)), by, order, {"_before": Shift(key), "_any": Shift("_set")})
     start = F.col("_any").isNull() | ~F.col("_before").eqNullSafe(F.col(key))
-    return over_order(seen.withColumn("_start", start.cast("bigint")), by, order,
-                      {out: Running("sum", "_start")}, base=df).select(*df.columns, out)
+    return over_order(checkpointed(seen.withColumn("_start", start.cast("bigint"))), by, order,
+                      {out: Running("sum", "_start")}).select(*df.columns, out)
 
 
 def key_checks(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators.ordered import RowNumber, Running, over_order, renamed
+from sparkloom.session import checkpointed
 
 
 def units(col: str | Column, scale: int = 2) -> Column:
@@ -72,7 +73,7 @@ def ranked(df: DataFrame, by: list[str] | str, value: str, descending: bool = Fa
     """
     by = [by] if isinstance(by, str) else list(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = over_order(counts, by, [value], {"_cum": Running("sum", "_n"), "_dense": RowNumber()}, descending)
+    cum = over_order(checkpointed(counts), by, [value], {"_cum": Running("sum", "_n"), "_dense": RowNumber()}, descending)
     ranks, match = renamed(cum.select(
         *by, value,
         (F.col("_cum") - (F.col("_n") - 1) / 2).alias("avg"),

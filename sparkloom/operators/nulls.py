@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import exact_avg, quantiles, whole
 from sparkloom.operators.ordered import Ahead, RowNumber, Running, over_order
+from sparkloom.session import checkpointed
 
 
 def fill_statistic(df: DataFrame, col: str, strategy: str, out: str) -> DataFrame:
@@ -39,10 +40,9 @@ def fill_ordered(df: DataFrame, by, order, col: str, forward: str | None = None,
 def _neighbours(df: DataFrame, by, order, col: str) -> DataFrame:
     """Add the row number and the known neighbours (value and row number) of each row."""
     numbered = over_order(df, by, order, {"_i": RowNumber()})
-    known = numbered.withColumn("_at", F.when(F.col(col).isNotNull(), F.col("_i")))
+    known = checkpointed(numbered.withColumn("_at", F.when(F.col(col).isNotNull(), F.col("_i"))))
     return over_order(known, by, order, {
-        "_pv": Running("last", col), "_pi": Running("last", "_at"), "_nv": Ahead(col), "_ni": Ahead("_at")},
-        base=df)
+        "_pv": Running("last", col), "_pi": Running("last", "_at"), "_nv": Ahead(col), "_ni": Ahead("_at")})
 
 
 def interpolate(df: DataFrame, by, order, col: str, out: str, method: str = "linear",

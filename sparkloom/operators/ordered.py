@@ -13,6 +13,8 @@ from the values alone: a recomputed task, another branch of the plan or another
 chunks and the same digits. Only groups that hold a border are cut, so carries are at most two rows per border, and
 the borders, carries and halos are bounded by the number of chunks; this is why they may be broadcast. Rows go
 straight to the partition of their chunk. Everything is one lazy plan: nothing is run or measured while it is built.
+The plan names its input several times (borders, rows, carries, halos), so an input that is itself the result of a
+shuffle should be a written table (``session.checkpointed``); the callers here see to that.
 
 The order key must be unique within a group; add a tie-break column where it is not.
 """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions.dates import month_start, season
 from sparkloom.operators.groups import exact_avg, exact_sum, joined_on, quantiles, with_group
 from sparkloom.operators.ordered import Rolling, Running, over_order
+from sparkloom.session import checkpointed
 
 UNITS = {"day": "INTERVAL 1 DAY", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH"}
 
@@ -50,14 +51,14 @@ def season_to_date(df: DataFrame, ts: str, value: str, first_month: int = 10, sc
     amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(28,{scale})")
     days = df.groupBy(F.col(ts).cast("date").alias("day")).agg(F.sum(amount).alias("_sum"))
     days = days.withColumn("season", season(F.col("day"), first_month))
-    run = over_order(days, "season", "day", {"_run": Running("sum", "_sum")})
+    run = over_order(checkpointed(days), "season", "day", {"_run": Running("sum", "_sum")})
     return run.select("day", "season", F.col("_sum").cast("double").alias("total"), F.col("_run").cast("double").alias("to_date"))
 
 
 def rolling_daily_mean(df: DataFrame, ts: str, value: str, days: int = 7, scale: int | None = None) -> DataFrame:
     """Mean of the last ``days`` daily means on a gapless calendar, null until the frame is full."""
     daily = resample(df, ts, value, "day", medians=False, scale=scale).select("period", "mean")
-    return over_order(daily, [], "period", {"rolling": Rolling("avg", "mean", days, days)})
+    return over_order(checkpointed(daily), [], "period", {"rolling": Rolling("avg", "mean", days, days)})
 
 
 def month_share(df: DataFrame, ts: str, value: str, first_month: int = 10, scale: int | None = None) -> DataFrame:

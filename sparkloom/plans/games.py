@@ -52,7 +52,7 @@ def win_percentages(games: DataFrame, extra_game: int = 0, **more: object) -> Da
     """Running win shares per team and season: home, away, total (games by average date rank)."""
     by, order = ["team_id", "season"], ["game_date", "game_id"]
     flagged = ranked(games, by, "game_date", prefix="_played").withColumns({"_hw": F.col("w") * F.col("home_flag"), "_aw": F.col("w") * F.col("away_flag")})
-    run = over_order(flagged, by, order, {
+    run = over_order(checkpointed(flagged), by, order, {
         "_hg": Running("sum", "home_flag"), "_ag": Running("sum", "away_flag"),
         "_hws": Running("sum", "_hw"), "_aws": Running("sum", "_aw"), "_ws": Running("sum", "w"), **more},
         base=games)
@@ -76,11 +76,11 @@ def features(games: DataFrame, by: list[str], extra_game: int = 0, drop_incomple
     if by == ["team_id", "season"]:
         rows = win_percentages(games, extra_game, **rolling)
     else:
-        rows = over_order(win_percentages(games, extra_game), by, order, rolling, base=games)
+        rows = over_order(checkpointed(win_percentages(games, extra_game)), by, order, rolling, base=games)
     rows = rows.withColumn("num_rest_days", F.date_diff("game_date", "_last_date"))
     if drop_incomplete:
         rows = rows.na.drop("any")
-    shifted = over_order(rows, by, order, {"last_game_" + c: Shift(c) for c in SHIFTED}, base=games)
+    shifted = over_order(checkpointed(rows), by, order, {"last_game_" + c: Shift(c) for c in SHIFTED}, base=games)
     return shifted.select(*games.columns, *FEATURES)
 
 

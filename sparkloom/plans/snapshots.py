@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import top_rows
 from sparkloom.operators.ordered import Shift, over_order
+from sparkloom.session import checkpointed
 
 
 def versions(df: DataFrame, key: str, updated_at: str, tie: str | None = None) -> DataFrame:
@@ -16,7 +17,7 @@ def versions(df: DataFrame, key: str, updated_at: str, tie: str | None = None) -
     """
     rows = df
     if tie:
-        rows = top_rows(df, [key, updated_at], [F.desc(tie)])
+        rows = checkpointed(top_rows(df, [key, updated_at], [F.desc(tie)]))
     out = over_order(rows, key, updated_at, {"valid_to": Shift(updated_at, -1)})
     return out.withColumn("valid_from", F.col(updated_at))
 
