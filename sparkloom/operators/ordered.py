@@ -11,7 +11,7 @@ Borders are rows of the input: a sample of one row for each of ``CHUNKS * SAMPLE
 smallest hash, found by a partial ``min``) is sorted and every ``SAMPLES``-th row becomes a border. So they follow
 from the values alone: a recomputed task, another branch of the plan or another number of partitions finds the same
 chunks and the same digits. Only groups that hold a border are cut, so carries are at most two rows per border, and
-the borders, carries and halos are bounded by the number of chunks; this is why they may be broadcast. Rows go
+the borders, carries and halos are bounded by the number of chunks; borders and carries are looked up in arrays. Rows go
 straight to the partition of their chunk. Everything is one lazy plan: nothing is run or measured while it is built.
 The plan names its input several times (borders, rows, carries, halos), so an input that is itself the result of a
 shuffle should be a written table (``session.checkpointed``); the callers here see to that.
@@ -99,11 +99,19 @@ def renamed(df: DataFrame, keys: list[str], prefix: str) -> tuple[DataFrame, Col
     return out, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
+def _dense(df: DataFrame, place: str, value: Column, size: int) -> Column:
+    """Array of ``value`` by place, 0 to size - 1; a scalar subquery, so looking up is no join."""
+    every = df.sparkSession.range(size).select(F.col("id").alias(place), *[
+        F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns if c != place])
+    each = df.unionByName(every).groupBy(F.col(place).cast("int").alias("p")).agg(value.alias("v"))
+    return each.agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("s")).select(F.transform("s", lambda x: x["v"])).scalar()
+
+
 def _borders(df: DataFrame, keys: list[str], chunks: int) -> Column:
     """Array of ``chunks - 1`` rows of ``keys`` at most, in order, that cut the rows evenly; a scalar subquery."""
     rows = df.select(*keys, F.xxhash64(*keys).alias("_h")).withColumn("_b", F.pmod("_h", F.lit(chunks * SAMPLES)))
-    least = rows.groupBy("_b").agg(F.min("_h").alias("_h"))
-    sample = rows.join(F.broadcast(least), ["_b", "_h"]).select(F.struct(*keys).alias("k")).distinct()
+    least = _dense(rows.select("_b", "_h"), "_b", F.min("_h"), chunks * SAMPLES)
+    sample = rows.where(F.col("_h") == F.get(least, F.col("_b").cast("int"))).select(F.struct(*keys).alias("k")).distinct()
     listed = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))  # at most chunks * SAMPLES rows
     places = F.expr(f"filter(sequence({SAMPLES}, greatest({SAMPLES}, size(s)), {SAMPLES}), i -> i < size(s))")
     return listed.select(F.transform(places, lambda i: F.element_at("s", i + 1)).alias("cuts")).scalar()
@@ -159,17 +167,13 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
     result = _windows(frame, by, order, columns, descending).filter(~F.col("_halo"))
     carry = _carry(large, by, order, columns, descending)
     if carry is not None:
-        carry, match = renamed(carry, [*by, "_chunk"], "_b_")
-        result = result.join(F.broadcast(carry), match, "left").withColumns({
-            name: _combine("count" if isinstance(spec, RowNumber) else getattr(spec, "fn", "last"),
-                           F.col("_b_" + name), F.col(name))
-            for name, spec in columns.items() if isinstance(spec, (Running, RowNumber, Ahead))})
-    totals = {name: spec for name, spec in columns.items() if isinstance(spec, Total)}
-    if totals:  # one row per cut group
-        sums, match = renamed(large.groupBy(*by).agg(
-            *[_AGG[spec.fn](spec.col).alias(name) for name, spec in totals.items()]), by, "_t_")
-        result = result.join(F.broadcast(sums), match, "left").withColumns({
-            name: F.coalesce(F.col("_t_" + name), F.col(name)) for name in totals})
+        entries = carry.select("_chunk", F.struct(*by, *[F.col(c).alias("_c_" + c) for c in carry.columns if c in columns]).alias("_e"))
+        carries = _dense(entries, "_chunk", F.collect_list("_e"), chunks)  # a chunk holds parts of two cut groups at most
+        own = F.filter(F.col("_here"), lambda e: reduce(lambda a, b: a & b, [e[k].eqNullSafe(F.col(k)) for k in by]))
+        result = result.withColumn("_here", F.get(carries, F.col("_chunk"))).withColumn("_e", F.get(own, 0)).withColumns({
+            name: F.coalesce(F.col("_e")["_c_" + name], F.col(name)) if isinstance(spec, Total) else
+            _combine("count" if isinstance(spec, RowNumber) else getattr(spec, "fn", "last"), F.col("_e")["_c_" + name], F.col(name))
+            for name, spec in columns.items() if isinstance(spec, (Running, RowNumber, Ahead, Total))})
     return result.select(*kept, *columns)
 
 
@@ -217,6 +221,8 @@ def _carry(large: DataFrame, by, order, columns, descending) -> DataFrame | None
     for name, item in columns.items():
         if isinstance(item, RowNumber):
             total, fn, flip = F.count(F.lit(1)), "sum", False
+        elif isinstance(item, Total):
+            total, fn, flip = _AGG[item.fn](item.col), "sum" if item.fn == "count" else item.fn, None
         elif isinstance(item, Running) and item.fn in ("sum", "product") and large.schema[item.col].dataType.typeName() in ("double", "float"):
             # rounded sums depend on the order of rows: added in the chunk's own order, as on its rows
             large = large.withColumn("_run_" + name, _AGG[item.fn](item.col).over(inside))
@@ -236,10 +242,10 @@ def _carry(large: DataFrame, by, order, columns, descending) -> DataFrame | None
     per_chunk = large.groupBy(*by, "_chunk").agg(*totals)
     forward = F.col("_chunk").desc() if descending else F.col("_chunk").asc()
     backward = F.col("_chunk").asc() if descending else F.col("_chunk").desc()
-    before = (Window.unboundedPreceding, -1)
+    before, whole = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, Window.unboundedFollowing)
     return per_chunk.select(*by, "_chunk", *[
         _AGG[fn](name).over(Window.partitionBy(*by).orderBy(backward if flip else forward)
-                            .rowsBetween(*before)).alias(name)
+                            .rowsBetween(*(whole if flip is None else before))).alias(name)
         for name, fn, flip in states])
 
 
@@ -254,5 +260,5 @@ def _halo(large: DataFrame, by, order, reach: int, flip: bool) -> DataFrame:
               .withColumn("_p", F.explode(F.sequence(F.greatest(F.col("_end") - reach + 1, F.lit(1)), F.col("_end"))))
               .withColumnsRenamed({"_chunk": "_to", "_part": "_there"}))
     starts, match = renamed(starts.select(*by, "_p", "_to", "_there"), [*by, "_p"], "_b_")
-    return edge.join(F.broadcast(starts), match).select(
+    return edge.join(starts, match).select(
         *[c for c in large.columns if c not in ("_chunk", "_part")], F.col("_b__to").alias("_chunk"), F.col("_b__there").alias("_part"))
