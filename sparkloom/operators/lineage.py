@@ -23,36 +23,45 @@ def node(table: str, col: str):
     return F.concat_ws(".", table, col)
 
 
-def ancestors(edges: DataFrame, targets: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """(ancestor, descendant) pairs of the asked nodes, the first column of ``targets``.
-
-    Each round extends the newest pairs by one edge and writes those that are new, so a
-    round costs one write and one look at whether it found any; cycles end by themselves.
+def reach(links: DataFrame, asked: DataFrame) -> DataFrame:
+    """(a, b, distance): each node ``a`` that leads to an asked node ``b``, with the fewest edges between them.
+
+    ``links`` has a and b (an edge from a to b), ``asked`` has b. Paths double: ``found`` holds the pairs at most n
+    edges apart, ``jumps`` those joined by a walk of exactly n edges, so found with found continued by one jump are
+    the pairs at most 2n apart. The rounds are the logarithm of the longest of the shortest paths. It ends when no
+    walk is that long, or, on cycles, when a round finds no new pair: a node further away would have one of distance
+    n + 1 on its path. An asked node on a cycle reaches itself. Null ends are dropped, repeated edges count once.
+    Jumps start from all nodes, so a round costs as much as the graph has pairs so far apart; shared hubs are split
+    by adaptive execution, as both sides of the join are plain pairs.
     """
-    links = checkpointed(edges.select(F.col(src).alias("a"), F.col(dst).alias("m")).distinct())
-    asked = targets.select(F.col(targets.columns[0]).alias("m")).distinct()
-    fresh = checkpointed(links.join(asked, "m").select("a", F.col("m").alias("b")))
-    found = fresh
-    while not fresh.isEmpty():
-        step = fresh.select(F.col("a").alias("m"), "b").join(links, "m").select("a", "b").distinct()
-        fresh = checkpointed(step.join(found, ["a", "b"], "left_anti"))
-        found = found.unionByName(fresh)
-    return found.select(F.col("a").alias("ancestor"), F.col("b").alias("descendant"))
+    jumps = checkpointed(links.select("a", "b").dropna().distinct(), "jumps")
+    found = checkpointed(jumps.join(asked.select("b").dropna().distinct(), "b").select("a", "b", F.lit(1).cast("bigint").alias("distance")), "reach")
+    size, n = found.count(), 1  # counts of written tables, from their footers
+    while size and not jumps.isEmpty():
+        steps = jumps.select("a", F.col("b").alias("m"))
+        more = found.select(F.col("a").alias("m"), "b", "distance").join(steps, "m")
+        found = checkpointed(found.unionByName(more.select("a", "b", (F.col("distance") + n).alias("distance")))
+                             .groupBy("a", "b").agg(F.min("distance").alias("distance")), "reach")
+        before, size = size, found.count()
+        if size == before:
+            break
+        jumps = checkpointed(steps.join(jumps.withColumnsRenamed({"a": "m"}), "m").select("a", "b").distinct(), "jumps")
+        n *= 2
+    return found
+
+
+def ancestors(edges: DataFrame, targets: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(ancestor, descendant) pairs of the asked nodes, the first column of ``targets``; see ``reach``."""
+    asked = targets.select(F.col(targets.columns[0]).alias("b"))
+    pairs = reach(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")), asked)
+    return pairs.select(F.col("a").alias("ancestor"), F.col("b").alias("descendant"))
 
 
 def upstream(edges: DataFrame, target: str, src: str = "src", dst: str = "dst") -> DataFrame:
-    """All ancestors of one node with their distance, by rounds over the newest ones."""
-    links = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct()
-    start = edges.select(F.col(dst).alias("node")).filter(F.col("node") == target).distinct()
-    frontier, distance = checkpointed(start.withColumn("distance", F.lit(0).cast("bigint"))), 0
-    seen = frontier
-    while not frontier.isEmpty():
-        distance += 1
-        step = frontier.select(F.col("node").alias("b")).join(links, "b").select(F.col("a").alias("node")).distinct()
-        frontier = checkpointed(step.join(seen.select("node"), "node", "left_anti")
-                                .withColumn("distance", F.lit(distance).cast("bigint")))
-        seen = seen.unionByName(frontier)
-    return seen.filter(F.col("distance") > 0)
+    """All other nodes that lead to one node, with their distance; see ``reach``."""
+    links = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
+    pairs = reach(links, links.select("b").filter(F.col("b") == target))
+    return pairs.filter(F.col("a") != F.col("b")).select(F.col("a").alias("node"), "distance")
 
 
 def sources(edges: DataFrame, internal_prefixes: list[str]) -> DataFrame:
@@ -70,33 +79,103 @@ def table_edges(edges: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("columns")))
 
 
-def levels(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """Longest path from a source to each node; null for nodes on a cycle or behind one.
+def _peeled(links: DataFrame, rest: DataFrame) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """(node, level) of the nodes no cycle leads to, by longest path, then the edges and nodes that are left.
 
-    Each round takes the nodes that nothing left leads to and removes their edges, so the
-    number of rounds is the depth and a cycle ends the loop.
+    Each round takes the nodes that nothing left leads to and removes their edges: as many rounds as the graph is deep.
     """
-    links = checkpointed(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct())
-    rest = checkpointed(links.select(F.col("a").alias("node")).union(links.select("b")).distinct())
     found, number = None, 0
     while True:
         ready = rest.join(links.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
         ready = checkpointed(ready.withColumn("level", F.lit(number).cast("bigint")))
         if ready.isEmpty():
-            caught = rest.withColumn("level", F.lit(None).cast("bigint"))
-            return caught if found is None else found.unionByName(caught)
+            return found, links, rest
         found = ready if found is None else found.unionByName(ready)
         links = checkpointed(links.join(ready.select(F.col("node").alias("a")), "a", "left_anti"))
         rest = checkpointed(rest.join(ready.select("node"), "node", "left_anti"))
         number += 1
 
 
+def _spread(seeds: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, color): the largest color that reaches each node along ``links`` (a, b), its own among them.
+
+    Only nodes whose color grew send it on in the next round.
+    """
+    colors = fresh = seeds
+    while not fresh.isEmpty():
+        sent = fresh.withColumnRenamed("node", "a").join(links, "a").groupBy(F.col("b").alias("node")).agg(F.max("color").alias("_sent"))
+        colors = checkpointed(colors.select("node", "color").join(sent, "node", "left").select(
+            "node", F.greatest("color", "_sent").alias("color"), (F.col("_sent") > F.col("color")).alias("_grew")))
+        fresh = colors.filter("_grew").select("node", "color")
+    return colors.select("node", "color")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) of the strongly connected components of two or more nodes, named by their largest node.
+
+    Forward-backward colouring: each node takes the largest node that leads to it as color, then the nodes that lead
+    back to the node their color is named after, along nodes of that color, are its component. What is found goes, and
+    so does what nothing leads to or what leads nowhere; the rest is coloured again. ``links`` has a and b.
+    """
+    links = checkpointed(links.select("a", "b").dropna().filter("a <> b").distinct())
+    found = None
+    while True:
+        size = -1
+        while links.count() != size:  # edges from a node without sources or to a node without targets lie on no cycle
+            size = links.count()
+            links = checkpointed(links.join(links.select(F.col("b").alias("a")), "a", "left_semi")
+                                 .join(links.select(F.col("a").alias("b")), "b", "left_semi"))
+        if not size:
+            return links.select(F.col("a").alias("node"), F.col("b").alias("component")) if found is None else found
+        nodes = links.select(F.col("a").alias("node")).distinct()
+        colors = _spread(checkpointed(nodes.withColumn("color", F.col("node"))), links)
+        of_a, of_b = (colors.withColumnsRenamed({"node": end, "color": "_" + end}) for end in "ab")
+        inner = checkpointed(links.join(of_a, "a").join(of_b, "b").filter("_a = _b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+        roots = checkpointed(colors.select("node", F.when(F.col("color") == F.col("node"), F.col("color")).alias("color")))
+        whole = checkpointed(_reached(roots, inner).select("node", F.col("color").alias("component")))
+        shared = whole.join(whole.groupBy("component").count().filter("count > 1"), "component", "left_semi").select("node", "component")
+        found = shared if found is None else found.unionByName(shared)
+        links = checkpointed(links.join(whole.select(F.col("node").alias("a")), "a", "left_anti")
+                             .join(whole.select(F.col("node").alias("b")), "b", "left_anti"))
+
+
+def _reached(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, color) of the nodes that a node with a color reaches along ``links``, where edges keep within a color."""
+    colors, fresh = roots, roots.dropna()
+    while not fresh.isEmpty():
+        sent = fresh.withColumnRenamed("node", "a").join(links, "a").select(F.col("b").alias("node"), F.col("color").alias("_sent")).distinct()
+        colors = checkpointed(colors.select("node", "color").join(sent, "node", "left").select(
+            "node", F.coalesce("color", "_sent").alias("color"), (F.col("color").isNull() & F.col("_sent").isNotNull()).alias("_new")))
+        fresh = colors.filter("_new").select("node", "color")
+    return colors.select("node", "color").dropna()
+
+
+def levels(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """Longest path from a source to each node; the nodes of a cycle share a level, as if they were one.
+
+    Where a cycle is left, its components are put together and the graph of components, which has none, is peeled
+    from the start. An edge from a node to itself counts for nothing; null ends are dropped.
+    """
+    pairs = checkpointed(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna().distinct())
+    nodes = checkpointed(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    links = pairs.filter("a <> b")
+    found, caught, rest = _peeled(links, nodes)
+    if rest.isEmpty():
+        return nodes.withColumn("level", F.lit(0).cast("bigint")) if found is None else found
+    member = checkpointed(nodes.join(checkpointed(components(caught)), "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component")))
+    of_a, of_b = (member.withColumnsRenamed({"node": end, "component": "_" + end}) for end in "ab")
+    joined = checkpointed(links.join(of_a, "a").join(of_b, "b").filter("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    found, _, _ = _peeled(joined, checkpointed(member.select(F.col("component").alias("node")).distinct()))
+    return member.join(found.withColumnRenamed("node", "component"), "component").select("node", "level")
+
+
 def layered(tables: DataFrame, table: str = "node", level: str = "level") -> DataFrame:
     """Layer by name prefix, and the place inside the layer by dependency level and name."""
     layer = F.lit(0)
     for prefix, number in LAYERS.items():
         layer = F.when(F.col(table).startswith(prefix), number).otherwise(layer)
-    return over_order(tables.withColumn("layer", layer), "layer", [level, table], {"place": RowNumber()})
+    return over_order(checkpointed(tables.withColumn("layer", layer)), "layer", [level, table], {"place": RowNumber()})
 
 
 def with_definitions(columns: DataFrame, definitions: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Small frames with expected rows written by hand: nulls, ties, edges."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -294,7 +295,54 @@ def test_lineage(spark):
     dag = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c")], "s string, d string")
     assert rows(LG.levels(dag, "s", "d")) == [("a", 0), ("b", 1), ("c", 2)]
     ring = spark.createDataFrame([("a", "b"), ("b", "a"), ("x", "a"), ("b", "c")], "s string, d string")
-    assert rows(LG.levels(ring, "s", "d")) == [("a", None), ("b", None), ("c", None), ("x", 0)]
+    assert rows(LG.levels(ring, "s", "d")) == [("a", 1), ("b", 1), ("c", 2), ("x", 0)]
+
+
+def test_closure_doubles_its_paths(spark, monkeypatch):
+    written = []
+    plain = LG.checkpointed
+    monkeypatch.setattr(LG, "checkpointed", lambda df, name="stage": written.append(name) or plain(df, name))
+    chain = spark.range(1, 1000).selectExpr("id - 1 AS src", "id AS dst")
+    got = LG.ancestors(chain, spark.createDataFrame([(999,), (5,), (None,)], "node bigint"))
+    assert got.count() == 999 + 5 and written.count("reach") <= 12
+    assert rows(LG.upstream(chain, 700).agg(F.count("*"), F.max("distance"), F.sum("distance"))) == [(700, 700, 700 * 701 // 2)]
+
+
+def test_closure_on_random_graphs(spark):
+    for seed, n, m in ((1, 30, 25), (2, 16, 24)):
+        rng = random.Random(seed)
+        pairs = {(rng.randrange(n), rng.randrange(n)) for _ in range(m)}
+        edges = spark.createDataFrame([*pairs, *pairs, (None, 1), (2, None)], "src bigint, dst bigint")
+        into = {b: {a for a, x in pairs if x == b} for b in range(n)}
+
+        def above(b):
+            seen, frontier, d = {}, {b}, 0
+            while frontier:
+                d += 1
+                frontier = {a for x in frontier for a in into[x]} - set(seen)
+                seen |= dict.fromkeys(frontier, d)
+            return seen
+
+        reach = {b: above(b) for b in range(n)}
+        asked = spark.createDataFrame([(b,) for b in range(0, n, 2)], "node bigint")
+        assert set(map(tuple, LG.ancestors(edges, asked).collect())) == {(a, b) for b in range(0, n, 2) for a in reach[b]}
+        assert dict(map(tuple, LG.upstream(edges, 3).collect())) == {a: d for a, d in reach[3].items() if a != 3}
+        held = {x for p in pairs for x in p}
+        part = {x: max([x, *[y for y in held if y in reach[x] and x in reach[y]]]) for x in held}
+        got = dict(map(tuple, LG.components(edges.toDF("a", "b")).collect()))
+        assert got == {x: part[x] for x in held if any(part[y] == part[x] for y in held - {x})}
+        level = {}
+        while len(level) < len(held):
+            for x in held - set(level):
+                before = {part[a] for y in held if part[y] == part[x] for a in into[y]} - {part[x]}
+                if all(y in level for y in held if part[y] in before):
+                    level[x] = max([level[y] + 1 for y in held if part[y] in before], default=0)
+        assert dict(map(tuple, LG.levels(edges, "src", "dst").collect())) == level
+
+
+def test_levels_of_nothing(spark):
+    assert rows(LG.levels(spark.createDataFrame([], "s string, d string"), "s", "d")) == []
+    assert rows(LG.levels(spark.createDataFrame([("a", "a")], "s string, d string"), "s", "d")) == [("a", 0)]
 
 
 def test_report_and_split(spark):
