@@ -52,6 +52,29 @@ def _(t):
         t.spark, path, f"day string, games array<struct<game_id:bigint,text:string,home:{team},away:{team}>>"))
 
 
+@query("src4_open_feed", """
+SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderkey AS game_id,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS text,
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'c' || o_custkey END AS code,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice > 200000 END AS late,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS score,
+       o_custkey AS home_id, o_custkey + 1 AS away_id
+FROM orders""")
+def _(t):
+    day = F.col("o_orderdate").cast("date").cast("string").alias("day")
+    teams = [F.struct(F.col("o_custkey").alias("id")).alias("home"), F.struct((F.col("o_custkey") + 1).alias("id")).alias("away")]
+    key = F.col("o_orderkey").alias("game_id")
+    first = F.struct(key, F.col("o_orderpriority").alias("text"), F.col("o_custkey").alias("code"),
+                     F.array("o_orderstatus").alias("tags"), *teams)
+    later = F.struct(key, F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("code"),
+                     (F.col("o_totalprice") > 200000).alias("late"), F.col("o_totalprice").alias("score"), *teams)
+    path = sinks.scratch(t.spark, "feed")
+    for i, game in enumerate((first, later)):  # the later part of the feed drops, adds and retypes keys
+        t.orders.filter(F.col("o_orderkey") % 2 == i).select(day, F.array(game).alias("games")).write.mode("append").json(path)
+    return files.flatten_feed(files.read_open_feed(t.spark, path), "$.games", {"day": "string"},
+                              {"home_id": ("$.home.id", "bigint"), "away_id": ("$.away.id", "bigint")})
+
+
 @query("src5_vector_file", """
 SELECT 'w' || vec_id AS word, CAST(len(embedding) AS INTEGER) AS dims,
        CAST(embedding[1] AS DOUBLE) AS first_value, CAST(embedding[len(embedding)] AS DOUBLE) AS last_value

@@ -71,6 +71,62 @@ def flatten_games(feed: DataFrame) -> DataFrame:
         F.col("g.away.id").alias("away_id"), F.col("g.away.score").alias("away_score"))
 
 
+def read_open_feed(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines as one variant column ``v``, whatever keys they hold; broken lines fail."""
+    return spark.read.option("singleVariantColumn", "v").json(path)
+
+
+def _plain(value: Column) -> Column:
+    """The variant where it is a number, text or truth value, else null."""
+    kind = F.schema_of_variant(value)
+    return F.when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY") & (kind != "VOID"), value)
+
+
+def _stored(kind: str) -> str:
+    """Column type of a key whose values have this common variant type."""
+    if kind.startswith("DECIMAL"):
+        digits, scale = map(int, kind[8:-1].split(","))
+        return f"decimal({digits},0)" if scale == 0 and digits > 18 else "double"
+    return {"BIGINT": "bigint", "DOUBLE": "double", "FLOAT": "double", "BOOLEAN": "boolean"}.get(kind, "string")
+
+
+def feed_keys(records: DataFrame, col: str) -> list[tuple[list[str], str]]:
+    """Names and column type of each key that holds a primitive value anywhere, in the order of names.
+
+    One pass with partial sums; what comes to the driver is one row per key, as in schema inference. Names that
+    differ in letter case only come together. Values of several types become text.
+    """
+    each = records.select(F.explode(F.map_entries(F.try_variant_get(col, "$", "map<string,variant>"))).alias("e"))
+    held = each.select("e.key", _plain(F.col("e.value")).alias("value")).filter("value IS NOT NULL")
+    found = held.groupBy(F.lower("key").alias("k")).agg(
+        F.sort_array(F.collect_set("key")).alias("names"), F.schema_of_variant_agg("value").alias("kind"))
+    return [(list(r.names), _stored(r.kind)) for r in sorted(found.collect(), key=lambda r: r.k)]
+
+
+def flatten_feed(feed: DataFrame, records: str, outer: dict[str, str], lifted: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row per record of a feed of unknown keys, as read by ``read_open_feed``.
+
+    ``records`` is the path of the list in a line. ``outer`` names keys of the line and their types, ``lifted`` gives
+    columns by (path in the record, type). All keys of a record that hold a primitive value in any record are
+    kept, so a key that a feed adds is a new column; lists, objects and nulls among their values are null. Where names
+    differ in letter case only the first one that holds a value counts; a lifted or outer column hides a key of its
+    name. A line without the list gives no row, a record that is no object only nulls. The feed is read
+    once for its keys and once for its rows.
+    """
+    games = feed.select(*[F.try_variant_get("v", "$." + key, kind).alias(key) for key, kind in outer.items()],
+                        F.explode(F.try_variant_get("v", records, "array<variant>")).alias("_g"))
+    taken = {name.lower() for name in [*outer, *lifted]}
+    keys = [(names, kind) for names, kind in feed_keys(games, "_g") if names[0].lower() not in taken]
+    games = games.withColumn("_m", F.try_variant_get("_g", "$", "map<string,variant>"))
+
+    def value(names: list[str], kind: str) -> Column:
+        held = F.coalesce(*[_plain(F.try_element_at("_m", F.lit(n))) for n in names])
+        return F.try_variant_get(held, "$", kind).alias(names[0])
+
+    return games.select(*outer, *[value(*k) for k in keys],
+                        *[F.try_variant_get("_g", path, kind).alias(out) for out, (path, kind) in lifted.items()])
+
+
 def html_rows(df: DataFrame, html: str, pattern: str, out: str) -> DataFrame:
     """One row per match of the first group of ``pattern`` in the page."""
     found: Column = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))

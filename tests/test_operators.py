@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from sparkloom.operators import timeseries as TS
 from sparkloom.operators import vectors as V
 from sparkloom.operators.groups import exact_sum, top_rows, whole, with_group
 from sparkloom.plans import warehouse as W
+from sparkloom.sources import files as SF
 
 
 def rows(df):
@@ -298,6 +300,23 @@ def test_lineage(spark):
     assert rows(LG.levels(ring, "s", "d")) == [("a", 1), ("b", 1), ("c", 2), ("x", 0)]
 
 
+def test_feed_of_unknown_keys(spark, tmp_path):
+    lines = ['{"day": "d1", "games": [{"id": 1, "Tag": "x", "home": {"id": 7, "name": "H"}, "n": 1, "list": [1], "a.b\'c": true}]}',
+             '{"day": "d2", "games": [{"id": 2, "tag": "y", "n": 1.5, "big": 12345678901234567890, "home": 5, "none": null}, 3]}',
+             '{"day": "d3", "games": [{"id": "z", "n": {"k": 1}, "Day": "no", "home": {"id": "q"}}]}',
+             '{"day": "d4"}', '{"games": []}']
+    (tmp_path / "feed.json").write_text("\n".join(lines))
+    feed = SF.read_open_feed(spark, str(tmp_path))
+    out = SF.flatten_feed(feed, "$.games", {"day": "string"}, {"home_id": ("$.home.id", "bigint")})
+    assert out.dtypes == [("day", "string"), ("a.b'c", "boolean"), ("big", "decimal(20,0)"), ("home", "bigint"), ("id", "string"),
+                          ("n", "double"), ("Tag", "string"), ("home_id", "bigint")]
+    assert rows(out) == [("d1", True, None, None, "1", 1.0, "x", 7),
+                         ("d2", None, Decimal("12345678901234567890"), 5, "2", 1.5, "y", None),
+                         ("d2", None, None, None, None, None, None, None),
+                         ("d3", None, None, None, "z", None, None, None)]
+    assert SF.flatten_feed(feed.limit(0), "$.games", {"day": "string"}, {}).columns == ["day"]
+
+
 def test_closure_doubles_its_paths(spark, monkeypatch):
     written = []
     plain = LG.checkpointed
