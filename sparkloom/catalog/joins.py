@@ -162,6 +162,33 @@ def _(t):
         "c_custkey", "c_name", "code", "effective_date", "expiration_date")
 
 
+@query("jn15_effective_at_order", """
+WITH x AS (SELECT o_custkey AS k, o_orderdate AS effective, o_orderpriority AS code,
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 200 DAY END AS expires FROM orders WHERE o_totalprice > 50000
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1)
+SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN expires IS NULL OR expires > o_orderdate THEN code END AS code,
+    CASE WHEN expires IS NULL OR expires > o_orderdate THEN effective END AS effective
+FROM orders ASOF LEFT JOIN x ON o_custkey = k AND o_orderdate >= effective""")
+def _(t):
+    date = F.col("o_orderdate")
+    crosswalk = t.orders.filter("o_totalprice > 50000").select(
+        "o_custkey", "o_orderkey", date.alias("effective"), F.col("o_orderpriority").alias("code"),
+        F.when(F.col("o_orderstatus") != "P", date + F.expr("INTERVAL 200 DAYS")).alias("expires"))
+    return J.as_of_join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), crosswalk, ["o_custkey"], "o_orderdate",
+                        "effective", ["code", "effective"], until="expires", tie="o_orderkey")
+
+
+@query("jn16_rows_at_own_time", """
+WITH v AS (SELECT user_id AS u, ts AS since, value AS last_value, event_id AS last_id FROM events WHERE event_type = 'purchase'
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+SELECT event_id, user_id, ts, last_value, last_id FROM events ASOF LEFT JOIN v ON user_id = u AND ts >= since""")
+def _(t):
+    bought = t.events.filter("event_type = 'purchase'").select(
+        "user_id", F.col("ts").alias("since"), F.col("value").alias("last_value"), F.col("event_id").alias("last_id"))
+    return J.as_of_join(t.events.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "since",
+                        ["last_value", "last_id"], tie="last_id")
+
+
 @query("jn16_point_in_time", """
 WITH o AS (SELECT o_custkey, o_orderdate, o_orderstatus, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS r FROM orders),
 v AS (SELECT *, LEAD(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to FROM o WHERE r = 1)

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.operators.groups import joined_on, top_rows, whole
+from sparkloom.operators.ordered import Running, over_order
 from sparkloom.operators.reshape import listed
+from sparkloom.session import checkpointed
 
 
 def not_in(df: DataFrame, col: str, other: DataFrame, key: str) -> DataFrame:
@@ -91,5 +93,32 @@ def as_of(versions: DataFrame, at: Column) -> DataFrame:
     return versions.filter((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (at < F.col("valid_to"))))
 
 
+def as_of_join(rows: DataFrame, versions: DataFrame, keys: list[str], at: str, since: str, values: list[str],
+               until: str | None = None, tie: str | None = None) -> DataFrame:
+    """Each row with the values of the version of its key that is valid at the row's own time ``at``.
+
+    That is the newest one with ``since`` at or before it, of several with one time the one with the largest ``tie``
+    (then ``until`` and values). If it has ended (``until`` at or before the row's time) the row gets nulls: an older
+    version does not come back. Rows without a version, or without a time, get nulls; versions without a time count
+    for nothing; a null key is a key like any other. Repeated rows stay. ``values`` must not be columns of ``rows``.
+
+    Rows and versions are one ordered scan, the last version carried forward, so no pair is made and a key that
+    holds most rows is cut into chunks like any other (``ordered.over_order``).
+    """
+    if clash := {c.lower() for c in rows.columns} & {c.lower() for c in values}:
+        raise ValueError(f"columns of both sides: {sorted(clash)}")
+    names = [f"_k{i}" for i in range(len(keys))]
+    held = F.struct((F.col(tie) if tie else F.lit(0)).alias("tie"), (F.col(until) if until else F.lit(0)).alias("until"),
+                    *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+    right = versions.filter(F.col(since).isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(since).alias("_t"), F.lit(0).alias("_side"), held.alias("_v"))
+    left = rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(at).alias("_t"), F.lit(1).alias("_side"),
+                       F.struct("*").alias("_row"), F.xxhash64(*[f.name for f in rows.schema if f.dataType.typeName() not in ("map", "variant")]).alias("_salt"))
+    scan = checkpointed(left.unionByName(right, allowMissingColumns=True))  # named several times by over_order
+    now = over_order(scan, names, ["_t", "_side", "_v", "_salt"], {"_now": Running("last", "_v")}).filter("_side = 1")
+    valid = F.col("_now.until").isNull() | (F.col("_now.until") > F.col("_t")) if until else F.lit(True)
+    return now.select("_row.*", *[F.when(valid, F.col(f"_now.v{i}")).alias(c) for i, c in enumerate(values)])
+
+
 def any_of(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, tests)

@@ -7,6 +7,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.operators import joins as J
 from sparkloom.operators.groups import ordered_bits, quantiles, ranked, with_group
 from sparkloom.operators.nulls import interpolate
 from sparkloom.operators import ordered
@@ -185,3 +186,28 @@ def test_joins_of_group_values_are_split_on_skew(spark):
             spark.conf.unset(key)
     assert got[7] > 66_000 and sum(got.values()) == 200_000
     assert "skew=true" in plan
+
+
+def test_as_of_join(spark):
+    versions = spark.createDataFrame(
+        [(1, 10, 20, 1, "a"), (1, 30, None, 1, "b"), (1, 30, None, 2, "c"), (None, 5, None, 1, "n"), (2, None, None, 1, "no"), (1, 12, 14, 0, "gone")],
+        "k int, since int, until int, tie int, code string")
+    asked = spark.createDataFrame([(1, 9), (1, 10), (1, 13), (1, 14), (1, 30), (1, 30), (1, 99), (None, 7), (2, 7), (3, 7), (1, None)], "k int, at int")
+    got = J.as_of_join(asked, versions, ["k"], "at", "since", ["code"], until="until", tie="tie").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, 9, None), (1, 10, "a"), (1, 13, "gone"), (1, 14, None), (1, 30, "c"), (1, 30, "c"), (1, 99, "c"), (None, 7, "n"),
+         (2, 7, None), (3, 7, None), (1, None, None)], key=str)
+    assert {r.code for r in J.as_of_join(asked, versions.limit(0), ["k"], "at", "since", ["code"]).collect()} == {None}
+    assert J.as_of_join(asked.limit(0), versions, ["k"], "at", "since", ["code"]).count() == 0
+    with pytest.raises(ValueError):
+        J.as_of_join(asked, versions.withColumnRenamed("code", "AT"), ["k"], "at", "since", ["AT"])
+
+
+def test_as_of_join_cuts_a_hot_key(spark):
+    asked = spark.range(6000).selectExpr("IF(id % 3 = 0, id, 0) AS k", "id % 500 AS at", "id")
+    versions = spark.range(1500).selectExpr("IF(id % 3 = 0, id, 0) AS k", "id % 400 AS since", "id AS code")
+    got = {r.id: r.code for r in J.as_of_join(asked, versions, ["k"], "at", "since", ["code"], tie="code").collect()}
+    held = {}
+    for r in versions.collect():
+        held.setdefault(r.k, []).append((r.since, r.code))
+    assert got == {r.id: max((v for v in held.get(r.k, []) if v[0] <= r.at), default=(0, None))[1] for r in asked.collect()}
