@@ -112,8 +112,9 @@ class Block:
         return np.frombuffer(_tools(self.dictionary)[1].decompress(frame), self.dtype)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1, **sample: int) -> None:
-    """Encode every text and write the file set to ``path``."""
+def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1,
+                 block_docs: int = BLOCK_DOCS, **sample: int) -> None:
+    """Encode every text and write the file set to ``path``; a block holds at most ``block_docs`` documents."""
     spark, tokenizer = docs.sparkSession, tokenizer or default_tokenizer()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dictionary = train_dictionary(docs, tokenizer, end_id, **sample)
@@ -139,13 +140,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         def close():
             return pa.record_batch(
                 [pa.array([x], kind) for x, kind in (
-                    (part, pa.int32()), (block, pa.int64()), (held[0][0], pa.int64()), (len(held), pa.int64()),
+                    (part, pa.int32()), (block, pa.int64()), (held[0][0], pa.int64()), (held[-1][0], pa.int64()), (len(held), pa.int64()),
                     (sum(n for _, n, _ in held), pa.int64()), (key, pa.string()), (pack_block(held, width, key), pa.binary()))],
-                ["part", "block", "first_doc", "n_docs", "n_tokens", "hash", "payload"])
+                ["part", "block", "first_doc", "last_doc", "n_docs", "n_tokens", "hash", "payload"])
 
         for rows in texts(batches, "doc_id", "n", "frame"):
             for entry in zip(*rows):
-                if held and (size + len(entry[2]) > BLOCK_BYTES or len(held) >= BLOCK_DOCS):
+                if held and (size + len(entry[2]) > BLOCK_BYTES or len(held) >= block_docs):
                     yield close()
                     block, held, size = block + 1, [], 0
                 held.append(entry)
@@ -155,7 +156,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
     order = ["doc_id", "n", "check"]
     frames.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        blocks, "part int, block long, first_doc long, n_docs long, n_tokens long, hash string, payload binary",
+        blocks, "part int, block long, first_doc long, last_doc long, n_docs long, n_tokens long, hash string, payload binary",
     ).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -191,12 +192,14 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
-    """The id arrays of one document, from the blocks that may hold it (Parquet statistics skip the rest)."""
+    """The id arrays of one document, from the blocks that may hold it (Parquet statistics skip the rest).
+
+    Ids ascend and nulls come first, so a block whose last id is null holds no id at all. One document is in one
+    block; rows that repeat an id may go on in the next ones.
+    """
     dictionary = bytes(spark.read.parquet(f"{path}/dictionary").head()[1])
-    blocks = spark.read.parquet(f"{path}/blocks").where(F.col("first_doc").isNull() | (F.col("first_doc") <= doc_id))
-    last = blocks.agg(F.max("first_doc")).head()[0]
-    near = blocks.where((F.col("first_doc") == doc_id) | (F.col("first_doc") == F.lit(last)) | F.col("first_doc").isNull()
-                        if last != doc_id else F.col("first_doc").isNull() | (F.col("first_doc") <= doc_id))
+    near = spark.read.parquet(f"{path}/blocks").where(
+        (F.col("last_doc") >= doc_id) & (F.col("first_doc").isNull() | (F.col("first_doc") <= doc_id)))
     found = []
     for row in near.select("payload").toLocalIterator():
         block = Block(bytes(row[0]), dictionary)

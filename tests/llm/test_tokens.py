@@ -57,6 +57,22 @@ def test_round_trip(spark, hard, plain):
     assert T.read_document(spark, path, 999) == []
 
 
+def test_one_document_opens_its_blocks_only(spark, monkeypatch):
+    path = scratch_path(spark, "tokens")
+    docs = spark.range(60).selectExpr("IF(id < 4, NULL, id - id % 15 div 14) AS doc_id", "concat('word ', id) AS text")
+    T.write_tokens(docs.coalesce(1), path, block_docs=3)
+    spans = [(r.first_doc, r.last_doc) for r in spark.read.parquet(f"{path}/blocks").collect()]
+    assert len(spans) >= 20 and any(first is None for first, _ in spans)
+    opened, plain = [], T.Block
+    monkeypatch.setattr(T, "Block", lambda *given: opened.append(1) or plain(*given))
+    held = [r.doc_id for r in docs.collect()]
+    for doc in (4, *[first for first, _ in spans if first is not None][:3], 13, 14, 59, 99):
+        opened.clear()
+        assert len(T.read_document(spark, path, doc)) == held.count(doc)
+        assert len(opened) == sum(last is not None and (first is None or first <= doc) and doc <= last for first, last in spans)
+        assert len(opened) <= 2
+
+
 def test_a_block_names_its_dictionary():
     block = T.pack_block([(7, 2, T._tools(b"")[0].compress(np.array([5, 1], "<u2").tobytes()))], 2, T._key(b""))
     assert T.Block(block, b"").ids(0).tolist() == [5, 1]
