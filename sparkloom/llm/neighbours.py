@@ -219,22 +219,25 @@ def search(rows: DataFrame, is_query: str, k: int = K, sample: int = 4096, recal
             q = np.frombuffer(b"".join(asking.column("q").to_pylist()), np.float64).reshape(asking.num_rows, -1)
             listed = some.column("ids").to_pylist()
             first = np.array([i[0] for i in listed])
+            # what rounding may take from a product, whatever the norms
+            room = 4 * mat.shape[1] * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(mat, axis=1).max()
             for at in range(0, len(q), 256):
                 s = q[at:at + 256] @ mat.T
                 near = min(k + 1, len(mat))
                 limit = -np.partition(-s, near - 1, axis=1)[:, near - 1]
                 for r, cid in enumerate(asking.column("query")[at:at + 256].to_pylist()):
-                    top = np.flatnonzero(s[r] >= limit[r] - 1e-12)
+                    top = np.flatnonzero(~(s[r] < limit[r] - room[at + r]))
                     exact = (mat[top] * q[at + r]).sum(1)
-                    held = 0
+                    held, last = 0, np.inf
                     for o in np.lexsort((first[top], -exact))[:k + 1]:
+                        if held > k and exact[o] < last:  # of equal scores a later class may hold a smaller id
+                            break
                         for vec_id in listed[top[o]]:
                             out["cid"].append(cid)
                             out["score"].append(float(exact[o]))
                             out["vec_id"].append(vec_id)
                             held += 1
-                        if held > k:
-                            break
+                        last = exact[o]
         return pa.table({"cid": pa.array(out["cid"], pa.int64()), "score": pa.array(out["score"], pa.float64()),
                          "vec_id": pa.array(out["vec_id"], pa.int64())})
 

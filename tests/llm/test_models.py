@@ -108,6 +108,16 @@ def test_small_tables_are_exact(spark):
     assert K.search(one, "vec_id % 20 = 0").collect() == [] and K.search(one.limit(0), "vec_id % 20 = 0").collect() == []
 
 
+def test_near_ties_of_large_vectors(spark):
+    r = np.random.default_rng(8)
+    one = r.normal(size=6) * 1e6  # products of one query with its shuffled forms differ in the last bits only
+    rows = [(i, ([1e6 / 3] * 6 if i % 20 == 0 else r.permutation(one).tolist())) for i in range(200)]
+    got = {}
+    for f in K.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0").collect():
+        got.setdefault(f.query_id, []).append((f.rank, f.vec_id))
+    assert {q: [i for _, i in sorted(near)] for q, near in got.items()} == {q: [i for _, i in near] for q, near in plain_search(rows).items()}
+
+
 def test_partitions_reach_the_recall(spark):
     r = np.random.default_rng(4)
     centres = r.normal(size=(30, 16))
