@@ -9,6 +9,7 @@ from sparkloom.plans import games as G
 from sparkloom.plans import snapshots as S
 from sparkloom.sources import sinks
 from sparkloom.sources.tables import SCHEMAS
+from sparkloom.streaming import keyed_state as K
 from sparkloom.streaming import micro_batches as M
 
 
@@ -89,3 +90,28 @@ def _(t):
         stream = M.read_files(t.spark, f"{folder}/", SCHEMAS["events"])
         M.append_unseen(stream.select("event_id", "user_id", "value"), target, ["event_id"])
     return t.spark.read.schema(held.schema).parquet(target).select("event_id", "user_id", "value")
+
+
+@query("stm1_keyed_totals", """
+SELECT user_id, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, MAX(value) AS top, MIN(ts) AS first_ts, MAX(ts) AS last_ts FROM events GROUP BY 1""")
+def _(t):
+    changes = K.keyed_totals(events_stream(t), ["user_id"], "ts", "value")
+    return K.totals_of(K.load(changes, sinks.scratch(t.spark, "stm1-keyed")), {"user_id": "bigint"})
+
+
+@query("stm1_expiring_totals", """
+SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, MAX(value) AS top, MIN(ts) AS first_ts, MAX(ts) AS last_ts FROM events GROUP BY 1""")
+def _(t):
+    folder = sinks.scratch(t.spark, "stm1-source")
+    day = F.dayofmonth("ts")
+    for part in (day <= 10, day > 20, (day > 10) & (day <= 20) | day.isNull()):  # the second third comes late
+        t.events.filter(part).write.mode("append").parquet(folder)
+    stream = M.read_files(t.spark, f"{folder}/", SCHEMAS["events"], files_per_batch=1)
+    changes = K.keyed_totals(stream, ["event_type"], "ts", "value", lifetime="5 days")
+    return K.totals_of(K.load(changes, sinks.scratch(t.spark, "stm1-expiring")), {"event_type": "string"}, aside=True)
+
+
+@query("stm4_keyed_first", "SELECT user_id, event_type AS item, MIN(ts) AS first_ts FROM events GROUP BY 1, 2")
+def _(t):
+    changes = K.keyed_first(events_stream(t), "user_id", "event_type", "ts")
+    return K.first_of(K.load(changes, sinks.scratch(t.spark, "stm4-keyed")), {"user_id": "bigint"})

@@ -37,10 +37,13 @@ def timed(stream: DataFrame, ts: str, delay: str | None = None) -> DataFrame:
     return out.withWatermark(ts, delay) if delay else out
 
 
-def run(stream: DataFrame, name: str, mode: str) -> str:
-    """Process all available data; returns the folder holding one sub-folder per micro-batch."""
+def run(stream: DataFrame, name: str, mode: str, root: str | None = None) -> str:
+    """Process all available data; returns the folder holding one sub-folder per micro-batch.
+
+    With ``root`` the load keeps its checkpoint there, and a later call goes on where it stopped.
+    """
     spark = stream.sparkSession
-    root = scratch_path(spark, name)
+    root = root or scratch_path(spark, name)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
