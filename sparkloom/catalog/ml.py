@@ -10,7 +10,8 @@ from sparkloom.catalog.registry import query
 from sparkloom.functions import text as T
 from sparkloom.operators import ml as L
 from sparkloom.operators.nulls import null_profile
-from sparkloom.operators.vectors import neighbours, sentence_vectors, vote
+from sparkloom.operators.pivots import pruned_neighbours
+from sparkloom.operators.vectors import sentence_vectors, vote
 from sparkloom.plans import games as G
 from sparkloom.plans import registry as REG
 from sparkloom.session import checkpointed
@@ -227,7 +228,7 @@ c AS (SELECT q, y, label, COUNT(*) AS n FROM d WHERE rn <= 5 GROUP BY 1, 2, 3)
 SELECT q AS vec_id, y AS label, arg_max(label, (n, -label)) AS predicted, ROUND(SUM(label * n) / SUM(n), 6) AS regressed FROM c GROUP BY 1, 2""")
 def _(t):
     train, test = L.split(t.embeddings, "vec_id", 0.8)
-    found = vote(neighbours(test, train, "vec_id", "embedding", 5), train, "vec_id", "label")
+    found = vote(pruned_neighbours(test, train, "vec_id", "embedding", 5), train, "vec_id", "label")
     return test.select("vec_id", "label").join(found, F.col("vec_id") == F.col("query_vec_id")).select(
         "vec_id", "label", "predicted", F.round("regressed", 6).alias("regressed"))
 
