@@ -6,9 +6,11 @@ from sparkloom.catalog.registry import query
 from sparkloom.functions import arrays as A
 from sparkloom.functions import generators as U
 from sparkloom.functions.text import initial
+from sparkloom.operators import kept_index as KI
 from sparkloom.operators import search as S
 from sparkloom.operators import vectors as V
 from sparkloom.operators.groups import exact_avg, joined_on, with_group
+from sparkloom.sources import sinks
 
 DIMS = 64
 E = "(SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"
@@ -73,6 +75,27 @@ def _(t):
     return S.all_tokens(S.postings(t.documents, "doc_id", "text"), "doc_id", "the and-on")
 
 
+def kept(t):
+    """Index of the documents, written in two batches."""
+    folder = sinks.scratch(t.spark, "index")
+    longer = F.col("n_chars") > 400
+    for part in (longer, ~F.coalesce(longer, F.lit(False))):
+        KI.append(t.documents.filter(part), "doc_id", "text", folder)
+    return KI.open_index(t.spark, folder)
+
+
+@query("srch1_kept_index", f"""
+SELECT token, COUNT(DISTINCT doc_id) AS n_docs, MIN(doc_id) AS first_doc, MAX(doc_id) AS last_doc FROM (SELECT doc_id, unnest({WORDS}) AS token FROM documents) GROUP BY 1""")
+def _(t):
+    return kept(t).groupBy("token").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first_doc"), F.max("last").alias("last_doc"))
+
+
+@query("srch1_kept_and_query", f"""
+SELECT doc_id FROM (SELECT doc_id, unnest({WORDS}) AS token FROM documents) WHERE token IN ('THE', 'AND', 'ON') GROUP BY 1 HAVING COUNT(DISTINCT token) = 3""")
+def _(t):
+    return KI.search(kept(t), "doc_id", "the and-on")
+
+
 @query("rule1_discounts", """
 WITH o AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS total, SUM(CASE WHEN l_quantity >= 20 THEN CAST(l_extendedprice AS DECIMAL(18,2)) * 0.10 ELSE 0 END)::DOUBLE AS bulk,
   COUNT(DISTINCT l_partkey) AS items FROM lineitem GROUP BY 1),
