@@ -27,24 +27,26 @@ def bucket_of(token: Column, buckets: int = BUCKETS) -> Column:
 def blocks(df: DataFrame, key: str, text: str, buckets: int = BUCKETS) -> DataFrame:
     """Blocks of a batch of texts. Null keys and texts without words have none; a key that comes twice counts once.
 
-    A block is at most ``SPAN`` ids, so a token of every text is many rows. Ids are made distinct before
-    they are gathered: repeated rows cannot swell a block.
+    A block is at most ``SPAN`` ids, so a token of every text is many rows. Ids are gathered where the texts
+    are read, each once, so repeated rows cannot swell a block and one list a block and task is shuffled.
     """
     words = token_rows(df.filter(F.col(key).isNotNull()), key, text, distinct=True)
-    ids = words.select("token", F.col(key).cast("bigint").alias("id")).distinct()
-    spans = ids.groupBy("token", F.floor(F.col("id") / SPAN).alias("span")).agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    return spans.select("token", "span", F.col("ids")[0].alias("first"), F.element_at("ids", -1).alias("last"), F.size("ids").alias("n"),
-                        F.transform("ids", lambda x: (x - F.col("span") * SPAN).cast("int")).alias("offsets"),
+    ids = words.select("token", F.col(key).cast("bigint").alias("id"))
+    place = F.floor(F.col("id") / SPAN)
+    spans = ids.groupBy("token", place.alias("span")).agg(
+        F.sort_array(F.collect_set((F.col("id") - place * SPAN).cast("int"))).alias("offsets"))
+    at = lambda i: F.col("span") * SPAN + F.element_at("offsets", i)
+    return spans.select("token", "span", at(1).alias("first"), at(-1).alias("last"), F.size("offsets").alias("n"), "offsets",
                         bucket_of(F.col("token"), buckets).alias("bucket"))
 
 
 def append(df: DataFrame, key: str, text: str, folder: str, batch: str | None = None, buckets: int = BUCKETS) -> str:
     """Add texts to the index at ``folder`` as a batch; written again under the same name, a batch replaces itself.
 
-    ``buckets`` belongs to the folder. Texts of an id already there add their words to it.
+    ``buckets`` belongs to the folder; adaptive execution cuts a large bucket into several files. Texts of an id already there add their words to it.
     """
     name = batch or uuid.uuid4().hex
-    out = blocks(df, key, text, buckets).repartition("bucket").sortWithinPartitions("bucket", "token", "span")
+    out = blocks(df, key, text, buckets).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "token", "span")
     coded = {"parquet.writer.version": "v2", "parquet.enable.dictionary#offsets.list.element": "false"}  # differences, bit-packed
     out.write.mode("overwrite").options(**coded).partitionBy("bucket").parquet(f"{folder}/batch={name}")
     return name
