@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +14,9 @@ from sparkloom.session import checkpointed
 
 PIVOTS = 256
 RINGS = 16
-ROWS_PER_RING = 256
+ROWS_PER_CELL = 2048
+ROWS_PER_RING = 1024
+SLICE = 256
 ROWS_PER_BLOCK = 8192
 QUERIES_PER_PASS = 2048
 
@@ -47,7 +48,7 @@ def _pivots(rows: DataFrame, total: int, count: int) -> np.ndarray:
 def _placed(rows: DataFrame, centres: np.ndarray, rings: int) -> DataFrame:
     """Rows with the cell of their nearest pivot, their distance from it and their ring."""
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in _slices(parts):
             if len(part):
                 gaps = _gaps(np.stack(part["v"].to_list()), centres)
                 cell = gaps.argmin(1)
@@ -67,6 +68,13 @@ def _placed(rows: DataFrame, centres: np.ndarray, rings: int) -> DataFrame:
     return placed.mapInPandas(number, "k bigint, v array<double>, d double, ring int")
 
 
+def _slices(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows a few at a time, so that tables of rows by rings stay small."""
+    for part in parts:
+        for start in range(0, len(part), SLICE):
+            yield part.iloc[start:start + SLICE]
+
+
 class Rings:
     """What tasks know of the rows: pivots, and size and distances of each ring (at most ``pivots * rings`` of them)."""
 
@@ -126,21 +134,23 @@ def _compare(rows: DataFrame, asked: DataFrame, sizes: dict[int, int], k: int, p
 
 
 def pruned_neighbours(queries: DataFrame, train: DataFrame, key: str, vector: str, k: int, pivots: int = PIVOTS, rings: int = RINGS,
-                      ring_rows: int = ROWS_PER_RING, per_block: int = ROWS_PER_BLOCK, per_pass: int = QUERIES_PER_PASS,
+                      cell_rows: int = ROWS_PER_CELL, ring_rows: int = ROWS_PER_RING, per_block: int = ROWS_PER_BLOCK,
+                      per_pass: int = QUERIES_PER_PASS,
                       seen: Callable[[int, int], None] | None = None) -> DataFrame:
     """Exact k nearest training rows of each query by Euclidean distance, ties to the smaller key.
 
-    Rows lie in cells (nearest of at most ``pivots`` drawn rows, the root of their number) and in rings by
-    their distance from the pivot (at most ``rings`` a cell, about ``ring_rows`` rows or more in the mean). A query first meets the ring that may hold the nearest row; its k-th distance there, or what
-    the table of rings promises, excludes every ring that cannot hold a nearer row, and the second pass
-    meets the others. ``seen`` is told the pairs compared and all pairs. Rows and queries whose key or
+    Rows lie in cells (nearest of at most ``pivots`` drawn rows, one for ``cell_rows`` rows) and in rings by
+    their distance from the pivot (at most ``rings`` a cell, about ``ring_rows`` rows or more in the mean).
+    A query first meets the ring that may hold the nearest row; its k-th distance there, or what the table
+    of rings promises, excludes every ring that cannot hold a nearer row, and the second pass meets the
+    others. ``seen`` is told the pairs compared and all pairs. Rows and queries whose key or
     vector is null, or whose vector holds a null or a number that is not finite, are left out; all vectors
     must have one length. Fewer than k rows: all of them.
     """
     schema = f"query_{key} bigint, {key} bigint, distance double"
     rows = checkpointed(_usable(train, key, vector, "k", "v"), "train")
     total = rows.count()
-    pivots = min(pivots, math.isqrt(total) + 1)
+    pivots = min(pivots, total // cell_rows + 1)
     rings = min(rings, total // (pivots * ring_rows) + 1)
     centres = _pivots(rows, total, pivots)
     if not len(centres):
@@ -151,7 +161,7 @@ def pruned_neighbours(queries: DataFrame, train: DataFrame, key: str, vector: st
     sizes = dict(zip(numbers.tolist(), counts.tolist()))
 
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in _slices(parts):
             if len(part):
                 near, far = cells.bounds(np.stack(part["w"].to_list()))
                 order = far.argsort(1)
@@ -169,11 +179,12 @@ def pruned_neighbours(queries: DataFrame, train: DataFrame, key: str, vector: st
     limits = asked.join(kth, "q", "left").select("q", "w", F.col("ring").alias("done"), bound.alias("limit"))
 
     def others(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            if len(part):
-                near, _ = cells.bounds(np.stack(part["w"].to_list()))
-                row, ring = np.nonzero((near <= part["limit"].to_numpy()[:, None]) & (numbers[None, :] != part["done"].to_numpy()[:, None]))
-                yield pd.DataFrame({"q": part["q"].to_numpy()[row], "w": part["w"].to_numpy()[row], "ring": numbers[ring]})
+        for part in _slices(parts):
+            near, _ = cells.bounds(np.stack(part["w"].to_list()))
+            row, ring = np.nonzero((near <= part["limit"].to_numpy()[:, None]) & (numbers[None, :] != part["done"].to_numpy()[:, None]))
+            for i in range(0, len(row), 16 * SLICE):
+                some = row[i:i + 16 * SLICE]
+                yield pd.DataFrame({"q": part["q"].to_numpy()[some], "w": part["w"].to_numpy()[some], "ring": numbers[ring[i:i + 16 * SLICE]]})
 
     more = checkpointed(limits.mapInPandas(others, "q bigint, w array<double>, ring int"), "others")
     if seen:

@@ -27,7 +27,7 @@ def test_equal_to_all_pairs(spark, spread, share):
     rng, met = np.random.default_rng(7), []
     vectors = clustered(rng, 1500, 30, 12, spread)
     train, queries = frame(spark, vectors[:1350]).cache(), frame(spark, vectors[1350:], 5000).cache()
-    found = pruned_neighbours(queries, train, "w", "v", 5, pivots=64, ring_rows=10, per_block=40, per_pass=7, seen=lambda *n: met.append(n))
+    found = pruned_neighbours(queries, train, "w", "v", 5, pivots=64, cell_rows=30, ring_rows=10, per_block=40, per_pass=7, seen=lambda *n: met.append(n))
     assert result(found) == result(neighbours(queries, train, "w", "v", 5))
     assert met[0][1] == 1350 * 150 and met[0][0] <= share * met[0][1]
 
@@ -36,7 +36,7 @@ def test_ties_copies_and_fewer_rows_than_asked(spark):
     vectors = [[1.0, 1.0]] * 40 + [[0.0, float(i % 5)] for i in range(30)]
     train, queries = frame(spark, vectors).cache(), frame(spark, [[1.0, 1.0], [0.0, 2.0], [9.0, 9.0]], 900)
     for k in (3, 100):
-        assert result(pruned_neighbours(queries, train, "w", "v", k, pivots=4, rings=3, ring_rows=2)) == result(neighbours(queries, train, "w", "v", k))
+        assert result(pruned_neighbours(queries, train, "w", "v", k, pivots=4, rings=3, cell_rows=9, ring_rows=2)) == result(neighbours(queries, train, "w", "v", k))
     same = frame(spark, [[2.0, 2.0]] * 9)
     assert [r[1] for r in result(pruned_neighbours(queries, same, "w", "v", 2))] == [0, 1] * 3
 
@@ -54,4 +54,4 @@ def test_large_coordinates_lose_nothing(spark):
     rng = np.random.default_rng(3)
     vectors = (1e6 + rng.integers(0, 4, (200, 3))).astype(float).tolist()  # bounds are rounded here
     train, queries = frame(spark, vectors).cache(), frame(spark, vectors[:20], 900)
-    assert result(pruned_neighbours(queries, train, "w", "v", 4, pivots=16, ring_rows=3)) == result(neighbours(queries, train, "w", "v", 4))
+    assert result(pruned_neighbours(queries, train, "w", "v", 4, pivots=16, cell_rows=12, ring_rows=3)) == result(neighbours(queries, train, "w", "v", 4))
