@@ -107,14 +107,17 @@ def _dense(df: DataFrame, place: str, value: Column, size: int) -> Column:
     return each.agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("s")).select(F.transform("s", lambda x: x["v"])).scalar()
 
 
-def _borders(df: DataFrame, keys: list[str], chunks: int) -> Column:
-    """Array of ``chunks - 1`` rows of ``keys`` at most, in order, that cut the rows evenly; a scalar subquery."""
+def _borders(df: DataFrame, keys: list[str], by: list[str], chunks: int) -> Column:
+    """``rows``: ``chunks - 1`` rows of ``keys`` at most, in order, that cut the rows evenly; ``groups``: hashes of the
+    groups they cut. A scalar subquery."""
     rows = df.select(*keys, F.xxhash64(*keys).alias("_h")).withColumn("_b", F.pmod("_h", F.lit(chunks * SAMPLES)))
     least = _dense(rows.select("_b", "_h"), "_b", F.min("_h"), chunks * SAMPLES)
     sample = rows.where(F.col("_h") == F.get(least, F.col("_b").cast("int"))).select(F.struct(*keys).alias("k")).distinct()
     listed = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))  # at most chunks * SAMPLES rows
     places = F.expr(f"filter(sequence({SAMPLES}, greatest({SAMPLES}, size(s)), {SAMPLES}), i -> i < size(s))")
-    return listed.select(F.transform(places, lambda i: F.element_at("s", i + 1)).alias("cuts")).scalar()
+    cuts = listed.select(F.transform(places, lambda i: F.element_at("s", i + 1)).alias("rows"))
+    hashes = F.array_distinct(F.transform("rows", lambda r: F.xxhash64(*[r[k] for k in by])))
+    return cuts.select(F.struct("rows", hashes.alias("groups")).alias("cuts")).scalar()
 
 
 def _position(cuts: Column, key: Column, most: int) -> Column:
@@ -143,18 +146,17 @@ def over_order(df: DataFrame, by: list[str] | str, order: list[str] | str, colum
     keys = list(dict.fromkeys([*by, *order]))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(CHUNKS, parts)
-    cuts = F.col("_cuts")
-
-    def of_border(i: Column) -> Column:
-        border = F.get(cuts, i)
-        return border.isNotNull() & reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(border[k]) for k in by])
-
-    frame = df.withColumn("_cuts", _borders(base, keys, chunks)).withColumn("_chunk", _position(cuts, F.struct(*keys), chunks))
-    cut = of_border(F.col("_chunk") - 1) | of_border(F.col("_chunk"))  # a border of the row's own group is next to it
-    part = F.floor(F.col("_chunk").cast("bigint") * parts / (F.size(cuts) + 1)).cast("int")  # chunks in order, evenly
-    frame = frame.select(*df.columns, "_chunk", part.alias("_part"), cut.alias("_cut"))
-    large = frame.filter("_cut").drop("_cut")
-    frame = frame.drop("_cut").withColumn("_halo", F.lit(False))
+    cuts = F.col("_cuts")["rows"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        out = rows.withColumn("_chunk", _position(cuts, F.struct(*keys), chunks))
+        part = F.floor(F.col("_chunk").cast("bigint") * parts / (F.size(cuts) + 1)).cast("int")  # chunks in order, evenly
+        return out.select(*df.columns, "_chunk", part.alias("_part"))
+
+    frame = df.withColumn("_cuts", _borders(base, keys, by, chunks))
+    # only rows of cut groups are looked up for carries and halos; an uncut group of the same hash adds nothing to them
+    large = placed(frame.filter(F.array_contains(F.col("_cuts")["groups"], F.xxhash64(*by))))
+    frame = placed(frame).withColumn("_halo", F.lit(False))
 
     back = max([c.by for c in columns.values() if isinstance(c, Shift)]
                + [c.size - 1 for c in columns.values() if isinstance(c, Rolling)] + [0])

@@ -211,3 +211,10 @@ def test_as_of_join_cuts_a_hot_key(spark):
     for r in versions.collect():
         held.setdefault(r.k, []).append((r.since, r.code))
     assert got == {r.id: max((v for v in held.get(r.k, []) if v[0] <= r.at), default=(0, None))[1] for r in asked.collect()}
+
+
+def test_rows_of_uncut_groups_are_looked_up_once(spark, frame):
+    """What picks the rows for carries and halos is their group, not their place among the borders."""
+    plan = over_order(frame, ["k"], ["day", "id"], SPECS)._jdf.queryExecution().optimizedPlan().toString()
+    picks = [line for line in plan.splitlines() if "Filter" in line]
+    assert any("array_contains" in line for line in picks) and not any(" aggregate(" in line or "(aggregate(" in line for line in picks)
