@@ -48,8 +48,9 @@ LATEST = V1 + """, lg AS (SELECT team_id, game_id FROM (SELECT *, ROW_NUMBER() O
 @query("ml3_latest_features", LATEST + "SELECT f.team_id, f.game_id, f.game_date, f.season, " + rounded("f")
        + " FROM feat f JOIN lg ON f.team_id = lg.team_id AND f.game_id = lg.game_id")
 def _(t):
-    rows = games(t)
-    return round_doubles(G.latest_features(G.matchups(G.features(rows, ["team_id", "season"])), rows))
+    rows = checkpointed(games(t))
+    pairs = checkpointed(G.matchups(G.features(rows, ["team_id", "season"], written=True)))  # read for each side
+    return round_doubles(G.latest_features(pairs, rows))
 
 
 @query("ml4_split", """
@@ -272,7 +273,7 @@ def _(t):
 @query("ml14_score_upcoming")
 def _(t):
     rows = checkpointed(games(t))
-    pairs = checkpointed(G.matchups(G.features(rows, ["team_id", "season"])))
+    pairs = checkpointed(G.matchups(G.features(rows, ["team_id", "season"], written=True)))
     train = pairs.na.drop()
     model = L.fit(L.scaled(train, train, SIDES), SIDES, L.estimator("logistic", "home_w"))
     # each team next plays at home against the team it last met

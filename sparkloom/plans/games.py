@@ -63,13 +63,14 @@ def win_percentages(games: DataFrame, extra_game: int = 0, **more: object) -> Da
     return run.withColumns(share).select(*games.columns, *share, *more)
 
 
-def features(games: DataFrame, by: list[str], extra_game: int = 0, drop_incomplete: bool = False) -> DataFrame:
-    """Team rows with the values known before the game.
+def features(games: DataFrame, by: list[str], extra_game: int = 0, drop_incomplete: bool = False,
+             written: bool = False) -> DataFrame:
+    """Team rows with the values known before the game, as a written table, since both sides of a game read it.
 
     ``by`` is team and season, or team alone; version two also counts one extra home and
-    away game and drops a team's first row before shifting.
+    away game and drops a team's first row before shifting. ``written`` says that ``games`` is a table already.
     """
-    games = checkpointed(games)  # read several times below
+    games = games if written else checkpointed(games)  # read several times below
     order = ["game_date", "game_id"]
     rolling = {"rolling_oe": Rolling("avg", "oe", 3), "rolling_scoring_margin": Rolling("avg", "scoring_margin", 3),
                "_last_date": Shift("game_date")}
@@ -81,7 +82,7 @@ def features(games: DataFrame, by: list[str], extra_game: int = 0, drop_incomple
     if drop_incomplete:
         rows = rows.na.drop("any")
     shifted = over_order(checkpointed(rows), by, order, {"last_game_" + c: Shift(c) for c in SHIFTED}, base=games)
-    return shifted.select(*games.columns, *FEATURES)
+    return checkpointed(shifted.select(*games.columns, *FEATURES))
 
 
 def matchups(rows: DataFrame) -> DataFrame:

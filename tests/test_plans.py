@@ -142,3 +142,15 @@ def test_game_features(spark):
     assert matched.count() == 4 and len([c for c in matched.columns if "last_game" in c or "rest" in c]) == 14
     second = G.features(df, ["team_id"], extra_game=1, drop_incomplete=True)
     assert second.filter("team_id = 1").count() == 3
+
+
+def test_features_are_worked_out_once_for_both_sides(spark):
+    days = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    orders = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "o_orderkey bigint, o_orderdate timestamp_ntz")
+    lines = spark.createDataFrame([(i, s, n, 2.0, 10.0 * s + i, "N") for i in range(3) for n, s in ((1, 5), (2, 7))],
+                                  "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string")
+    games = G.team_games(lines, orders)
+    pairs = G.matchups(G.features(games, ["team_id", "season"]))
+    assert "Window" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(pairs.select("game_id", "home_team_id", "away_team_id", "home_last_game_total_win_pctg", "away_last_game_total_win_pctg").collect())
+    assert [tuple(r) for r in got] == [(0, 5, 7, None, None), (1, 5, 7, 0.0, 1.0), (2, 5, 7, 0.0, 1.0)]
