@@ -3,6 +3,7 @@
 import datetime as dt
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,15 @@ def test_null_numbers_as_keys(spark):
     changes = K.load(K.keyed_totals(src, ["u"], "ts", "v"), sinks.scratch(spark, "a"))
     got = {r.u: r.n for r in K.totals_of(changes, {"u": "bigint"}).collect()}
     assert got == {None: 3, 2 ** 60: 1, 2 ** 60 + 2: 1, 2 ** 60 + 4: 1}
+
+
+def test_keys_share_states_and_a_hot_key_is_few_rows():
+    """What goes to the states is one row per key of a batch, and a state works for many keys."""
+    part = pd.DataFrame({"who": ["a", "a", "b", "a"], "slot": [1, 1, 1, 1], "dated": [True, True, False, False], "us": [7, 5, 0, 0],
+                         "has": [1, 0, 0, 1], "amount": [30, 0, 0, 12]})
+    (out,) = K._pieces(iter([part]))
+    got = [tuple(None if pd.isna(v) else v for v in r) for r in out.itertuples(index=False)]
+    assert got == [("a", 1, 5, 5, 7, 3, 2, 42, 30), ("b", 1, None, None, None, 1, 0, None, None)]
+    seen = pd.DataFrame({"who": ["a", "a", "b"], "slot": [1, 1, 1], "us": [9, 4, 6], "named": [True, True, False], "item": ["x", "x", ""]})
+    (first,) = K._earliest(iter([seen]))
+    assert [tuple(r) for r in first.itertuples(index=False)] == [("a", 1, 4, True, "x"), ("b", 1, 6, False, "")]
