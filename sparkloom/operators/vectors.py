@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkloom.functions import arrays as A
 from sparkloom.operators.groups import joined_on, top_rows
 
 QUERIES_PER_PASS = 512
 ROWS_PER_BLOCK = 8192
+DOCS_PER_BLOCK = 2048
+PAIRS_PER_STEP = 1 << 15
 
 
 def vector_of(df: DataFrame, key: str, value, vector: str) -> Column:
@@ -56,14 +61,49 @@ def mean_vectors(df: DataFrame, by: list[str] | str, vector: str, dims: int, wei
 
 
 def sentence_vectors(docs: DataFrame, words: DataFrame, key: str, vocabulary: DataFrame, word: str, vector: str,
-                     dims: int) -> DataFrame:
+                     dims: int, per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """Mean vector of the known tokens of each text; null and weight 0 where none is known.
 
-    ``words`` has one row per token; the tokens of a text are summed up where they are read,
-    so only one row per text and task is shuffled.
+    ``words`` has one row per token. Texts lie in blocks of about ``per_block``; a block gets its tokens and, once each,
+    the vectors of its words, so sums are held for the texts of one block, however many texts and words there are.
     """
-    known = words.select(key, word).join(vocabulary.select(word, vector), word)
-    means = mean_vectors(known, key, vector, dims)
+    blocks = docs.agg(F.greatest(F.ceil(F.count(F.lit(1)) / per_block), F.lit(1)).cast("int")).scalar()
+    block = F.pmod(F.xxhash64(key), blocks).cast("int")
+    tokens = words.filter(F.col(word).isNotNull()).select(block.alias("_b"), key, word)
+    sized = F.when(F.size(vector) == dims, F.col(vector)).otherwise(F.raise_error(F.lit(f"a vector has not {dims} elements")))
+    held = F.coalesce(F.when(F.col(vector).isNotNull(), sized).cast("array<double>"), F.array_repeat(F.lit(None).cast("double"), dims))
+    asked = tokens.select(F.col("_b").alias("_vb"), F.col(word).alias("_vw")).distinct().join(
+        vocabulary.select(F.col(word).alias("_vw"), held.alias("_v")), "_vw")
+
+    def add_up(some: pa.Table, vectors: pa.Table) -> pa.Table:
+        names = pc.unique(vectors["_vw"])
+        places = pc.index_in(vectors["_vw"], value_set=names).to_numpy()
+        flat = vectors["_v"].combine_chunks().flatten()
+        known = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, dims).astype(float)
+        values = flat.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(-1, dims)
+        table = np.zeros((len(names), 2 * dims + 1))  # of each word: sums, known elements, vectors
+        np.add.at(table, places, np.hstack([values, known, np.ones((len(values), 1))]))
+        texts = some[key].combine_chunks().dictionary_encode(null_encoding="encode")
+        found = pc.index_in(some[word], value_set=names).combine_chunks()
+        hits = found.is_valid().to_numpy(zero_copy_only=False)
+        code = texts.indices.to_numpy()[hits].astype(np.int64) * max(len(names), 1) + found.drop_null().to_numpy()
+        code, times = np.unique(code, return_counts=True)
+        out = np.zeros((len(texts.dictionary), 2 * dims + 1))
+        for start in range(0, len(code), PAIRS_PER_STEP):
+            part = slice(start, start + PAIRS_PER_STEP)
+            row, at = np.divmod(code[part], len(names))
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            out[row[first]] += np.add.reduceat(table[at] * times[part, None], first)
+        some_known = out[:, -1] > 0
+        out = out[some_known]
+        sums = pa.array(out[:, :dims].ravel(), mask=(out[:, dims:2 * dims] == 0).ravel())
+        offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * dims)
+        return pa.table({key: texts.dictionary.filter(pa.array(some_known)), "sums": pa.ListArray.from_arrays(offsets, sums),
+                         "weight": pa.array(out[:, -1].astype(np.int64))})
+
+    schema = T.StructType([docs.schema[key], T.StructField("sums", T.ArrayType(T.DoubleType())), T.StructField("weight", T.LongType())])
+    sums = tokens.groupBy("_b").cogroup(asked.groupBy("_vb")).applyInArrow(add_up, schema)
+    means = sums.select(key, "weight", F.transform("sums", lambda x: x / F.col("weight")).alias("mean"))
     out = joined_on(docs.select(key), means, key)
     return out.withColumn("weight", F.coalesce("weight", F.lit(0)))
 

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -384,3 +385,37 @@ def test_samples_are_repeatable(spark):
     got = R.cluster_sample(marked, "c", 2)
     assert got.select("c").distinct().count() == 2
     assert got.count() == marked.join(got.select("c").distinct(), "c").count()
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    from pyspark.sql.types import LongType
+
+    from sparkloom.session import prepare
+
+    @F.pandas_udf(LongType())
+    def held(text: pd.Series) -> pd.Series:
+        return pd.Series([int(text.str.len().sum())] * len(text), dtype="int64")
+
+    texts = prepare(spark).range(0, 400, 1, 1).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit("é"), 50_000)).alias("t"))
+    assert texts.select(held("t").alias("n")).agg(F.max("n")).first()[0] <= 4 << 20
+
+
+def test_sentence_vectors_by_blocks(spark):
+    docs = spark.createDataFrame([(i,) for i in (1, 2, 3, None)], "d bigint")
+    words = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "z"), (2, None), (None, "b"), (3, "n")], "d bigint, w string")
+    nan = float("nan")
+    held = spark.createDataFrame([("a", [1.0, None]), ("b", [4.0, 6.0]), ("b", [0.0, nan]), ("n", None), ("n", [None, 2.0])], "w string, v array<float>")
+    for per_block in (1, 2, 100):
+        out = V.sentence_vectors(docs, words, "d", held, "w", "v", 2, per_block=per_block)
+        got = {r["d"]: (r["weight"], r["mean"] and [str(x) for x in r["mean"]]) for r in out.collect()}
+        assert got == {1: (4, ["1.5", "nan"]), 2: (0, None), 3: (2, ["None", "1.0"]), None: (2, ["2.0", "nan"])}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(get(" not in plan  # no task holds sums of the texts of all blocks
+
+
+def test_quantile_levels_read_tables_of_known_size(spark):
+    from sparkloom.operators.groups import quantiles
+    rows = spark.range(2000).select((F.col("id") % 3).alias("k"), (F.col("id") * 0.25).alias("v"))
+    out = quantiles(rows, "k", "v", {"m": 0.5})
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
