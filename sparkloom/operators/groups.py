@@ -138,7 +138,8 @@ def quantiles(df: DataFrame, by: list[str] | str, value: str, probs: dict[str, f
         return frame.withColumn("_asked", here).filter(F.size("_asked") > 0)
 
     for level in range(1, LEVELS):
-        asked, match = renamed(inside(found).select(*keys, "_prefix", "_asked"), keys, "_a_")
+        # a table of known size, so that Spark sends it to the rows where it is small instead of sorting all rows
+        asked, match = renamed(checkpointed(inside(found).select(*keys, "_prefix", "_asked")), keys, "_a_")
         held = rows.withColumn("_prefix", F.shiftright("_code", BITS * (LEVELS - level)))
         held = held.join(asked, match & (F.col("_prefix") == F.col("_a__prefix")))
         counts = held.groupBy(*keys, "_prefix", F.col("_a__asked").alias("_asked"), digit(level).alias("_digit")).agg(
