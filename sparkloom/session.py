@@ -25,6 +25,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where the next step then needs a shuffle of its own
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python functions on texts hold several forms of a batch at once; batches of rows alone would follow the texts' length
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
