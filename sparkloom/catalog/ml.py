@@ -214,7 +214,7 @@ def _(t):
 
 @query("ml9_regressors")
 def _(t):
-    train, test = L.split(price_rows(t), "l_orderkey", 0.8)
+    train, test = L.split(checkpointed(price_rows(t)), "l_orderkey", 0.8)  # every model reads them several times
     parts = []
     for name in L.REGRESSORS:
         scored = L.fit(train, PRICE_COLS, L.estimator(f"regressor.{name}", "price")).transform(test)
