@@ -15,7 +15,7 @@ from sparkloom.operators.groups import joined_on, top_rows
 
 QUERIES_PER_PASS = 512
 ROWS_PER_BLOCK = 8192
-DOCS_PER_BLOCK = 2048
+DOCS_PER_BLOCK = 512
 PAIRS_PER_STEP = 1 << 15
 
 
@@ -69,6 +69,7 @@ def sentence_vectors(docs: DataFrame, words: DataFrame, key: str, vocabulary: Da
     """
     blocks = docs.agg(F.greatest(F.ceil(F.count(F.lit(1)) / per_block), F.lit(1)).cast("int")).scalar()
     block = F.pmod(F.xxhash64(key), blocks).cast("int")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tokens = words.filter(F.col(word).isNotNull()).select(block.alias("_b"), key, word)
     sized = F.when(F.size(vector) == dims, F.col(vector)).otherwise(F.raise_error(F.lit(f"a vector has not {dims} elements")))
     held = F.coalesce(F.when(F.col(vector).isNotNull(), sized).cast("array<double>"), F.array_repeat(F.lit(None).cast("double"), dims))
@@ -102,7 +103,8 @@ def sentence_vectors(docs: DataFrame, words: DataFrame, key: str, vocabulary: Da
                          "weight": pa.array(out[:, -1].astype(np.int64))})
 
     schema = T.StructType([docs.schema[key], T.StructField("sums", T.ArrayType(T.DoubleType())), T.StructField("weight", T.LongType())])
-    sums = tokens.groupBy("_b").cogroup(asked.groupBy("_vb")).applyInArrow(add_up, schema)
+    # a stated number of partitions is not merged again: a task sorts its tokens by block
+    sums = tokens.repartition(parts, "_b").groupBy("_b").cogroup(asked.groupBy("_vb")).applyInArrow(add_up, schema)
     means = sums.select(key, "weight", F.transform("sums", lambda x: x / F.col("weight")).alias("mean"))
     out = joined_on(docs.select(key), means, key)
     return out.withColumn("weight", F.coalesce("weight", F.lit(0)))
