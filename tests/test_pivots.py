@@ -55,3 +55,23 @@ def test_large_coordinates_lose_nothing(spark):
     vectors = (1e6 + rng.integers(0, 4, (200, 3))).astype(float).tolist()  # bounds are rounded here
     train, queries = frame(spark, vectors).cache(), frame(spark, vectors[:20], 900)
     assert result(pruned_neighbours(queries, train, "w", "v", 4, pivots=16, cell_rows=12, ring_rows=3)) == result(neighbours(queries, train, "w", "v", 4))
+
+
+def test_queries_are_written_once_and_copies_of_rows_k_times(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sparkloom.session.checkpoint_root", lambda _: str(tmp_path))
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(0, 1, (600, 16)).tolist()  # even: each query meets nearly all rings
+    short = "w bigint, v array<float>, extra string"
+    train = spark.createDataFrame([(i, v, "x") for i, v in enumerate(vectors + [vectors[0]] * 200)], short).cache()
+    queries = spark.createDataFrame([(900 + i, v, "x") for i, v in enumerate(vectors[:3] + rng.normal(0, 1, (40, 16)).tolist())], short).cache()
+    found = pruned_neighbours(queries, train, "w", "v", 3, pivots=32, rings=4, cell_rows=20, ring_rows=5, per_block=50, per_pass=9)
+    assert result(found) == result(neighbours(queries, train, "w", "v", 3))
+    rows = lambda name: sum(spark.read.parquet(str(p)).count() for p in tmp_path.glob(f"sparkloom/{name}-*"))
+    assert rows("train") == 602
+    assert rows("others") <= 43
+
+
+def test_vectors_of_other_length_are_an_error(spark):
+    train, queries = frame(spark, [[1.0, 0.0]] * 3), frame(spark, [[1.0, 0.0], [1.0, 0.0, 0.0], [1.0]], 900)
+    with pytest.raises(Exception):
+        pruned_neighbours(queries, train, "w", "v", 2).count()
