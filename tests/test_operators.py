@@ -65,6 +65,24 @@ def test_keep_groups_with_null_key(spark):
     assert rows(out.select("id")) == [(1,), (2,), (3,), (4,)]
 
 
+def test_models_that_keep_rows_read_few_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(L, "ROWS_PER_TASK", 100, raising=False)
+    held, fitted = [], L.Pipeline.fit
+
+    def fit(self, df):
+        held.append(df.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first())
+        return fitted(self, df)
+
+    monkeypatch.setattr(L.Pipeline, "fit", fit)
+    rows = spark.range(0, 1000, 1, 1).select("id", (F.col("id") % 7).cast("double").alias("x"), F.expr("if(id % 10 > 0, double(id % 7) * 2, null)").alias("y"),
+                                             F.lit("t").alias("extra"))
+    out = L.model_fill(rows, "y", ["x"], "filled", L.estimator("regressor.boosted", "y", maxIter=2)).collect()
+    assert held[0][1] == 900 and held[0][0] <= 110
+    assert len(out) == 1000 and all(r.extra == "t" and abs(r.filled - 2 * r.x) < 1e-6 for r in out)
+    L.fit(rows, ["x"], L.estimator("regressor.linear", "y"))  # reads its rows once and keeps none
+    assert held[1][1] == 900
+
+
 def test_fill_and_interpolate(spark):
     df = spark.createDataFrame([(1, None), (2, 1.0), (3, None), (4, None), (5, 4.0), (6, None)], "i int, v double")
     assert rows(N.interpolate(df, [], "i", "v", "f").select("i", "f")) == [(1, None), (2, 1.0), (3, 2.0), (4, 3.0), (5, 4.0), (6, 4.0)]
