@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions.math import min_max, z_score
 from sparkloom.operators.groups import whole
-from sparkloom.session import checkpointed
 
-ROWS_PER_TASK = 1 << 18
+ROWS_PER_TASK = 1 << 20
 
 
 def key_hash(key: str, seed: int = 42) -> Column:
@@ -72,17 +71,17 @@ def estimator(name: str, label: str, features: str = "features", **params) -> Es
     return made.copy({known[n]: v for n, v in values.items()})
 
 
-def spread(df: DataFrame, per_task: int) -> DataFrame:
-    """The rows in partitions of about ``per_task``; fewer rows stay as they lie."""
-    parts = -(-df.count() // per_task)
-    return df.repartition(parts) if parts > 1 else df
+def spread(df: DataFrame, most: int) -> DataFrame:
+    """The rows in partitions of about ``most`` where one holds more; others stay as they lie, since models draw by partition."""
+    held = df.groupBy(F.spark_partition_id()).count().agg(F.max("count").alias("largest"), F.sum("count").alias("rows")).first()
+    return df.repartition(-(-held.rows // most)) if held.largest and held.largest > most else df
 
 
 def fit(train: DataFrame, cols: list[str], model: Estimator) -> PipelineModel:
     """Assemble the feature columns and fit; rows with a null feature or label are left out.
 
     Trees and iterative models keep their rows in memory as objects, several times the size of a table's file, and a
-    task reads a whole partition of them in each round, so these get partitions of about ``ROWS_PER_TASK``.
+    task reads a whole partition of them in each round, so these get partitions of at most about ``ROWS_PER_TASK``.
     """
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
     rows = train.na.drop(subset=[*cols, model.getLabelCol()])
@@ -153,7 +152,6 @@ def impute(df: DataFrame, cols: list[str], strategy: str = "mean") -> DataFrame:
 
 def model_fill(df: DataFrame, target: str, cols: list[str], out: str, model: Estimator) -> DataFrame:
     """Fill nulls of a column with a model trained on the rows where it is known."""
-    rows = checkpointed(df)  # counted, learned from and filled
-    fitted = fit(rows.filter(F.col(target).isNotNull()), cols, model)
-    guess = fitted.transform(rows)
+    fitted = fit(df.filter(F.col(target).isNotNull()), cols, model)
+    guess = fitted.transform(df)
     return guess.select(*df.columns, F.coalesce(F.col(target), F.col("prediction")).alias(out))

@@ -81,6 +81,7 @@ def test_models_that_keep_rows_read_few_in_a_task(spark, monkeypatch):
     assert len(out) == 1000 and all(r.extra == "t" and abs(r.filled - 2 * r.x) < 1e-6 for r in out)
     L.fit(rows, ["x"], L.estimator("regressor.linear", "y"))  # reads its rows once and keeps none
     assert held[1][1] == 900
+    assert L.spread(rows, 1000) is rows and L.spread(rows.limit(0), 1000).count() == 0
 
 
 def test_fill_and_interpolate(spark):
