@@ -4,13 +4,16 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in
 
 1. Equal texts are one class; copies of its first document go whole, only first documents are searched.
 2. Each window of 50 bytes has an anchor, the 16-byte string in it with the smallest hash. Equal windows have
-   equal anchors. Anchors that stand in one text only are dropped (counts with partial sums), and with them every
-   window that cannot repeat.
-3. A run of windows with one anchor is a context: the bytes they cover. Equal contexts are one row with their
-   smallest id. Contexts meet by anchor; those that share a window with another one have their suffixes sorted,
-   about a megabyte at a time: two-stage sorting sorts only suffixes that are smaller than their successors, by
-   their first 56 bytes, and induces the others by scanning the buckets of first bytes. Neighbours with a common
-   prefix of 50 bytes or more are one group; its smallest id is that of each of its windows.
+   equal anchors. A run of windows with one anchor is a context: the bytes they cover.
+3. Texts lie in groups of about 8 MB. A group sends marks of its different contexts to slices of the anchors: 24
+   bits of the anchor, 64 of the context, the smallest id, and 16 each of the 33 bytes that end and that begin with
+   the anchor. Two bits come back. One says that an equal context has a smaller id: all windows go, the bytes stay
+   where they are. The other says that a different context with the anchor may share a window and has another id:
+   a window of 50 bytes holds 17 bytes before its anchor or 17 behind it, so one of the two 33-byte strings is
+   equal. Only such contexts are cut out and meet by anchor; those that share a window with another one have their
+   suffixes sorted, about a megabyte at a time: two-stage sorting sorts only suffixes that are smaller than their
+   successors, by their first 56 bytes, and induces the others by scanning the buckets of first bytes. Neighbours
+   with a common prefix of 50 bytes or more are one group; its smallest id is that of each of its windows.
 4. An anchor with more than ``MANY`` different contexts (a common pair of words, say) would not fit one task: its
    contexts are cut into single windows, which are grouped by their bytes with partial minima.
 5. Each text takes the windows whose smallest id is below its own.
@@ -27,6 +30,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +40,9 @@ LENGTH, GRAM = 50, 16
 CONTEXT = 64  # windows in a context at most; longer runs are cut into several
 MANY = 4096
 CHUNK = 1 << 20
+GROUP = 1 << 23
+SIDE = (LENGTH - GRAM) // 2  # a window holds so many bytes before its anchor or behind it
+NONE, ANY = 0, 65535  # instead of the 16 bits of a side: outside the context; the anchor occurs more than once
 LAST = (1 << 63) - 1
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,27 +65,60 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - step)], h[width - step:]) if step < width else h
 
 
-def contexts(found: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, anchor, first window, windows) of each run of windows with one anchor."""
+def contexts(found: list[bytes], compared: bool) -> tuple[np.ndarray, ...]:
+    """(text, anchor, first window, windows, key, left, right) of each run of windows with one anchor.
+
+    ``key`` is a hash of the context, ``left`` and ``right`` are 16 bits of the 33 bytes that end and begin with its
+    anchor (ANY if not ``compared``).
+    """
     sizes = np.array([len(t) for t in found])
     data = np.frombuffer(b"".join(found), np.uint8)
+    empty = [np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, np.uint64, np.uint16, np.uint16)]
     if len(data) < LENGTH:
-        return (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
-    low = sliding_min(gram_hashes(data), LENGTH - GRAM + 1)
+        return tuple(empty)
+    grams = gram_hashes(data)
+    low = sliding_min(grams, LENGTH - GRAM + 1)
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(found)), sizes)[: len(low)]
     place = np.arange(len(low))
     inside = place + LENGTH <= ends[owner]
     low, owner, place = low[inside], owner[inside], place[inside]
     if not len(low):
-        return owner, low, place, place
+        return tuple(empty)
     new = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])]))
     long = np.diff(np.concatenate([new, [len(low)]]))
     cuts = -(-long // CONTEXT)
     within = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
     first = np.repeat(new, cuts) + CONTEXT * within
     many = np.minimum(np.repeat(long, cuts) - CONTEXT * within, CONTEXT)
-    return owner[first], low[first], place[first] - (ends - sizes)[owner[first]], many
+    owner, h, at = owner[first], low[first], place[first]
+    halves = mix(grams[:-GRAM] * _P + grams[GRAM:])  # of 32 bytes; four cover a context
+    end = at + many + LENGTH - 1
+    key = mix(halves[at] + many.astype(np.uint64))
+    for start in (at + 32, at + 64, end):
+        key = mix(key * _P + halves[np.minimum(start, end - 32)])
+    left, right = sides(grams, halves, h, at, many) if compared else [np.full(len(h), ANY, np.uint16)] * 2
+    return owner, h, at - (ends - sizes)[owner], many, key, left, right
+
+
+def sides(grams: np.ndarray, halves: np.ndarray, h: np.ndarray, at: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """16 bits each of the 33 bytes that end and that begin with the anchor, where they lie in the context."""
+    count, where = np.zeros(len(h), np.int64), at.copy()
+    width = LENGTH - GRAM + 1
+    for k in range(width + int(many.max()) - 1):
+        here = slice(None) if k < width else np.flatnonzero(many > k - width + 1)
+        same = grams[at[here] + k] == h[here]
+        count[here] += same
+        where[here] += same * k
+    single = count == 1
+    where = np.where(single, where, at)
+    out = []
+    for start in (where - SIDE, where):
+        held = (start >= at) & (start + GRAM + SIDE <= at + many + LENGTH - 1)
+        x = np.where(held, start, at)
+        bits = (mix(halves[x] * _P + grams[x + SIDE]) >> np.uint64(48)) % np.uint64(ANY - 1) + np.uint64(1)
+        out.append(np.where(single, np.where(held, bits, NONE), ANY).astype(np.uint16))
+    return out[0], out[1]
 
 
 def chunks(*columns: list) -> list[tuple[list, ...]]:
@@ -155,42 +195,217 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(values) if values else np.empty(0, np.int64)))
 
 
-def anchors_of(texts_table: DataFrame) -> DataFrame:
-    """(h, u): the distinct anchors of each text."""
+def numbered(distinct: DataFrame) -> DataFrame:
+    """(g, u, d, th, text): texts counted by u, in groups g of consecutive ones that hold about GROUP bytes."""
+
+    def number(batches):
+        g = u = TaskContext.get().partitionId() << 33
+        held = 0
+        for batch in batches:
+            sizes = np.cumsum([len(t) for found, in texts([batch], "text") for t in found], dtype=np.int64)
+            group = g + (held + sizes) // GROUP
+            held += int(sizes[-1]) if len(sizes) else 0
+            yield pa.record_batch([pa.array(group, pa.int64()), pa.array(np.arange(u, u + len(sizes))),
+                                   *(batch.column(batch.schema.get_field_index(n)) for n in ("d", "th", "text"))], ["g", "u", "d", "th", "text"])
+            u += len(sizes)
+
+    return distinct.select("d", "th", "text").mapInArrow(number, "g long, u long, d long, th binary, text string")
+
+
+def entries(found: list[bytes], ds: list[int], parts: int, compared: bool = True) -> tuple[dict, dict]:
+    """The contexts of some texts, and the different ones among them, ordered by slice of the anchors, anchor and key.
+
+    Contexts: o (text), h, at, n, and e (number of its entry). Entries: part, h (24 bits), key, left, right, d (smallest id).
+    """
+    pieces, at = [], 0
+    for part, in chunks(found):
+        o, *rest = contexts(part, compared)
+        pieces.append((o + at, *rest))
+        at += len(part)
+    o, h, at, n, key, left, right = (np.concatenate(c) for c in zip(*pieces))
+    d = np.array(ds, np.int64)[o]
+    mixed = mix(h)
+    place = (mixed % np.uint64(parts)) << np.uint64(24) | mixed >> np.uint64(40)
+    order = np.lexsort((key, place))
+    p, k = place[order], key[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (k[1:] != k[:-1])
+    e = np.empty(len(p), np.int64)
+    e[order] = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    firsts = order[starts]
+    low = np.minimum.reduceat(d[order], starts) if len(starts) else d
+    return {"o": o, "h": h, "at": at, "n": n, "e": e, "d": d}, {
+        "part": (p[starts] >> np.uint64(24)).astype(np.int64), "h": p[starts].astype(np.uint32) & np.uint32((1 << 24) - 1),
+        "key": k[starts], "left": left[firsts], "right": right[firsts], "d": low}
+
+
+PLANES = (("h", np.uint32, 3), ("key", np.uint64, 8), ("left", np.uint16, 2), ("right", np.uint16, 2), ("d", np.int64, 8))
+
+
+def packed(marks: dict, a: int, b: int) -> bytes:
+    """Entries a to b, all first bytes, all second bytes and so on: bytes that hardly differ compress well."""
+    return b"".join(marks[name][a:b].view(np.uint8).reshape(b - a, -1).T[:kept].tobytes() for name, _, kept in PLANES)
+
+
+def unpacked(data: bytes) -> dict:
+    n = len(data) // sum(kept for _, _, kept in PLANES)
+    planes, out, at = np.frombuffer(data, np.uint8).reshape(-1, n), {}, 0
+    for name, kind, kept in PLANES:
+        x = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+        x[:, :kept] = planes[at:at + kept].T
+        out[name], at = x.view(kind)[:, 0], at + kept
+    return out
+
+
+def marks_of(texts_table: DataFrame, parts: int) -> DataFrame:
+    """(g, first, part, data): the entries of each run of texts of a group, by slice of the anchors; ``first`` is the run's first text."""
 
     def find(batches):
-        for names, found in texts(batches, "u", "text"):
-            for us, part in chunks(names, found):
-                owner, h, _, _ = contexts(part)
-                if len(h):
-                    o = np.lexsort((h, owner))
-                    owner, h = owner[o], h[o]
-                    new = np.concatenate([[True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])])
-                    yield pa.record_batch([pa.array(h[new].view(np.int64)), pa.array(np.array(us, np.int64)[owner[new]])], ["h", "u"])
+        at, us, ds, held = None, [], [], []
+
+        def close():
+            _, marks = entries(held, ds, parts)
+            part = marks["part"]
+            edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
+            data = [packed(marks, a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            return pa.record_batch([pa.array([at] * len(data), pa.int64()), pa.array([us[0]] * len(data), pa.int64()),
+                                    pa.array(part[edges[:-1]]), pa.array(data, pa.binary())], ["g", "first", "part", "data"])
+
+        for columns in texts(batches, "g", "u", "d", "text"):
+            for g, u, d, text in zip(*columns):
+                if us and (g != at or u != us[-1] + 1):  # a file may be read in pieces
+                    yield close()
+                    us, ds, held = [], [], []
+                at = g
+                us.append(u)
+                ds.append(d)
+                held.append(text)
+        if us:
+            yield close()
+
+    return texts_table.select("g", "u", "d", "text").mapInArrow(find, "g long, first long, part long, data binary")
+
+
+def differing(bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Which members of a bucket are in one whose members have different values."""
+    if not len(bucket):
+        return np.zeros(0, bool)
+    order = np.argsort(bucket, kind="stable")
+    b, x = bucket[order], low[order]
+    starts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+    out = np.empty(len(b), bool)
+    out[order] = np.repeat(np.minimum.reduceat(x, starts) != np.maximum.reduceat(x, starts), np.diff(np.concatenate([starts, [len(b)]])))
+    return out
+
+
+def judge(h: np.ndarray, key: np.ndarray, left: np.ndarray, right: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Per entry: 1 if an equal context has a smaller id, 2 if it is the first and may share windows with one of another id."""
+    order = np.lexsort((key, h))
+    h, key, d = h[order], key[order], d[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (key[1:] != key[:-1])])
+    starts, kind = np.flatnonzero(new), np.cumsum(new) - 1
+    low = np.minimum.reduceat(d, starts)
+    h, left, right = h[starts].astype(np.uint64), left[order][starts], right[order][starts]
+    meet = np.zeros(len(low), bool)
+    unclear = np.isin(h, h[left == ANY])
+    meet[unclear] = differing(h[unclear], low[unclear])
+    for side in (left, right):
+        some = np.flatnonzero(~unclear & (side != NONE))
+        meet[some] |= differing(h[some] << np.uint64(16) | side[some], low[some])
+    out = np.empty(len(d), np.uint8)
+    out[order] = np.where(d > low[kind], 1, 2 * meet[kind])
+    return out
+
 
-    return texts_table.select("u", "text").mapInArrow(find, "h long, u long")
+def judged(marks: DataFrame) -> DataFrame:
+    """(g, first, part, said): what ``judge`` says of the entries, one slice of the anchors at a time."""
 
+    def answer(batches):
+        part, names, held = None, [], []
 
-def contexts_of(texts_table: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, key, context, d, u, at): the contexts of the anchors in ``wanted(u, hs)``; key is a 128-bit hash of the context."""
+        def close():
+            every = [unpacked(x) for x in held]
+            said = judge(*(np.concatenate([x[n] for x in every]) for n, _, _ in PLANES))
+            edges = np.cumsum([0] + [len(x["d"]) for x in every])
+            said = [said[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+            return pa.record_batch([*(pa.array(c, pa.int64()) for c in zip(*names)), pa.array([part] * len(said), pa.int64()),
+                                    pa.array(said, pa.binary())], ["g", "first", "part", "said"])
+
+        for columns in texts(batches, "g", "first", "part", "data"):
+            for g, first, p, data in zip(*columns):
+                if names and p != part:
+                    yield close()
+                    names, held = [], []
+                part = p
+                names.append((g, first))
+                held.append(data)
+        if names:
+            yield close()
+
+    return marks.repartition("part").sortWithinPartitions("part").mapInArrow(answer, "g long, first long, part long, said binary")
+
+
+def contexts_of(texts_table: DataFrame, said: DataFrame, parts: int) -> DataFrame:
+    """(h, key, context, d, u, at, stop): contexts that have to be compared; key is a 128-bit hash of the context.
+
+    Of equal ones in a run of texts only the first has its bytes. Rows without a key are ranges that go: ``at`` to ``stop``.
+    """
+    names = ["h", "key", "context", "d", "u", "at", "stop"]
+
+    def resolve(us, ds, found, said):
+        if not found or not said:
+            return
+        each, marks = entries(found, ds, parts, compared=False)
+        said = np.frombuffer(b"".join(said), np.uint8)
+        if len(said) != len(marks["d"]):
+            raise RuntimeError("contexts and what was said of them differ in number")
+        e, us = each["e"], np.array(us, np.int64)[each["o"]]
+        stop = each["at"] + each["n"] + LENGTH - 1
+        gone = (said[e] == 1) | (each["d"] > marks["d"][e])
+        i = np.flatnonzero(gone)
+        if len(i):
+            new = np.flatnonzero(np.concatenate([[True], (us[i[1:]] != us[i[:-1]]) | (each["at"][i[1:]] > stop[i[:-1]])]))
+            last = np.concatenate([new[1:] - 1, [len(i) - 1]])
+            none = pa.nulls(len(new), pa.int64())
+            yield pa.record_batch([none, pa.nulls(len(new), pa.binary()), pa.nulls(len(new), pa.binary()), none, pa.array(us[i[new]]),
+                                   pa.array(each["at"][i[new]]), pa.array(stop[i[last]])], names)
+        i = np.flatnonzero((said[e] == 2) & ~gone)
+        if len(i):
+            cut = [found[o][a:b] for o, a, b in zip(each["o"][i].tolist(), each["at"][i].tolist(), stop[i].tolist())]
+            first = np.zeros(len(i), bool)
+            first[np.unique(e[i], return_index=True)[1]] = True
+            yield pa.record_batch([
+                pa.array(each["h"][i].view(np.int64)), pa.array([xxhash.xxh3_128_digest(c) for c in cut], pa.binary()),
+                pa.array([c if x else None for c, x in zip(cut, first.tolist())], pa.binary()), pa.array(each["d"][i]), pa.array(us[i]),
+                pa.array(each["at"][i]), pa.nulls(len(i), pa.int64())], names)
+
+    def group(us, ds, found, answers):
+        """Runs of texts begin at the texts that answers name; those in between without one have no contexts."""
+        edges = np.searchsorted(us, [*answers, us[-1] + 1]) if us else []
+        for a, b, said in zip(edges[:-1], edges[1:], answers.values()):
+            yield from resolve(us[a:b], ds[a:b], found[a:b], said)
 
     def cut(batches):
-        for columns in texts(batches, "u", "d", "hs", "text"):
-            for pu, pd, ph, part in chunks(*columns):
-                owner, h, at, many = contexts(part)
-                starts = np.searchsorted(owner, np.arange(len(part) + 1))
-                h = h.view(np.int64)
-                good = [np.flatnonzero(np.isin(h[a:b], np.array(w, np.int64))) + a for a, b, w in zip(starts, starts[1:], ph)]
-                sizes = [len(g) for g in good]
-                good = np.concatenate(good)
-                found = [part[o][p:p + n + LENGTH - 1] for o, p, n in zip(owner[good].tolist(), at[good].tolist(), many[good].tolist())]
-                yield pa.record_batch([
-                    pa.array(h[good]), pa.array([xxhash.xxh3_128_digest(c) for c in found], pa.binary()), pa.array(found, pa.binary()),
-                    pa.array(np.repeat(np.array(pd, np.int64), sizes)), pa.array(np.repeat(np.array(pu, np.int64), sizes)),
-                    pa.array(at[good])], ["h", "key", "context", "d", "u", "at"])
-
-    return texts_table.join(wanted, "u").select("u", "d", "hs", "text").mapInArrow(
-        cut, "h long, key binary, context binary, d long, u long, at long")
+        at, us, ds, found, answers = None, [], [], [], {}
+        for columns in texts(batches, "g", "u", "d", "text", "said"):
+            for g, u, d, text, said in zip(*columns):
+                if g != at:
+                    yield from group(us, ds, found, answers)
+                    at, us, ds, found, answers = g, [], [], [], {}
+                if said is None:
+                    us.append(u)
+                    ds.append(d)
+                    found.append(text)
+                else:
+                    answers.setdefault(u, []).append(said)
+        yield from group(us, ds, found, answers)
+
+    none = F.lit(None)
+    rows = texts_table.select("g", "u", "d", "text", none.cast("long").alias("part"), none.cast("binary").alias("said")).unionAll(
+        said.select("g", F.col("first").alias("u"), none.cast("long").alias("d"), none.cast("string").alias("text"), "part", "said"))
+    return rows.repartition("g").sortWithinPartitions("g", "u", "part").mapInArrow(
+        cut, "h long, key binary, context binary, d long, u long, at long, stop long")
 
 
 def shared_contexts(found: list[bytes]) -> np.ndarray:
@@ -326,24 +541,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.unhex(F.md5("text")).alias("th"), "text")
     distinct = rows.groupBy("th").agg(F.min("d").alias("d"), F.first("text").alias("text"))
-    found = stage(distinct.withColumn("u", F.monotonically_increasing_id()), "texts")
+    found = stage(numbered(distinct), "texts")
     names = stage(found.select("u", "th", F.col("d").alias("first")), "names")
 
-    anchors = stage(anchors_of(found), "anchors")
-    often = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    wanted = stage(anchors.join(often, "h").groupBy("u").agg(F.collect_list("h").alias("hs")), "wanted")
-    drop(anchors)
-    cut = stage(contexts_of(found, wanted), "contexts")
-    drop(found, wanted)
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    said = stage(judged(marks_of(found, parts)), "said")
+    cut = stage(contexts_of(found, said, parts), "contexts")
+    drop(found, said)
+    equal = cut.where("key is null").select("u", F.col("at").alias("start"), "stop")
+    cut = cut.where("key is not null")
     different = stage(cut.groupBy("key").agg(F.min("d").alias("d"), F.count("*").alias("n"), F.first("h").alias("h"),
-                                             F.first("context").alias("context")), "different")
+                                             F.first("context", ignorenulls=True).alias("context")), "different")
     many = stage(different.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("h"), "many")
     low = sorted_minima(different.join(many, "h", "left_anti"))
     if not many.isEmpty():
         low = low.unionAll(grouped_minima(different.join(many, "h", "left_semi")))
     low = stage(low, "low")
     drop(different)
-    ranges = stage(removed_ranges(cut, low), "ranges")
+    ranges = stage(removed_ranges(cut, low).unionAll(equal), "ranges")
     drop(cut, low)
     per = ranges.groupBy("u").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))  # bounded by the text
     return digests(rows, names.join(per, "u", "left").select("th", "first", "ranges"))

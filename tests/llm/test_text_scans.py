@@ -1,6 +1,7 @@
 """License scan, quality rules, repeated passages and near duplicates against plain versions."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -166,6 +167,42 @@ def test_repeats_over_documents(spark, sf, texts):
     assert got == {d: want[d, t.encode()] for d, t in texts}
 
 
+def test_repeats_of_mixed_pieces(make):
+    r = random.Random(11)
+    pool = ["".join(r.choices(a, k=n)) for a, n in zip(["ab", "abc", "abcdefgh", "0123456789abcdef"] * 8, range(4, 68, 2))]
+    rows = [(i // 2, "".join(r.choice(pool) for _ in range(r.randint(1, 30))), "en", "a") for i in range(150)]
+    want = plain_repeats([row[:2] for row in rows])
+    got = sorted(tuple(row) for row in R.remove_repeats(make(rows)).collect())
+    assert got == sorted((d, *want[d, t.encode()]) for d, t, _, _ in rows)
+
+
+def test_repeats_write_only_what_has_to_be_compared(make, monkeypatch):
+    """Texts with common phrases that share no window, and copies of whole passages: neither is written as contexts."""
+    r, written = random.Random(12), {}
+
+    def kept(df, name):
+        out = stage(df, name)
+        written[name] = (out.count(), sum(os.path.getsize(f.removeprefix("file:")) for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(R, "stage", kept)
+    some = lambda n: "".join(r.choices("0123456789abcdef", k=n))
+    passage = some(3000)
+    rows = [(i, "".join(some(40) + " a common phrase of words " for _ in range(40)) + some(2000) + passage, "en", "a") for i in range(100)]
+    got = sorted(tuple(row)[:3] for row in R.remove_repeats(make(rows)).collect())
+    assert got[0] == (0, len(rows[0][1]), 0) and all(3000 <= x[2] < 3010 for x in got[1:])
+    size = sum(len(row[1]) for row in rows)
+    assert sum(b for name, (_, b) in written.items() if name != "texts") < size / 4, written
+
+
+def test_judge_sends_only_what_may_meet():
+    h, key = np.array([1, 1, 1, 2, 2, 3, 3, 4], np.uint32), np.array([5, 5, 6, 7, 8, 9, 10, 11], np.uint64)
+    left, right = np.array([3, 3, 3, 4, 5, R.ANY, 0, 1], np.uint16), np.array([0, 0, 0, 6, 7, R.ANY, 9, 1], np.uint16)
+    d = np.array([2, 9, 4, 1, 2, 1, 2, 1], np.int64)
+    assert R.judge(h, key, left, right, d).tolist() == [2, 1, 2, 0, 0, 2, 2, 0]
+    assert R.judge(h, key, left, right, np.ones(8, np.int64)).tolist() == [0] * 8
+
+
 def test_no_repeats_in_nothing(make):
     assert R.remove_repeats(make([]).limit(0)).collect() == []
     assert [tuple(r)[:4] for r in R.remove_repeats(make([(1, None, "en", "a")])).collect()] == [(1, 0, 0, 0)]
