@@ -214,12 +214,10 @@ def _(t):
 
 @query("ml9_regressors")
 def _(t):
-    train, test = L.split(checkpointed(price_rows(t)), "l_orderkey", 0.8)  # every model reads them several times
-    parts = []
-    for name in L.REGRESSORS:
-        scored = L.fit(train, PRICE_COLS, L.estimator(f"regressor.{name}", "price")).transform(test)
-        parts.append(L.r2_score(scored, "price", "prediction").withColumn("model", F.lit(name)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    rows = price_rows(t).select(*PRICE_COLS, "price", L.in_train("l_orderkey").alias("train"))
+    rows = checkpointed(rows)  # joined and split once; the models read them several times
+    models = {name: L.estimator(f"regressor.{name}", "price") for name in L.REGRESSORS}
+    return L.regressors(rows.filter("train"), rows.filter("not train"), PRICE_COLS, "price", models)
 
 
 @query("ml10_nearest_neighbours", """

@@ -65,6 +65,35 @@ def test_keep_groups_with_null_key(spark):
     assert rows(out.select("id")) == [(1,), (2,), (3,), (4,)]
 
 
+def test_regressors_read_rows_once_and_agree_with_models_of_rows(spark, monkeypatch):
+    r = random.Random(3)
+    data = [(float(r.randint(0, 50)), r.random(), r.choice([0.0, 1.5, -2.0, None]), 7.0) for _ in range(20_000)]  # sampled beyond 10,000
+    data = [(i, a, b, c, d, None if i % 50 == 0 else 3 * a - 40 * b * b + (c or 0) * a + r.gauss(0, 5)) for i, (a, b, c, d) in enumerate(data)]
+    table = spark.createDataFrame(data, "i int, a double, b double, c double, d double, y double").coalesce(2)
+    train, test, cols = table.filter("i % 5 > 0"), table.filter("i % 5 = 0"), ["a", "b", "c", "d"]
+    models = {k: L.estimator(f"regressor.{k}", "y") for k in L.REGRESSORS}
+    want = {k: L.r2_score(L.fit(train, cols, m).transform(test), "y", "prediction").first().r2 for k, m in models.items()}
+    fitted, fit = [], L.fit
+    monkeypatch.setattr(L, "fit", lambda t, c, m: (fitted.append(type(m).__name__), fit(t, c, m))[1])
+    out = L.regressors(train, test, cols, "y", models)
+    assert out.columns == ["r2", "model"] and {m: v for v, m in out.collect()} == pytest.approx(want, abs=1e-9)
+    assert fitted == ["RandomForestRegressor"]  # the others need sums of rows alone
+    few, n = L.same_moments(train.na.drop(), cols, "y")
+    assert few.count() == 10 and n == train.na.drop().count()
+    assert L.same_moments(train.withColumn("y", F.lit(float("inf"))), cols, "y")[0] is None
+    with pytest.raises(ValueError, match="no rows"):
+        L.regressors(train.limit(0), test, cols, "y", models)
+    with pytest.raises(ValueError, match="draws rows"):
+        L.on_cells(train, cols, [[1.0]] * 4, [L.estimator("regressor.boosted", "y", subsamplingRate=0.5)])
+
+
+def test_bins_put_a_value_at_a_limit_on_the_lower_side(spark):
+    df = spark.createDataFrame([(-0.0, 1.0), (0.0, 2.0), (0.5, 3.0), (1.0, 4.0), (1.1, 5.0), (float("inf"), 6.0)], "x double, y double")
+    got = [r.x_bin for r in L.with_bins(df, ["x"], [[0.0, 1.0]], ["x_bin"]).orderBy("y").collect()]
+    assert got == [1.0, 1.0, 2.0, 2.0, 3.0, 3.0]
+    assert rows(L.cells(df, ["x"], "y", [[0.0, 1.0]])) == [(1.0, 1.5, 2.0), (2.0, 3.5, 2.0), (3.0, 5.5, 2.0)]
+
+
 def test_models_that_keep_rows_read_few_in_a_task(spark, monkeypatch):
     monkeypatch.setattr(L, "ROWS_PER_TASK", 100, raising=False)
     held, fitted = [], L.Pipeline.fit
